@@ -48,3 +48,458 @@ select t pretoken, count(*) n from (select unnest({O.pretokens_expr('line')}) t
 group by t""")
 def q_pretoken_histogram(spark, sf):
     return stats.pretoken_histogram(T.lines(spark, sf))
+
+
+# ---------------------------------------------------------------- shared pieces
+def _bitext(spark, sf):
+    return T.bitext(spark, sf)
+
+
+BITEXT_KEYS = ["pair", "doc_no", "line_no"]
+QUALITY_SQL = ("src <> '' and tgt <> '' and length(src) <= 2 * length(tgt) "
+               "and length(tgt) <= 2 * length(src)")
+
+
+def _quality():
+    return F.expr(QUALITY_SQL)
+
+
+def _h(seed, *cols):
+    return f"md5(concat_ws(':', '{seed}', {', '.join(cols)}))"
+
+
+# ---------------------------------------------------------------- P1–P7
+@register("normalize_newlines", O.with_(O.LINES, O.LINES_DIRTY) + """
+select doc_id, line_no, replace(concat(line, chr(10)), chr(13) || chr(10), chr(10)) text
+from lines_dirty""")
+def q_normalize_newlines(spark, sf):
+    from ..functions.text import normalize_newlines
+    d = T.lines_dirty(spark, sf)
+    return d.select("doc_id", "line_no",
+                    normalize_newlines(F.concat("line", F.lit("\n"))).alias("text"))
+
+
+@register("drop_lines", O.with_(O.LINES, O.LINES_DIRTY) + """
+select doc_id, source, line_no, line from lines_dirty
+where not (source in ('src3', 'src4') and (contains(line, '</hl') or ends_with(line, '<hl>')))""")
+def q_drop_lines(spark, sf):
+    from ..operators.clean import drop_lines
+    d = T.lines_dirty(spark, sf).select("doc_id", "source", "line_no", "line")
+    return drop_lines(d, "line", where=F.col("source").isin("src3", "src4"))
+
+
+@register("protect_amp", O.with_(O.LINES, O.LINES_DIRTY) + """
+select doc_id, line_no, replace(line, '&', '__amp__') protected,
+       replace(replace(line, '&', '__amp__'), '__amp__', '&') restored
+from lines_dirty""")
+def q_protect_amp(spark, sf):
+    from ..functions.text import protect_amp, restore_amp
+    d = T.lines_dirty(spark, sf)
+    return d.select("doc_id", "line_no", protect_amp("line").alias("protected"),
+                    restore_amp(protect_amp("line")).alias("restored"))
+
+
+@register("strip_text", O.with_(O.LINES, O.LINES_DIRTY) + """
+select doc_id, line_no, regexp_replace(line, '^[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+$', '', 'g') stripped
+from lines_dirty""")
+def q_strip_text(spark, sf):
+    from ..functions.text import strip_text
+    d = T.lines_dirty(spark, sf)
+    return d.select("doc_id", "line_no", strip_text("line").alias("stripped"))
+
+
+@register("tag_language", O.with_(O.BITEXT) + """
+select pair, doc_no, line_no, concat('<2', substr(pair, 4, 8), '> ', src) src_tagged, tgt
+from bitext""")
+def q_tag_language(spark, sf):
+    from ..operators.clean import tag_language
+    return tag_language(_bitext(spark, sf)).select("pair", "doc_no", "line_no", "src_tagged", "tgt")
+
+
+CORPUS_NAME_SQL = ("concat('en-', lang, '.', source, '.', lang, "
+                   "case when substr(md5(cast(doc_id as string)), 1, 1) < '8' then '.sp' else '' end)")
+
+
+def _corpus_files(spark, sf):
+    return T.documents(spark, sf).select("doc_id", F.expr(CORPUS_NAME_SQL).alias("name"))
+
+
+@register("parse_corpus_name", f"""
+with f as (select doc_id, {CORPUS_NAME_SQL} name from documents)
+select doc_id, name,
+  nullif(regexp_extract(name, '^(en-..)\\.([^.]+)\\.(..)(\\.sp)?$', 1), '') pair,
+  nullif(regexp_extract(name, '^(en-..)\\.([^.]+)\\.(..)(\\.sp)?$', 2), '') split,
+  nullif(regexp_extract(name, '^(en-..)\\.([^.]+)\\.(..)(\\.sp)?$', 3), '') lang,
+  regexp_extract(name, '^(en-..)\\.([^.]+)\\.(..)(\\.sp)?$', 4) = '.sp' encoded
+from f""")
+def q_parse_corpus_name(spark, sf):
+    from ..operators.clean import parse_corpus_name
+    return parse_corpus_name(_corpus_files(spark, sf), "name")
+
+
+FREQ_VOCAB_SQL = f"""hist as (
+  select t pretoken, count(*) n from (select unnest({O.pretokens_expr('line')}) t from lines) z
+  group by t),
+fvocab as (
+  select pretoken piece, cast(row_number() over (order by n desc, pretoken) + 4 as integer) id
+  from hist qualify row_number() over (order by n desc, pretoken) <= 1000)"""
+
+
+def _freq_vocab(spark, sf, size=1000):
+    from ..operators.clean import frequency_vocab
+    return frequency_vocab(stats.pretoken_histogram(T.lines(spark, sf)), size)
+
+
+@register("vocab_pieces", O.with_(O.LINES, FREQ_VOCAB_SQL) + "select id, piece from fvocab")
+def q_vocab_pieces(spark, sf):
+    from ..operators.clean import vocab_pieces
+    return vocab_pieces(_freq_vocab(spark, sf))
+
+
+# ---------------------------------------------------------------- J1–J4
+@register("zip_parallel", O.with_(O.BITEXT) + "select * from bitext")
+def q_zip_parallel(spark, sf):
+    return _bitext(spark, sf)
+
+
+DEV_MEMBERS_SQL = O.DOC_RANKS + """,
+members as (
+  select 'dev.tgz' archive,
+         concat('dev/newstest', doc_no, '-en', lang, '-ref.', lang, '.sgm') member,
+         length(text) n_chars from kdocs where lang <> 'en'
+  union all
+  select 'dev.tgz', concat('dev/newstest', doc_no, '-en', t.l, '-src.en.sgm'), length(text)
+  from kdocs, (select unnest(['de', 'es', 'fr']) l) t where lang = 'en')"""
+
+
+@register("pair_ref_src", "with " + DEV_MEMBERS_SQL + """
+select r.archive, regexp_extract(r.member, '([^/]*)-ref\\.', 1) "set", r.member ref_member,
+       regexp_extract(r.member, 'ref\\.([a-z]{2})\\.sgm$', 1) ref_lang, s.member src_member,
+       r.n_chars ref_chars, s.n_chars src_chars
+from members r join members s
+  on s.archive = r.archive
+ and s.member = concat(regexp_extract(r.member, '^(.*)ref\\.[^/]*$', 1), 'src.en.sgm')
+where regexp_matches(r.member, 'ref\\.[a-z]{2}\\.sgm$')""")
+def q_pair_ref_src(spark, sf):
+    from ..operators.joins import pair_ref_src
+    docs = T.ranked_documents(spark, sf)
+    ref = docs.filter(F.col("lang") != "en").select(
+        F.lit("dev.tgz").alias("archive"),
+        F.concat(F.lit("dev/newstest"), F.col("doc_no").cast("string"), F.lit("-en"), "lang",
+                 F.lit("-ref."), "lang", F.lit(".sgm")).alias("member"),
+        F.length("text").cast("long").alias("text"))
+    src = docs.filter(F.col("lang") == "en").select(
+        F.lit("dev.tgz").alias("archive"), "doc_no", F.length("text").cast("long").alias("text"),
+        F.explode(F.array(*[F.lit(x) for x in ("de", "es", "fr")])).alias("l")).select(
+        "archive", F.concat(F.lit("dev/newstest"), F.col("doc_no").cast("string"), F.lit("-en"),
+                            "l", F.lit("-src.en.sgm")).alias("member"), "text")
+    out = pair_ref_src(ref.unionByName(src))
+    return out.select("archive", "set", "ref_member", "ref_lang", "src_member",
+                      F.col("ref_text").alias("ref_chars"), F.col("src_text").alias("src_chars"))
+
+
+@register("lookup_ids", O.with_(O.LINES, FREQ_VOCAB_SQL) + f"""
+select doc_id, line_no, cast(u.i - 1 as bigint) pos, coalesce(v.id, 3) id
+from lines, unnest({O.pretokens_expr('line')}) with ordinality u(t, i)
+left join fvocab v on v.piece = u.t""")
+def q_lookup_ids(spark, sf):
+    from ..operators.joins import lookup_ids
+    ln = T.lines(spark, sf).select("doc_id", "line_no", stats_pretok("line").alias("pieces"))
+    out = lookup_ids(ln, "pieces", _freq_vocab(spark, sf))
+    return out.select("doc_id", "line_no", F.col("_pos").cast("long").alias("pos"), "id")
+
+
+def stats_pretok(c):
+    from ..functions.text import pretokenize
+    return pretokenize(c)
+
+
+OFFSETS_SQL = """f as (select doc_id, count(*) n from lines group by doc_id),
+o as (select doc_id, coalesce(sum(n) over (order by doc_id rows between unbounded preceding
+      and 1 preceding), 0) start from f)"""
+
+
+@register("sample_at", O.with_(O.LINES, OFFSETS_SQL) + """,
+fs as (select n first_size from f order by doc_id limit 1)
+select start + line_no i, doc_id, line_no,
+       cast(floor((start + line_no) / first_size) as bigint) ref_file,
+       cast((start + line_no) % first_size as bigint) ref_sample
+from lines join o using (doc_id), fs""")
+def q_sample_at(spark, sf):
+    from ..operators.joins import line_offsets, sample_at
+    ln = T.lines(spark, sf)
+    offs = line_offsets(ln)
+    n, first = offs.agg(F.sum("n_lines"), F.min_by("n_lines", "doc_id")).first()
+    idx = spark.range(0, int(n)).withColumnRenamed("id", "i")
+    out = sample_at(idx, ln, offs, first_size=int(first))
+    return out.select("i", "doc_id", "line_no", F.col("ref_file").cast("long").alias("ref_file"),
+                      F.col("ref_sample").cast("long").alias("ref_sample"))
+
+
+# ---------------------------------------------------------------- A1, A2, A7
+@register("count_blank_lines", O.with_(O.LINES, O.LINES_DIRTY) + """
+select lang, source, count(*) n_lines, count_if(line = '') n_blank from lines_dirty
+group by lang, source""")
+def q_count_blank_lines(spark, sf):
+    return stats.count_blank_lines(T.lines_dirty(spark, sf), ["lang", "source"])
+
+
+@register("corpus_summary", O.with_(O.LINES) + """, pf as (
+  select lang, doc_id, count(*) n from lines group by lang, doc_id)
+select lang, count(*) n_files, sum(n) n_examples, cast(ceil(sum(n) / 32) as bigint) n_batches,
+       cast(arg_min(n, doc_id) * (count(*) - 1) + arg_max(n, doc_id) as bigint) ref_examples
+from pf group by lang""")
+def q_corpus_summary(spark, sf):
+    return stats.corpus_summary(T.lines(spark, sf), 32, by=["lang"])
+
+
+@register("plan_steps", O.with_(O.LINES) + """
+select lang, count(*) n_examples, cast(ceil(count(*) / 32) as bigint) steps_per_epoch,
+       cast(50 * ceil(count(*) / 32) + 500 as bigint) total_steps
+from lines group by lang""")
+def q_plan_steps(spark, sf):
+    return stats.plan_steps(T.lines(spark, sf), 32, 50, 500, by=["lang"])
+
+
+# ---------------------------------------------------------------- A8, W1
+LCA_PRODUCT = "cast((theta_after - theta_before) * grad as decimal(28,9))"
+
+
+@register("lca_step", O.with_(O.TRACE) + f"""
+select step, param, cast(sum({LCA_PRODUCT}) as double) lca_sum,
+       cast(sum({LCA_PRODUCT}) as double) / count(*) lca_mean
+from param_trace where step % 5 = 0 group by step, param""")
+def q_lca_step(spark, sf):
+    from ..operators.traces import lca_step
+    return lca_step(T.param_trace(spark, sf), 5)
+
+
+@register("lca_interval", O.with_(O.TRACE) + f""",
+s as (select step, param, sum({LCA_PRODUCT}) s, count(*) n from param_trace group by step, param),
+c as (select *, sum(s) over (partition by param order by step
+      rows between unbounded preceding and current row) cum from s)
+select step, param, cast(cum as double) / 5.0 interval_sum,
+       cast(cum as double) / 5.0 / n interval_mean
+from c where step % 5 = 0""")
+def q_lca_interval(spark, sf):
+    from ..operators.traces import lca_interval
+    return lca_interval(T.param_trace(spark, sf), 5)
+
+
+# ---------------------------------------------------------------- O1–O4, W2
+@register("aligned_shuffle", O.with_(O.BITEXT) + f"""
+select pair, doc_no, line_no, src, tgt,
+  row_number() over (order by {_h(42, 'pair', 'doc_no', 'line_no')}, pair, doc_no, line_no) shuf_rank
+from bitext""")
+def q_aligned_shuffle(spark, sf):
+    from ..operators.order import aligned_shuffle
+    b = _bitext(spark, sf).select("pair", "doc_no", "line_no", "src", "tgt")
+    return aligned_shuffle(b, BITEXT_KEYS, seed=42)
+
+
+@register("epoch_order", O.with_(O.LINES) + f"""
+select e.epoch, doc_id, line_no, row_number() over (partition by e.epoch
+  order by {_h(42, 'e.epoch', 'doc_id', 'line_no')}, doc_id, line_no) epoch_rank
+from lines, (select unnest([0, 1]) epoch) e""")
+def q_epoch_order(spark, sf):
+    from ..operators.order import epoch_order
+    ln = T.lines(spark, sf).select("doc_id", "line_no")
+    return epoch_order(ln, ["doc_id", "line_no"], seed=42, epoch=[0, 1]).select(
+        "epoch", "doc_id", "line_no", "epoch_rank")
+
+
+@register("batch_slots", O.with_(O.LINES) + f""", r as (
+  select doc_id, line_no, row_number() over (
+    order by {_h(42, '0', 'doc_id', 'line_no')}, doc_id, line_no) epoch_rank from lines)
+select doc_id, line_no, epoch_rank, cast(floor((epoch_rank - 1) / 32) as bigint) batch_id,
+       cast((epoch_rank - 1) % 32 as integer) slot from r""")
+def q_batch_slots(spark, sf):
+    from ..operators.order import batch_slots, epoch_order
+    ln = T.lines(spark, sf).select("doc_id", "line_no")
+    r = epoch_order(ln, ["doc_id", "line_no"], seed=42, epoch=0)
+    return batch_slots(r, 32).select("doc_id", "line_no", "epoch_rank", "batch_id", "slot")
+
+
+@register("sort_shards", O.with_(O.LINES, OFFSETS_SQL) + """
+select doc_id, line_no, start + line_no sample_idx from lines join o using (doc_id)""")
+def q_sort_shards(spark, sf):
+    from ..operators.order import sort_shards
+    return sort_shards(T.lines(spark, sf).select("doc_id", "line_no")).select(
+        "doc_id", "line_no", "sample_idx")
+
+
+FILE_PATH_SQL = "concat('corpus/', lang, '/', source, '/doc', doc_id, '.txt')"
+
+
+@register("preview", f"""
+with f as (select {FILE_PATH_SQL} path, n_chars from documents)
+select path, n_chars from f order by path
+limit case when (select count(*) from f) > 5 then 3 else (select count(*) from f) end""")
+def q_preview(spark, sf):
+    from ..operators.order import preview
+    f = T.documents(spark, sf).select(F.expr(FILE_PATH_SQL).alias("path"), "n_chars")
+    return preview(f, 3, 5)
+
+
+# ---------------------------------------------------------------- U1–U3, Q1, Q2
+@register("concat_corpora", O.with_(O.BITEXT) + """,
+s as (select pair, doc_no, line_no, 'src' side, 'en' lang, src line from bitext
+      union all
+      select pair, doc_no, line_no, 'tgt', substr(pair, 4, 8), tgt from bitext)
+select 'pair' grouping, pair corpus, * from s
+union all select 'multilingual', 'multiling', * from s
+union all select 'language', lang, * from s where side = 'tgt' or pair = 'en-de'""")
+def q_concat_corpora(spark, sf):
+    from ..operators.splits import concat_corpora
+    b = _bitext(spark, sf)
+    outs = [concat_corpora(b, g).withColumn("grouping", F.lit(g))
+            for g in ("pair", "multilingual", "language")]
+    u = outs[0].unionByName(outs[1]).unionByName(outs[2])
+    return u.select("grouping", "corpus", "pair", "doc_no", "line_no", "side", "lang", "line")
+
+
+@register("append_to_split", O.with_(O.BITEXT) + f""",
+u as (select pair, doc_no, line_no, 'europarl' origin, 'train' split from bitext
+      where source not in ('src0', 'src1')
+      union all
+      select pair, doc_no, line_no, 'news', 'train' from bitext where source = 'src1')
+select *, row_number() over (partition by pair, split
+  order by {_h(42, 'pair', 'doc_no', 'line_no')}, pair, doc_no, line_no) shuf_rank from u""")
+def q_append_to_split(spark, sf):
+    from ..operators.splits import append_and_shuffle
+    b = _bitext(spark, sf).select(*BITEXT_KEYS, "source")
+    base = b.filter(~F.col("source").isin("src0", "src1")).select(
+        *BITEXT_KEYS, F.lit("europarl").alias("origin"), F.lit("train").alias("split"))
+    extra = b.filter(F.col("source") == "src1").select(*BITEXT_KEYS, F.lit("news").alias("origin"))
+    return append_and_shuffle(base, extra, BITEXT_KEYS, seed=42)
+
+
+@register("concat_ordered", O.with_(O.BITEXT) + """,
+p as (select *, case pair when 'en-de' then 1 when 'en-es' then 2 when 'en-fr' then 3 end part_no
+      from bitext)
+select pair, doc_no, line_no, part_no,
+       row_number() over (order by part_no, doc_no, line_no) line_no_all
+from p where part_no is not null""")
+def q_concat_ordered(spark, sf):
+    from ..operators.splits import concat_ordered
+    b = _bitext(spark, sf).select(*BITEXT_KEYS)
+    return concat_ordered(b, ["en-de", "en-es", "en-fr"]).select(
+        "pair", "doc_no", "line_no", "part_no", "line_no_all")
+
+
+SPLIT_QUOTA_SQL = O.with_(O.BITEXT) + f""",
+q as (select *, coalesce({QUALITY_SQL}, false) ok, {_h(42, 'pair', 'doc_no', 'line_no')} h
+      from bitext),
+r as (select *, row_number() over (partition by pair, ok order by h, pair, doc_no, line_no) rn
+      from q),
+sq as (select pair, doc_no, line_no, source,
+  case when not ok then 'train' when rn <= 200 then 'dev' when rn <= 400 then 'test'
+       else 'train' end split from r)
+"""
+
+
+def _split_quota(spark, sf):
+    from ..operators.splits import split_quota
+    b = _bitext(spark, sf).select(*BITEXT_KEYS, "source", "src", "tgt")
+    return split_quota(b, BITEXT_KEYS, dev=200, test=200, quality=_quality(), seed=42).select(
+        *BITEXT_KEYS, "source", "split")
+
+
+@register("split_quota", SPLIT_QUOTA_SQL + "select * from sq")
+def q_split_quota(spark, sf):
+    return _split_quota(spark, sf)
+
+
+@register("hold_out", SPLIT_QUOTA_SQL + """
+select pair, doc_no, line_no, source,
+       case when source = 'src0' then 'newstest2018' else split end split from sq""")
+def q_hold_out(spark, sf):
+    from ..operators.splits import hold_out
+    return hold_out(_split_quota(spark, sf), F.col("source") == "src0", "newstest2018")
+
+
+# ---------------------------------------------------------------- F4–F10 (toy ids)
+@register("join_pieces", O.with_(O.LINES) + f"""
+select doc_id, line_no, array_to_string({O.pretokens_expr('line')}, ' ') joined from lines""")
+def q_join_pieces(spark, sf):
+    from ..functions.text import join_pieces, pretokenize
+    return T.lines(spark, sf).select("doc_id", "line_no",
+                                     join_pieces(pretokenize("line")).alias("joined"))
+
+
+TOY_LEN = 16
+TOY_FRAMES = O.with_(O.LINES, O.TOY_IDS) + f""",
+fr as (select doc_id, line_no, list_concat([0], list_slice(ids, 1, {TOY_LEN - 2}), [2]) f
+       from toy_arrays),
+pd as (select doc_id, line_no, f, list_resize(f, {TOY_LEN}, 1) labels,
+              list_transform(range({TOY_LEN}), lambda k: case when k < len(f) then 1 else 0 end) am
+       from fr),
+mk as (select *, list_transform(labels, lambda x, i: case when x not in (0, 1, 2) and
+         substr(md5(concat('42:0:', doc_id, ':', line_no, ':', i - 1)), 1, 8) < '26666666'
+         then 4 else x end) input_ids from pd)
+"""
+
+
+def _toy_examples(spark, sf):
+    from ..operators.mlm import mlm_examples
+    return mlm_examples(T.toy_id_arrays(T.lines(spark, sf)), "ids", ["doc_id", "line_no"],
+                        max_length=TOY_LEN, epoch=0, seed=42, p=0.15)
+
+
+def _s(c):
+    return F.array_join(F.col(c).cast("array<string>"), " ")
+
+
+@register("frame_truncate", TOY_FRAMES + "select doc_id, line_no, array_to_string(f, ' ') framed from fr")
+def q_frame_truncate(spark, sf):
+    from ..functions.arrays import frame_truncate
+    a = T.toy_id_arrays(T.lines(spark, sf))
+    return a.select("doc_id", "line_no", frame_truncate("ids", TOY_LEN).alias("f")).select(
+        "doc_id", "line_no", _s("f").alias("framed"))
+
+
+@register("pad_to", TOY_FRAMES + "select doc_id, line_no, array_to_string(labels, ' ') padded from pd")
+def q_pad_to(spark, sf):
+    return _toy_examples(spark, sf).select("doc_id", "line_no", _s("labels").alias("padded"))
+
+
+@register("attention_mask", TOY_FRAMES +
+          "select doc_id, line_no, array_to_string(am, ' ') attention_mask from pd")
+def q_attention_mask(spark, sf):
+    return _toy_examples(spark, sf).select("doc_id", "line_no",
+                                           _s("attention_mask").alias("attention_mask"))
+
+
+@register("mlm_mask", O.with_(O.LINES, O.TOY_IDS) + """
+select doc_id, line_no, pos, case when id not in (0, 1, 2) and
+  substr(md5(concat('42:0:', doc_id, ':', line_no, ':', pos)), 1, 8) < '26666666'
+  then 4 else id end id
+from toy_ids""")
+def q_mlm_mask(spark, sf):
+    from ..functions.arrays import mlm_mask
+    a = T.toy_id_arrays(T.lines(spark, sf))
+    m = a.select("doc_id", "line_no", mlm_mask(F.col("ids"), ["doc_id", "line_no"], 0, 42, 0.15)
+                 .alias("m"))
+    return m.select("doc_id", "line_no", F.posexplode("m").alias("pos", "id")).withColumn(
+        "pos", F.col("pos").cast("long"))
+
+
+@register("mlm_examples_toy", TOY_FRAMES + """
+select doc_id, line_no, array_to_string(input_ids, ' ') input_ids,
+       array_to_string(am, ' ') attention_mask, array_to_string(labels, ' ') labels from mk""")
+def q_mlm_examples_toy(spark, sf):
+    from ..operators.mlm import as_text
+    return as_text(_toy_examples(spark, sf))
+
+
+@register("lr_schedule", O.with_(O.LINES) + """,
+t as (select cast(2 * ceil(count(*) / 32) + 500 as bigint) total from lines)
+select s.range step,
+  case when s.range < 50 then cast(0.002 as double) * cast(s.range as double) / greatest(1.0, 50.0)
+       else cast(0.002 as double) * greatest(0.0, (cast(total as double) - cast(s.range as double))
+            / greatest(1.0, cast(total as double) - 50.0)) end lr
+from t, range(total) s""")
+def q_lr_schedule(spark, sf):
+    from ..operators.mlm import lr_schedule
+    total = stats.plan_steps(T.lines(spark, sf), 32, 2, 500).first()["total_steps"]
+    return lr_schedule(spark, total, base=0.002, warmup=50)
