@@ -503,3 +503,71 @@ def q_lr_schedule(spark, sf):
     from ..operators.mlm import lr_schedule
     total = stats.plan_steps(T.lines(spark, sf), 32, 2, 500).first()["total_steps"]
     return lr_schedule(spark, total, base=0.002, warmup=50)
+
+
+# ---------------------------------------------------------------- A4, A6, F2, F10 (BPE)
+BPE_VOCAB = 300
+_MODELS: dict = {}
+
+
+def bpe_model(spark, sf, vocab_size=BPE_VOCAB):
+    """Byte-level BPE learnt on all lines of ``sf`` (memoised per process:
+    the model is a small driver-side value)."""
+    from ..operators.bpe import bpe_train
+    key = (sf, vocab_size)
+    if key not in _MODELS:
+        hist = stats.pretoken_histogram(T.lines(spark, sf))
+        _MODELS[key] = bpe_train(hist, vocab_size=vocab_size, min_frequency=2)
+    return _MODELS[key]
+
+
+BYTE_IDS_SQL = """bmap as (
+  select printf('%02X', b) hx, cast(row_number() over (order by case when (b between 33 and 126)
+         or (b between 161 and 172) or (b between 174 and 255) then b else 256 + b end) + 4
+         as integer) id
+  from range(256) r(b))"""
+
+
+@register("bpe_pair_counts", O.with_(O.LINES, BYTE_IDS_SQL) + f""",
+hist as (select t w, count(*) n from (select unnest({O.pretokens_expr('line')}) t from lines) z
+         group by t),
+wb as (select n, hex(encode(w)) h from hist),
+pr as (select n, substr(h, 2 * k + 1, 2) x, substr(h, 2 * k + 3, 2) y
+       from wb, unnest(range(0, cast(length(h) / 2 as bigint) - 1)) u(k))
+select a.id left_id, b.id right_id, sum(n) n
+from pr join bmap a on a.hx = pr.x join bmap b on b.hx = pr.y group by a.id, b.id""")
+def q_bpe_pair_counts(spark, sf):
+    from ..operators.bpe import pair_counts, words_table
+    return pair_counts(words_table(stats.pretoken_histogram(T.lines(spark, sf))))
+
+
+@register("bpe_train")
+def q_bpe_train(spark, sf):
+    return bpe_model(spark, sf).merges_df(spark)
+
+
+@register("vocab_size")
+def q_vocab_size(spark, sf):
+    return stats.vocab_size(bpe_model(spark, sf).vocab_df(spark))
+
+
+@register("bpe_encode")
+def q_bpe_encode(spark, sf):
+    from ..operators.bpe import bpe_encode
+    ln = T.lines(spark, sf).select("doc_id", "line_no", "line")
+    out = bpe_encode(ln, "line", bpe_model(spark, sf))
+    return out.select("doc_id", "line_no", F.array_join(F.col("ids").cast("array<string>"), " ")
+                      .alias("ids"))
+
+
+MLM_LEN = 64
+
+
+@register("mlm_examples")
+def q_mlm_examples(spark, sf):
+    from ..operators.bpe import bpe_encode
+    from ..operators.mlm import as_text, mlm_examples
+    ln = T.lines(spark, sf).select("doc_id", "line_no", "line")
+    enc = bpe_encode(ln, "line", bpe_model(spark, sf))
+    return as_text(mlm_examples(enc, "ids", ["doc_id", "line_no"], max_length=MLM_LEN,
+                                epoch=0, seed=42, p=0.15))
