@@ -571,3 +571,119 @@ def q_mlm_examples(spark, sf):
     enc = bpe_encode(ln, "line", bpe_model(spark, sf))
     return as_text(mlm_examples(enc, "ids", ["doc_id", "line_no"], max_length=MLM_LEN,
                                 epoch=0, seed=42, p=0.15))
+
+
+# ---------------------------------------------------------------- sources and sinks
+@register("read_segments", O.with_(O.LINES) + """
+select doc_id, cast(line_no + 1 as integer) seg_no,
+       regexp_replace(replace(line, '<', ' '), '^[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+$', '', 'g') text
+from lines""")
+def q_read_segments(spark, sf):
+    from ..functions.text import protect_amp, restore_amp
+    from ..sources.archives import read_segments
+    docs = T.segment_docs(spark, sf).select("doc_id", protect_amp("xml").alias("xml"))
+    segs = read_segments(docs, "xml", "doc_id", on_empty="blank")
+    return segs.select("doc_id", "seg_no", restore_amp("text").alias("text"))
+
+
+@register("discover_corpus", f"""
+with f as (select doc_id, {CORPUS_NAME_SQL} name, n_chars size from documents)
+select doc_id, name,
+  nullif(regexp_extract(name, '^(en-..)\\.([^.]+)\\.(..)(\\.sp)?$', 1), '') pair,
+  nullif(regexp_extract(name, '^(en-..)\\.([^.]+)\\.(..)(\\.sp)?$', 2), '') split,
+  nullif(regexp_extract(name, '^(en-..)\\.([^.]+)\\.(..)(\\.sp)?$', 3), '') lang,
+  regexp_extract(name, '(\\.[^.]*)$', 1) suffix, size
+from f where name glob 'en-??.*' and not name glob '*.ids'
+  and regexp_extract(name, '(\\.[^.]*)$', 1) in ('.en', '.de', '.fr')""")
+def q_discover_corpus(spark, sf):
+    from ..functions.text import corpus_name_part
+    from ..sources.lines import select_files
+    files = T.documents(spark, sf).select("doc_id", F.expr(CORPUS_NAME_SQL).alias("name"),
+                                          F.col("n_chars").alias("size"))
+    sel = select_files(files, "en-??.*", ["*.ids"], [".en", ".de", ".fr"])
+    return sel.select("doc_id", "name",
+                      *[corpus_name_part("name", p).alias(p) for p in ("pair", "split", "lang")],
+                      F.regexp_extract("name", r"(\.[^.]*)$", 1).alias("suffix"), "size")
+
+
+@register("write_lines", O.with_(O.LINES) + "select doc_id, line_no, line from lines")
+def q_write_lines(spark, sf):
+    from ..session import scratch_path
+    from ..sources.lines import read_lines
+    from ..sources.sinks import write_lines
+    path = scratch_path(spark, "lines")
+    write_lines(T.lines(spark, sf), path, ["doc_id"], ["line_no"], parquet_twin=False)
+    back = read_lines(spark, path, newline="lf", unit="dir")
+    return back.select(F.regexp_extract("unit", r"doc_id=([0-9]+)$", 1).cast("long").alias("doc_id"),
+                       "line_no", "line")
+
+
+@register("write_vocab", O.with_(O.LINES, FREQ_VOCAB_SQL) + """
+select piece, cast(id - 5 as integer) id, cast(h.n as double) score
+from fvocab join hist h on h.pretoken = fvocab.piece""")
+def q_write_vocab(spark, sf):
+    from ..session import scratch_path
+    from ..sources.vocab import load_vocab, write_vocab
+    hist = stats.pretoken_histogram(T.lines(spark, sf))
+    v = _freq_vocab(spark, sf).join(hist.withColumnRenamed("pretoken", "piece"), "piece")
+    path = scratch_path(spark, "unigram.vocab")
+    write_vocab(v.select("piece", "id", F.col("n").cast("double").alias("score")), path, "unigram")
+    return load_vocab(spark, path, "unigram")
+
+
+@register("load_vocab", O.with_(O.LINES, FREQ_VOCAB_SQL) + "select piece, id from fvocab")
+def q_load_vocab(spark, sf):
+    from ..session import scratch_path
+    from ..sources.vocab import load_bpe_vocab, write_bpe
+    path = scratch_path(spark, "bpe")
+    empty = spark.createDataFrame([], "rank int, left string, right string")
+    write_bpe(_freq_vocab(spark, sf), empty, path)
+    return load_bpe_vocab(spark, f"{path}/vocab.json")
+
+
+@register("build_or_reuse", O.with_(O.LINES, FREQ_VOCAB_SQL) + "select piece, id from fvocab")
+def q_build_or_reuse(spark, sf):
+    from ..session import scratch_path
+    from ..sources.vocab import build_or_reuse
+    path = scratch_path(spark, "vocab.parquet")
+    build_or_reuse(spark, path, lambda: _freq_vocab(spark, sf))
+    return build_or_reuse(spark, path, lambda: (_ for _ in ()).throw(RuntimeError("rebuilt")))
+
+
+@register("write_lca_log", O.with_(O.TRACE) + f""",
+s as (select step, param, sum({LCA_PRODUCT}) s, count(*) n from param_trace group by step, param),
+c as (select *, sum(s) over (partition by param order by step
+      rows between unbounded preceding and current row) cum from s)
+select step, param, cast(s as double) lca_sum, cast(s as double) / n lca_mean,
+       cast(cum as double) / 5.0 interval_sum, cast(cum as double) / 5.0 / n interval_mean
+from c where step % 5 = 0""")
+def q_write_lca_log(spark, sf):
+    from ..operators.traces import lca_log
+    from ..session import scratch_path
+    from ..sources.sinks import write_lca_log
+    path = scratch_path(spark, "lca_log")
+    write_lca_log(lca_log(T.param_trace(spark, sf), 5), path)
+    back = spark.read.schema("param string, step long, sum double, mean double, "
+                             "`interval.sum` double, `interval.mean` double").json(path)
+    return back.select("step", "param", F.col("sum").alias("lca_sum"), F.col("mean").alias("lca_mean"),
+                       F.col("`interval.sum`").alias("interval_sum"),
+                       F.col("`interval.mean`").alias("interval_mean"))
+
+
+@register("append_metrics", O.with_(O.LINES) + """,
+t as (select cast(2 * ceil(count(*) / 32) + 500 as bigint) total from lines)
+select s.range step, 'learning rate' tag,
+  case when s.range < 50 then cast(0.002 as double) * cast(s.range as double) / greatest(1.0, 50.0)
+       else cast(0.002 as double) * greatest(0.0, (cast(total as double) - cast(s.range as double))
+            / greatest(1.0, cast(total as double) - 50.0)) end value
+from t, range(total) s""")
+def q_append_metrics(spark, sf):
+    from ..session import scratch_path
+    from ..sources.sinks import append_metrics
+    path = scratch_path(spark, "metrics")
+    lr = q_lr_schedule(spark, sf)
+    half = lr.agg(F.max("step")).first()[0] // 2
+    m = lr.select("step", F.lit("learning rate").alias("tag"), F.col("lr").alias("value"))
+    append_metrics(m.filter(F.col("step") <= half), path)   # two appends, as steps go by
+    append_metrics(m.filter(F.col("step") > half), path)
+    return spark.read.parquet(path)
