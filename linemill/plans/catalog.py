@@ -687,3 +687,30 @@ def q_append_metrics(spark, sf):
     append_metrics(m.filter(F.col("step") <= half), path)   # two appends, as steps go by
     append_metrics(m.filter(F.col("step") > half), path)
     return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------- A5, F3 (unigram)
+UNIGRAM_VOCAB = 500
+_UNIGRAMS: dict = {}
+
+
+def unigram_model(spark, sf, vocab_size=UNIGRAM_VOCAB):
+    from ..operators.unigram import unigram_train
+    key = (sf, vocab_size)
+    if key not in _UNIGRAMS:
+        _UNIGRAMS[key] = unigram_train(T.lines(spark, sf), vocab_size=vocab_size)
+    return _UNIGRAMS[key]
+
+
+@register("unigram_train")
+def q_unigram_train(spark, sf):
+    return unigram_model(spark, sf).vocab_df(spark)
+
+
+@register("unigram_encode")
+def q_unigram_encode(spark, sf):
+    from ..functions.text import join_pieces
+    from ..operators.unigram import unigram_encode
+    ln = T.lines(spark, sf).select("doc_id", "line_no", "line")
+    out = unigram_encode(ln, "line", unigram_model(spark, sf).vocab_df(spark))
+    return out.select("doc_id", "line_no", join_pieces("pieces").alias("pieces"))
