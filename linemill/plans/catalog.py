@@ -714,3 +714,24 @@ def q_unigram_encode(spark, sf):
     ln = T.lines(spark, sf).select("doc_id", "line_no", "line")
     out = unigram_encode(ln, "line", unigram_model(spark, sf).vocab_df(spark))
     return out.select("doc_id", "line_no", join_pieces("pieces").alias("pieces"))
+
+
+# ---------------------------------------------------------------- streaming (P5 on a stream)
+@register("stream_tag_language", O.with_(O.BITEXT) + """
+select pair, doc_no, line_no, concat('<2', substr(pair, 4, 8), '> ', src) src_tagged, tgt
+from bitext""")
+def q_stream_tag_language(spark, sf):
+    """P5 as a Structured Streaming query: the bitext lands as Parquet files,
+    a file stream tags it and a Parquet sink (with checkpoint) collects it."""
+    from ..operators.clean import tag_language
+    from ..session import scratch_path
+    from ..streaming.live import read_table_stream, write_parquet_stream
+    src_path, out_path = scratch_path(spark, "bitext-in"), scratch_path(spark, "bitext-tagged")
+    b = _bitext(spark, sf).select("pair", "doc_no", "line_no", "src", "tgt")
+    b.write.mode("overwrite").parquet(src_path)
+    stream = read_table_stream(spark, src_path, "pair string, doc_no long, line_no long, "
+                                                "src string, tgt string")
+    tagged = tag_language(stream).select("pair", "doc_no", "line_no", "src_tagged", "tgt")
+    q = write_parquet_stream(tagged, out_path)
+    q.awaitTermination()
+    return spark.read.parquet(out_path)
