@@ -17,7 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "read_lines", "pretoken_histogram", "lookup_ids", "aligned_shuffle", "split_quota",
     "concat_ordered", "sort_shards", "read_segments", "mlm_examples_toy", "lca_interval",
-    "bpe_pair_counts", "bpe_train", "bpe_encode", "mlm_examples", "unigram_encode",
+    "bpe_pair_counts", "bpe_train", "bpe_encode", "mlm_examples", "unigram_train",
+    "unigram_encode",
 ]
 
 
