@@ -52,6 +52,16 @@ def split_words(norm: str) -> list[str]:
     return [WORD_START + w for w in norm[1:].split(WORD_START)]
 
 
+def prefix_set(pieces) -> set[str]:
+    """Every non-empty prefix of every piece: a lattice scan stops extending
+    a candidate as soon as it is no piece's prefix."""
+    out = set()
+    for p in pieces:
+        for k in range(1, len(p) + 1):
+            out.add(p[:k])
+    return out
+
+
 def _f32(x: float) -> float:
     return ctypes.c_float(x).value
 
@@ -72,7 +82,8 @@ class Segmenter:
     def __init__(self, scores: dict[str, float], max_len: int | None = None,
                  cache_size: int = 200_000):
         self.scores = scores
-        self.max_len = max_len or max((len(p) for p in scores), default=1)
+        self.max_len = min(max_len or 10 ** 9, max((len(p) for p in scores), default=1))
+        self.prefixes = prefix_set(scores)
         self.unk = (min(scores.values()) if scores else 0.0) - UNK_PENALTY
         self.cache: dict[str, tuple[list[str], bool]] = {}
         self.cache_size = cache_size
@@ -90,8 +101,12 @@ class Segmenter:
             if bi == -math.inf:
                 continue
             hit_single = False
+            pre = self.prefixes
             for k in range(1, min(self.max_len, n - i) + 1):
-                lp = sc.get(word[i:i + k])
+                sub = word[i:i + k]
+                if sub not in pre:
+                    break
+                lp = sc.get(sub)
                 if lp is None:
                     continue
                 if k == 1:
@@ -210,6 +225,7 @@ def _estep(words: DataFrame, scores: dict, max_len: int, viterbi: bool = False)
     def run(batches):
         sc, ml = bc.value
         seg = Segmenter(sc, ml)
+        pre, ml = seg.prefixes, seg.max_len
         acc: dict[str, float] = {}
         ll = 0.0
         for pdf in batches:
@@ -226,7 +242,10 @@ def _estep(words: DataFrame, scores: dict, max_len: int, viterbi: bool = False)
                     if alpha[i] == -math.inf:
                         continue
                     for k in range(1, min(ml, m - i) + 1):
-                        lp = sc.get(w[i:i + k])
+                        sub = w[i:i + k]
+                        if sub not in pre:
+                            break
+                        lp = sc.get(sub)
                         if lp is not None:
                             edges.append((i, k, lp))
                             a, b = alpha[i + k], alpha[i] + lp
@@ -290,7 +309,7 @@ def unigram_train(lines: DataFrame, vocab_size: int = 32000, col: str = "line",
     # passes are CPU-bound, so spread the word table over all cores.
     words = words.repartition(partitions or 2 * spark.sparkContext.defaultParallelism)
     words = words.checkpoint(eager=True)
-    seeds = seed_pieces(words, max_piece_len)
+    seeds = seed_pieces(words, max_piece_len).persist()
     chars = {r.piece: r.freq for r in seeds.filter(F.length("piece") == 1).collect()}
     n_multi = seeds.filter(F.length("piece") > 1).count()
     if len(chars) + n_multi < target:
@@ -302,6 +321,7 @@ def unigram_train(lines: DataFrame, vocab_size: int = 32000, col: str = "line",
     top = (seeds.filter(F.length("piece") > 1)
            .orderBy(F.desc(F.col("freq") * F.length("piece")), F.asc("piece"))
            .limit(n_seed).collect())
+    seeds.unpersist()
     cand = dict(chars)
     cand.update({r.piece: float(r.freq) for r in top})
     scores = _normalise_scores(cand, cand)
