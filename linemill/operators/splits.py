@@ -72,11 +72,13 @@ def split_quota(df: DataFrame, keys: list[str], group_cols=("pair",), dev: int =
     rows failing ``quality`` are train."""
     ok = quality if quality is not None else F.lit(True)
     d = df.withColumn("_ok", F.coalesce(ok, F.lit(False))).withColumn("_h", stable_hash(seed, *keys))
-    good = d.filter("_ok")
-    bad = d.filter(~F.col("_ok")).withColumn(split_col, F.lit("train"))
-    labelled = quota_labels(good, ["_h", *keys], hash_bucket(F.col("_h"), digits),
-                            list(group_cols), [("dev", dev), ("test", test)], split_col, "train")
-    return labelled.unionByName(bad).drop("_ok", "_h")
+    # one pass: passing and failing rows are separate groups; failing rows
+    # are train whatever their rank
+    labelled = quota_labels(d, ["_h", *keys], hash_bucket(F.col("_h"), digits),
+                            [*group_cols, "_ok"], [("dev", dev), ("test", test)], split_col, "train")
+    labelled = labelled.withColumn(
+        split_col, F.when(F.col("_ok"), F.col(split_col)).otherwise(F.lit("train")))
+    return labelled.drop("_ok", "_h")
 
 
 def hold_out(df: DataFrame, predicate: Column, name: str, split_col: str = "split") -> DataFrame:
