@@ -50,11 +50,12 @@ def test_toy_vocabulary_and_ids(spark):
             assert list(got[text].attention_mask) == masks[text]
 
 
-@pytest.mark.parametrize("vocab_size", [300, 420])
-def test_merges_equal_library(spark, vocab_size):
+@pytest.mark.parametrize("vocab_size,incremental", [(300, False), (420, False), (420, True)])
+def test_merges_equal_library(spark, vocab_size, incremental):
     lines = T.lines(spark, SF_SMALL)
     texts = [r.line for r in lines.orderBy("doc_id", "line_no").collect()]
-    model = bpe.bpe_train(stats.pretoken_histogram(lines), vocab_size=vocab_size)
+    model = bpe.bpe_train(stats.pretoken_histogram(lines), vocab_size=vocab_size,
+                          incremental=incremental, checkpoint_every=4)
     tok, lib_vocab, lib_merges = _lib(texts, vocab_size)
     assert model.merge_strings() == lib_merges
     assert {p: i for i, p in enumerate(model.vocab)} == lib_vocab
