@@ -256,7 +256,7 @@ def _estep(words: DataFrame, scores: dict, max_len: int, viterbi: bool = False)
                     continue
                 beta = [-math.inf] * (m + 1)
                 beta[m] = 0.0
-                for i, k, lp in sorted(edges, key=lambda e: -e[0]):
+                for i, k, lp in reversed(edges):   # edges were made by rising start
                     if beta[i + k] == -math.inf:
                         continue
                     a, b = beta[i], beta[i + k] + lp
