@@ -56,8 +56,7 @@ def lookup_ids(df: DataFrame, pieces_col: str, vocab: DataFrame, out_col: str =
     A subword vocabulary is bounded by its declared size, which is checked
     here before it is broadcast; the exploded pieces (the large side) are
     never shuffled, so a piece holding a third of all rows costs nothing
-    extra. Position order is restored by ``array_sort`` on (pos, id) structs
-    inside each row."""
+    extra. Output is long: ``(keys..., _pos, id)``."""
     n = vocab.count()
     if n > max_vocab:
         raise ValueError(f"vocabulary of {n} pieces exceeds the broadcast bound {max_vocab}")
