@@ -215,8 +215,8 @@ def stats_pretok(c):
 
 
 OFFSETS_SQL = """f as (select doc_id, count(*) n from lines group by doc_id),
-o as (select doc_id, coalesce(sum(n) over (order by doc_id rows between unbounded preceding
-      and 1 preceding), 0) start from f)"""
+o as (select doc_id, cast(coalesce(sum(n) over (order by doc_id rows between unbounded
+      preceding and 1 preceding), 0) as bigint) start from f)"""
 
 
 @register("sample_at", O.with_(O.LINES, OFFSETS_SQL) + """,
@@ -238,7 +238,7 @@ def q_sample_at(spark, sf):
 
 # ---------------------------------------------------------------- A1, A2, A7
 @register("count_blank_lines", O.with_(O.LINES, O.LINES_DIRTY) + """
-select lang, source, count(*) n_lines, count_if(line = '') n_blank from lines_dirty
+select lang, source, count(*) n_lines, cast(count_if(line = '') as bigint) n_blank from lines_dirty
 group by lang, source""")
 def q_count_blank_lines(spark, sf):
     return stats.count_blank_lines(T.lines_dirty(spark, sf), ["lang", "source"])
@@ -246,7 +246,7 @@ def q_count_blank_lines(spark, sf):
 
 @register("corpus_summary", O.with_(O.LINES) + """, pf as (
   select lang, doc_id, count(*) n from lines group by lang, doc_id)
-select lang, count(*) n_files, sum(n) n_examples, cast(ceil(sum(n) / 32) as bigint) n_batches,
+select lang, count(*) n_files, cast(sum(n) as bigint) n_examples, cast(ceil(sum(n) / 32) as bigint) n_batches,
        cast(arg_min(n, doc_id) * (count(*) - 1) + arg_max(n, doc_id) as bigint) ref_examples
 from pf group by lang""")
 def q_corpus_summary(spark, sf):
@@ -471,9 +471,9 @@ def q_attention_mask(spark, sf):
 
 
 @register("mlm_mask", O.with_(O.LINES, O.TOY_IDS) + """
-select doc_id, line_no, pos, case when id not in (0, 1, 2) and
+select doc_id, line_no, pos, cast(case when id not in (0, 1, 2) and
   substr(md5(concat('42:0:', doc_id, ':', line_no, ':', pos)), 1, 8) < '26666666'
-  then 4 else id end id
+  then 4 else id end as integer) id
 from toy_ids""")
 def q_mlm_mask(spark, sf):
     from ..functions.arrays import mlm_mask
@@ -534,7 +534,7 @@ hist as (select t w, count(*) n from (select unnest({O.pretokens_expr('line')})
 wb as (select n, hex(encode(w)) h from hist),
 pr as (select n, substr(h, 2 * k + 1, 2) x, substr(h, 2 * k + 3, 2) y
        from wb, unnest(range(0, cast(length(h) / 2 as bigint) - 1)) u(k))
-select a.id left_id, b.id right_id, sum(n) n
+select a.id left_id, b.id right_id, cast(sum(n) as bigint) n
 from pr join bmap a on a.hx = pr.x join bmap b on b.hx = pr.y group by a.id, b.id""")
 def q_bpe_pair_counts(spark, sf):
     from ..operators.bpe import pair_counts, words_table

@@ -35,3 +35,23 @@ def test_every_survey_operator_is_registered():
     join_pieces frame_truncate pad_to attention_mask mlm_mask lr_schedule mlm_examples""".split()
     missing = [n for n in expected if n not in QUERIES]
     assert not missing, missing
+
+
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double",
+                 "BOOLEAN": "boolean", "FLOAT": "float"}
+
+
+def test_column_types_match_oracle(spark):
+    from oracle_harness import TABLES
+    import duckdb
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from read_parquet('{SF_SMALL}/{t}.parquet')")
+    bad = {}
+    for name, sql in ORACLE.items():
+        rel = con.sql(sql)
+        duck = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+        ours = {f.name: f.dataType.simpleString() for f in QUERIES[name](spark, SF_SMALL).schema.fields}
+        if duck != ours:
+            bad[name] = (ours, duck)
+    assert not bad, bad
