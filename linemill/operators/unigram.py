@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, spread
 
 # --- fixed values -----------------------------------------------------------
 WORD_START = "▁"          # the "▁" marker that replaces white space
@@ -307,7 +307,7 @@ def unigram_train(lines: DataFrame, vocab_size: int = 32000, col: str = "line",
     words = word_histogram(lines, col)
     # AQE may coalesce a small aggregate into one partition; the iterative
     # passes are CPU-bound, so spread the word table over all cores.
-    words = words.repartition(partitions or 2 * spark.sparkContext.defaultParallelism)
+    words = spread(words, partitions)
     words = words.checkpoint(eager=True)
     seeds = seed_pieces(words, max_piece_len).persist()
     chars = {r.piece: r.freq for r in seeds.filter(F.length("piece") == 1).collect()}

@@ -56,3 +56,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh table path inside the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, partitions: int | None = None):
+    """Hash-spread a table that later CPU-bound passes read many times (the
+    word tables of the vocabulary trainers) over at least two partitions per
+    core. Runs once per training job: AQE may coalesce a small aggregate into
+    a single partition at run time, which would leave every later pass on
+    one core."""
+    spark = df.sparkSession
+    n = partitions or max(2 * spark.sparkContext.defaultParallelism,
+                          int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    return df.repartition(n)
