@@ -735,3 +735,28 @@ def q_stream_tag_language(spark, sf):
     q = write_parquet_stream(tagged, out_path)
     q.awaitTermination()
     return spark.read.parquet(out_path)
+
+
+# ---------------------------------------------------------------- S3 (archives)
+DOCS_PER_ARCHIVE = 64
+
+
+@register("read_archive_members", O.with_(O.LINES, O.SEGMENT_DOCS) + f"""
+select concat('dev/newstest', doc_id, '.sgm') member, length("xml") n_chars, md5("xml") digest
+from segment_docs""")
+def q_read_archive_members(spark, sf):
+    """S3: the documents are packed as SGM members into tar archives of at
+    most {DOCS_PER_ARCHIVE} documents (by id range) in the shared folder, then
+    the archives are read back and their ``.sgm`` members extracted."""
+    from ..session import scratch_path
+    from ..sources.archives import read_archive_members, write_archives
+    path = scratch_path(spark, "dev-archives")
+    docs = T.segment_docs(spark, sf).select(
+        F.concat(F.lit("dev-"), F.floor(F.col("doc_id") / DOCS_PER_ARCHIVE).cast("string"))
+        .alias("archive"),
+        F.concat(F.lit("dev/newstest"), F.col("doc_id").cast("string"), F.lit(".sgm")).alias("member"),
+        F.col("xml").alias("text"))
+    write_archives(docs, path).collect()   # one small row per archive
+    m = read_archive_members(spark, f"{path}/*.tgz", "*.sgm")
+    return m.select("member", F.length("text").cast("long").alias("n_chars"),
+                    F.md5("text").alias("digest"))

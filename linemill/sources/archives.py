@@ -83,3 +83,49 @@ def read_segments(df: DataFrame, xml_col: str = "xml", doc_col: str = "doc_id",
             yield pd.DataFrame(rows, columns=["doc_id", "seg_no", "text"])
 
     return df.select(F.col(doc_col), F.col(xml_col)).mapInPandas(run, SEGMENT_SCHEMA)
+
+
+# ---------------------------------------------------------------- archive writer
+ARCHIVE_SCHEMA = "archive string, n_members long, n_bytes long"
+
+
+def _fs_uri(path: str) -> str:
+    """``file:/x`` (Hadoop style) to ``file:///x`` for the Arrow file systems."""
+    if path.startswith("file:/") and not path.startswith("file:///"):
+        return "file:///" + path[len("file:/"):].lstrip("/")
+    if "://" not in path:
+        return "file://" + path
+    return path
+
+
+def write_archives(df: DataFrame, path: str, archive_col: str = "archive",
+                   member_col: str = "member", text_col: str = "text",
+                   encoding: str = "utf-8") -> DataFrame:
+    """Write gzip'd tar archives ``path/<archive>.tgz``, one per value of
+    ``archive_col``, holding ``text_col`` under the name ``member_col``.
+
+    Each archive is built by one task (``applyInPandas`` per archive) and
+    written through the Arrow file system of ``path`` (local, HDFS or object
+    store), so the caller bounds an archive's size by how it assigns rows to
+    archives (for example by id range). Returns one row per archive written."""
+    target = _fs_uri(path.rstrip("/"))
+
+    def build(pdf: pd.DataFrame) -> pd.DataFrame:
+        import pyarrow.fs as pafs
+        name = str(pdf[archive_col].iloc[0])
+        buf = io.BytesIO()
+        with tarfile.open(fileobj=buf, mode="w:gz") as tar:
+            for m, t in sorted(zip(pdf[member_col], pdf[text_col])):
+                data = (t or "").encode(encoding)
+                info = tarfile.TarInfo(m)
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+        fs, base = pafs.FileSystem.from_uri(target)
+        fs.create_dir(base, recursive=True)
+        with fs.open_output_stream(f"{base}/{name}.tgz") as out:
+            out.write(buf.getvalue())
+        return pd.DataFrame([(name, len(pdf), buf.tell())],
+                            columns=["archive", "n_members", "n_bytes"])
+
+    return df.select(archive_col, member_col, text_col).groupBy(archive_col).applyInPandas(
+        build, ARCHIVE_SCHEMA)

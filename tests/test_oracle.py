@@ -26,7 +26,7 @@ def test_runs_without_oracle(spark, name):
 
 
 def test_every_survey_operator_is_registered():
-    expected = """read_lines discover_corpus read_segments load_vocab write_lines write_vocab
+    expected = """read_lines discover_corpus read_archive_members read_segments load_vocab write_lines write_vocab
     build_or_reuse write_lca_log append_metrics normalize_newlines drop_lines protect_amp
     strip_text tag_language parse_corpus_name vocab_pieces zip_parallel pair_ref_src lookup_ids
     sample_at count_blank_lines corpus_summary pretoken_histogram bpe_train vocab_size plan_steps
