@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import ctypes
 import math
+import re
 import unicodedata
 from dataclasses import dataclass
 
@@ -31,15 +32,16 @@ UNK_PENALTY = 10.0             # an unknown character scores min score - 10
 # -----------------------------------------------------------------------------
 
 
+# control characters (category Cc) that Python does not count as white space
+_CONTROLS = re.compile("[\x00-\x08\x0e-\x1b\x7f-\x84\x86-\x9f]")
+
+
 def normalize(text: str) -> str:
     """NFKC, drop control characters, white space runs to one ``▁``, a ``▁``
     before the first word; empty or blank text gives ``""``."""
     if not text:
         return ""
-    s = unicodedata.normalize("NFKC", text)
-    s = "".join(" " if ch.isspace() else ch for ch in s
-                if ch.isspace() or unicodedata.category(ch) != "Cc")
-    words = s.split()
+    words = _CONTROLS.sub("", unicodedata.normalize("NFKC", text)).split()
     if not words:
         return ""
     return WORD_START + WORD_START.join(words)
@@ -215,6 +217,53 @@ def seed_pieces(words: DataFrame, max_len: int) -> DataFrame:
             .groupBy("piece").agg(F.sum("n").alias("freq")))
 
 
+_NEG = -math.inf
+
+
+def _logadd(a: float, b: float) -> float:
+    if a == _NEG:
+        return b
+    if a > b:
+        return a + math.log1p(math.exp(b - a))
+    return b + math.log1p(math.exp(a - b))
+
+
+def _expected_counts(w: str, n: int, sc: dict, pre: set, ml: int, acc: dict) -> float:
+    """Forward-backward over one word's lattice: adds ``n`` x the expected
+    count of every piece to ``acc`` and returns ``n`` x log P(word)."""
+    m = len(w)
+    alpha = [_NEG] * (m + 1)
+    alpha[0] = 0.0
+    edges = []
+    for i in range(m):
+        ai = alpha[i]
+        if ai == _NEG:
+            continue
+        for k in range(1, min(ml, m - i) + 1):
+            sub = w[i:i + k]
+            if sub not in pre:
+                break
+            lp = sc.get(sub)
+            if lp is not None:
+                edges.append((i, i + k, lp, sub))
+                alpha[i + k] = _logadd(alpha[i + k], ai + lp)
+    z = alpha[m]
+    if z == _NEG:
+        return 0.0
+    beta = [_NEG] * (m + 1)
+    beta[m] = 0.0
+    for i, j, lp, _ in reversed(edges):   # edges were made by rising start
+        bj = beta[j]
+        if bj != _NEG:
+            beta[i] = _logadd(beta[i], bj + lp)
+    exp = math.exp
+    for i, j, lp, sub in edges:
+        e = alpha[i] + lp + beta[j] - z
+        if e > -50:
+            acc[sub] = acc.get(sub, 0.0) + n * exp(e)
+    return n * z
+
+
 def _estep(words: DataFrame, scores: dict, max_len: int, viterbi: bool = False) -> DataFrame:
     """Expected (or best-path) piece counts and the log-likelihood, from one
     pass over the word table. Each task combines its counts before the
@@ -234,39 +283,7 @@ def _estep(words: DataFrame, scores: dict, max_len: int, viterbi: bool = False)
                     for p in seg.viterbi(w):
                         acc[p] = acc.get(p, 0.0) + n
                     continue
-                m = len(w)
-                alpha = [-math.inf] * (m + 1)
-                alpha[0] = 0.0
-                edges = []
-                for i in range(m):
-                    if alpha[i] == -math.inf:
-                        continue
-                    for k in range(1, min(ml, m - i) + 1):
-                        sub = w[i:i + k]
-                        if sub not in pre:
-                            break
-                        lp = sc.get(sub)
-                        if lp is not None:
-                            edges.append((i, k, lp))
-                            a, b = alpha[i + k], alpha[i] + lp
-                            alpha[i + k] = max(a, b) + math.log1p(math.exp(-abs(a - b))) \
-                                if a != -math.inf else b
-                z = alpha[m]
-                if z == -math.inf:
-                    continue
-                beta = [-math.inf] * (m + 1)
-                beta[m] = 0.0
-                for i, k, lp in reversed(edges):   # edges were made by rising start
-                    if beta[i + k] == -math.inf:
-                        continue
-                    a, b = beta[i], beta[i + k] + lp
-                    beta[i] = max(a, b) + math.log1p(math.exp(-abs(a - b))) if a != -math.inf else b
-                ll += n * z
-                for i, k, lp in edges:
-                    e = alpha[i] + lp + beta[i + k] - z
-                    if e > -50:
-                        p = w[i:i + k]
-                        acc[p] = acc.get(p, 0.0) + n * math.exp(e)
+                ll += _expected_counts(w, n, sc, pre, ml, acc)
         rows = list(acc.items()) + [("\u0000loglik", ll)]
         yield pd.DataFrame(rows, columns=["piece", "c"])
 
