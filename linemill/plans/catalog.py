@@ -204,16 +204,12 @@ from lines, unnest({O.pretokens_expr('line')}) with ordinality u(t, i)
 left join fvocab v on v.piece = u.t""")
 def q_lookup_ids(spark, sf):
     from ..operators.joins import lookup_ids
-    ln = T.lines(spark, sf).select("doc_id", "line_no", stats_pretok("line").alias("pieces"))
+    from ..functions.text import pretokenize
+    ln = T.lines(spark, sf).select("doc_id", "line_no", pretokenize("line").alias("pieces"))
     out = lookup_ids(ln, "pieces", _freq_vocab(spark, sf))
     return out.select("doc_id", "line_no", F.col("_pos").cast("long").alias("pos"), "id")
 
 
-def stats_pretok(c):
-    from ..functions.text import pretokenize
-    return pretokenize(c)
-
-
 OFFSETS_SQL = """f as (select doc_id, count(*) n from lines group by doc_id),
 o as (select doc_id, cast(coalesce(sum(n) over (order by doc_id rows between unbounded
       preceding and 1 preceding), 0) as bigint) start from f)"""

@@ -56,7 +56,11 @@ def read_lines(spark: SparkSession, paths, newline: str = "universal",
     w = Window.partitionBy("unit").orderBy("path", "_blk").rowsBetween(
         Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    out = raw.join(blocks.select("path", "_blk", "_m0", "_off"), ["path", "_blk"], "inner")
+    # The block table has one row per file split (about 100 bytes per
+    # 128 MB of input, so 1e-6 of the text): broadcast it, so the text itself
+    # is never shuffled for its numbering.
+    out = raw.join(F.broadcast(blocks.select("path", "_blk", "_m0", "_off")),
+                   ["path", "_blk"], "inner")
     out = out.select("unit", "path", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("line_no"),
                      "line", "_size")
     if trailing_empty:
