@@ -90,3 +90,21 @@ def test_pretokenizer_matches_library(spark):
         lib = [w for w, _ in pre.pre_tokenize_str(r.line)]
         ours = ["".join(table[b] for b in t.encode("utf-8")) for t in r.t]
         assert ours == lib, r.line
+
+
+def test_training_from_files_keeps_line_breaks(spark, tmp_dir):
+    """The library trained on a file sees each line with its break; the
+    histogram with ``line_end`` reproduces that."""
+    import os
+    lines = T.lines(spark, SF_SMALL)
+    texts = [r.line for r in lines.orderBy("doc_id", "line_no").collect()]
+    path = os.path.join(tmp_dir, "train.txt")
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("".join(t + "\n" for t in texts))
+    tok = tokenizers.ByteLevelBPETokenizer()
+    tok.train(files=[path], vocab_size=330, min_frequency=2, special_tokens=SPECIAL_TOKENS,
+              show_progress=False)
+    m = json.loads(tok._tokenizer.to_str())["model"]
+    lib = [tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in m["merges"]]
+    model = bpe.bpe_train(stats.pretoken_histogram(lines, line_end="\n"), vocab_size=330)
+    assert model.merge_strings() == lib
