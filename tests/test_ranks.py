@@ -66,3 +66,22 @@ def test_global_rank_equals_row_number(spark):
     ref = h.withColumn("r", F.row_number().over(
         Window.partitionBy("lang").orderBy("h", "doc_id", "line_no")))
     assert sorted(tuple(r) for r in ours.collect()) == sorted(tuple(r) for r in ref.select(*ours.columns).collect())
+
+
+def test_quota_labels_match_row_number_for_any_quota(spark):
+    """Coarse buckets (one hex digit) put quota boundaries inside buckets;
+    the labels must still equal ranking every row."""
+    from pyspark.sql import Window
+    from linemill.functions.hashing import stable_hash
+    from linemill.operators.ranks import hash_bucket, quota_labels
+    ln = T.lines(spark, SF_MID).select("doc_id", "line_no", "lang").withColumn(
+        "h", stable_hash(11, "doc_id", "line_no")).persist()
+    ref = ln.withColumn("r", F.row_number().over(
+        Window.partitionBy("lang").orderBy("h", "doc_id", "line_no")))
+    for dev, test in ((1, 1), (37, 500), (1000, 0), (5000, 5000)):
+        want = ref.select("doc_id", "line_no", F.when(F.col("r") <= dev, "dev")
+                          .when(F.col("r") <= dev + test, "test").otherwise("train").alias("s"))
+        got = quota_labels(ln, ["h", "doc_id", "line_no"], hash_bucket(F.col("h"), 1), ["lang"],
+                           [("dev", dev), ("test", test)], "s", "train").select("doc_id", "line_no", "s")
+        assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+    ln.unpersist()
