@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from linemill.functions.arrays import SPECIAL_TOKENS
 from linemill.operators import bpe, stats

@@ -1,7 +1,6 @@
 """Joins: strict alignment, index lookup with both formulas, hold-out leak check."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from linemill.operators.joins import AlignmentError, line_offsets, sample_at, zip_parallel
 from linemill.operators.splits import leaked_rows

@@ -5,7 +5,6 @@ import os
 import tarfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from linemill.sources.archives import read_archive_members, read_segments, segments_of
 from linemill.sources.lines import discover_corpus, glob_to_regex, read_lines

@@ -5,7 +5,6 @@ import math
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from linemill.operators import unigram as U
 from linemill.plans import tables as T
