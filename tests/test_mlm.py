@@ -35,3 +35,15 @@ def test_frame_truncate_keeps_specials(spark):
     df = spark.createDataFrame([(list(range(5, 50)),)], "ids array<int>")
     f = df.select(frame_truncate("ids", 8).alias("f")).first().f
     assert list(f) == [0, 5, 6, 7, 8, 9, 10, 2]
+
+
+def test_fast_draw_share_and_specials(spark):
+    a = T.toy_id_arrays(T.lines(spark, SF_MID))
+    ex = mlm_examples(a, "ids", ["doc_id", "line_no"], max_length=32, epoch=1, seed=7, p=0.15,
+                      draw="xxhash64")
+    z = ex.select(F.explode(F.arrays_zip("input_ids", "labels")).alias("z")).select("z.*")
+    s = z.agg(F.count_if(~F.col("labels").isin(0, 1, 2)).alias("m"),
+              F.count_if(F.col("input_ids") != F.col("labels")).alias("c"),
+              F.count_if(F.col("labels").isin(0, 1, 2) & (F.col("input_ids") != F.col("labels")))
+              .alias("bad")).first()
+    assert 0.14 < s.c / s.m < 0.16 and s.bad == 0
