@@ -122,3 +122,19 @@ def test_vocab_round_trips(spark, tmp_dir):
     assert len(calls) == 1
     build_or_reuse(spark, p, build, overwrite=True)
     assert len(calls) == 2
+
+
+def test_lca_log_nested_json(spark, tmp_dir):
+    from linemill.sources.sinks import write_lca_log
+    log = spark.createDataFrame([(0, "w", 1.0, 0.5, 2.0, 1.0), (25, "w", 3.0, 1.5, 4.0, 2.0)],
+                                "step long, param string, lca_sum double, lca_mean double, "
+                                "interval_sum double, interval_mean double")
+    out = os.path.join(tmp_dir, "lca")
+    write_lca_log(log, out, nested=True)
+    import json
+    import glob
+    rows = [json.loads(line) for f in glob.glob(os.path.join(out, "*.json"))
+            for line in open(f) if line.strip()]
+    assert rows == [{"param": "w", "steps": {
+        "STEP_0": {"sum": 1.0, "mean": 0.5, "interval.sum": 2.0, "interval.mean": 1.0},
+        "STEP_25": {"sum": 3.0, "mean": 1.5, "interval.sum": 4.0, "interval.mean": 2.0}}}]
