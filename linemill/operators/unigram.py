@@ -54,14 +54,17 @@ def split_words(norm: str) -> list[str]:
     return [WORD_START + w for w in norm[1:].split(WORD_START)]
 
 
-def prefix_set(pieces) -> set[str]:
-    """Every non-empty prefix of every piece: a lattice scan stops extending
-    a candidate as soon as it is no piece's prefix."""
-    out = set()
+def piece_trie(pieces) -> dict:
+    """Character trie of the pieces (nested dicts; key ``None`` marks a
+    piece end and holds the piece). Walking it finds every piece starting
+    at a position without building a substring per candidate length."""
+    root: dict = {}
     for p in pieces:
-        for k in range(1, len(p) + 1):
-            out.add(p[:k])
-    return out
+        node = root
+        for ch in p:
+            node = node.setdefault(ch, {})
+        node[None] = p
+    return root
 
 
 def _f32(x: float) -> float:
@@ -85,7 +88,7 @@ class Segmenter:
                  cache_size: int = 200_000):
         self.scores = scores
         self.max_len = min(max_len or 10 ** 9, max((len(p) for p in scores), default=1))
-        self.prefixes = prefix_set(scores)
+        self.trie = piece_trie(scores)
         self.unk = (min(scores.values()) if scores else 0.0) - UNK_PENALTY
         self.cache: dict[str, tuple[list[str], bool]] = {}
         self.cache_size = cache_size
@@ -103,23 +106,26 @@ class Segmenter:
             if bi == -math.inf:
                 continue
             hit_single = False
-            pre = self.prefixes
-            for k in range(1, min(self.max_len, n - i) + 1):
-                sub = word[i:i + k]
-                if sub not in pre:
+            node = self.trie
+            for e in range(i, min(n, i + self.max_len)):
+                node = node.get(word[e])
+                if node is None:
                     break
-                lp = sc.get(sub)
+                piece = node.get(None)
+                if piece is None:
+                    continue
+                lp = sc.get(piece)
                 if lp is None:
                     continue
-                if k == 1:
+                if e == i:
                     hit_single = True
                 v = _f32(lp + bi) if single else bi + lp
-                cur = best[i + k]
+                cur = best[e + 1]
                 if v > cur:
                     if cur - v > -self.NEAR_TIE:
                         near = True
-                    best[i + k] = v
-                    back[i + k] = i
+                    best[e + 1] = v
+                    back[e + 1] = i
                 elif v - cur > -self.NEAR_TIE:
                     near = True
             if not hit_single:
@@ -228,7 +234,7 @@ def _logadd(a: float, b: float) -> float:
     return b + math.log1p(math.exp(a - b))
 
 
-def _expected_counts(w: str, n: int, sc: dict, pre: set, ml: int, acc: dict) -> float:
+def _expected_counts(w: str, n: int, sc: dict, trie: dict, ml: int, acc: dict) -> float:
     """Forward-backward over one word's lattice: adds ``n`` x the expected
     count of every piece to ``acc`` and returns ``n`` x log P(word)."""
     m = len(w)
@@ -239,14 +245,18 @@ def _expected_counts(w: str, n: int, sc: dict, pre: set, ml: int, acc: dict) ->
         ai = alpha[i]
         if ai == _NEG:
             continue
-        for k in range(1, min(ml, m - i) + 1):
-            sub = w[i:i + k]
-            if sub not in pre:
+        node = trie
+        for e in range(i, min(m, i + ml)):
+            node = node.get(w[e])
+            if node is None:
                 break
+            sub = node.get(None)
+            if sub is None:
+                continue
             lp = sc.get(sub)
             if lp is not None:
-                edges.append((i, i + k, lp, sub))
-                alpha[i + k] = _logadd(alpha[i + k], ai + lp)
+                edges.append((i, e + 1, lp, sub))
+                alpha[e + 1] = _logadd(alpha[e + 1], ai + lp)
     z = alpha[m]
     if z == _NEG:
         return 0.0
@@ -274,7 +284,7 @@ def _estep(words: DataFrame, scores: dict, max_len: int, viterbi: bool = False)
     def run(batches):
         sc, ml = bc.value
         seg = Segmenter(sc, ml)
-        pre, ml = seg.prefixes, seg.max_len
+        trie, ml = seg.trie, seg.max_len
         acc: dict[str, float] = {}
         ll = 0.0
         for pdf in batches:
@@ -283,7 +293,7 @@ def _estep(words: DataFrame, scores: dict, max_len: int, viterbi: bool = False)
                     for p in seg.viterbi(w):
                         acc[p] = acc.get(p, 0.0) + n
                     continue
-                ll += _expected_counts(w, n, sc, pre, ml, acc)
+                ll += _expected_counts(w, n, sc, trie, ml, acc)
         rows = list(acc.items()) + [("\u0000loglik", ll)]
         yield pd.DataFrame(rows, columns=["piece", "c"])
 
