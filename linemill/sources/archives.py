@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MEMBER_SCHEMA = "archive string, member string, text string"
-SEGMENT_SCHEMA = "doc_id long, seg_no int, text string"
 
 
 def _members(pattern: str, encoding: str):
@@ -65,13 +64,15 @@ def segments_of(xml_text: str, on_empty: str = "blank"):
 
 def read_segments(df: DataFrame, xml_col: str = "xml", doc_col: str = "doc_id",
                   on_empty: str = "blank") -> DataFrame:
-    """``(doc_id, seg_no, text)`` from a column of SGM/XML documents.
+    """``(doc_col, seg_no, text)`` from a column of SGM/XML documents;
+    the document key keeps its own name and type.
 
     Parsed per row with ``xml.etree`` inside Arrow batches (``mapInPandas``);
     Spark's XML functions return the tail text after child elements, which
     is not what the segment extractor keeps."""
     if on_empty not in ("blank", "error", "skip"):
         raise ValueError(on_empty)
+    key_type = df.schema[doc_col].dataType.simpleString()
 
     def run(batches):
         for pdf in batches:
@@ -79,10 +80,11 @@ def read_segments(df: DataFrame, xml_col: str = "xml", doc_col: str = "doc_id",
             for d, x in zip(pdf[doc_col], pdf[xml_col]):
                 if x is None:
                     continue
-                rows.extend((int(d), n, t) for n, t in segments_of(x, on_empty))
-            yield pd.DataFrame(rows, columns=["doc_id", "seg_no", "text"])
+                rows.extend((d, n, t) for n, t in segments_of(x, on_empty))
+            yield pd.DataFrame(rows, columns=[doc_col, "seg_no", "text"])
 
-    return df.select(F.col(doc_col), F.col(xml_col)).mapInPandas(run, SEGMENT_SCHEMA)
+    schema = f"`{doc_col}` {key_type}, seg_no int, text string"
+    return df.select(F.col(doc_col), F.col(xml_col)).mapInPandas(run, schema)
 
 
 # ---------------------------------------------------------------- archive writer

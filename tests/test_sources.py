@@ -138,3 +138,10 @@ def test_lca_log_nested_json(spark, tmp_dir):
     assert rows == [{"param": "w", "steps": {
         "STEP_0": {"sum": 1.0, "mean": 0.5, "interval.sum": 2.0, "interval.mean": 1.0},
         "STEP_25": {"sum": 3.0, "mean": 1.5, "interval.sum": 4.0, "interval.mean": 2.0}}}]
+
+
+def test_segments_keep_key_name_and_type(spark):
+    df = spark.createDataFrame([("dev/a.sgm", '<d><seg id="1"> x </seg></d>')], "member string, xml string")
+    got = read_segments(df, "xml", "member")
+    assert got.columns == ["member", "seg_no", "text"]
+    assert [tuple(r) for r in got.collect()] == [("dev/a.sgm", 1, "x")]
