@@ -28,7 +28,7 @@ def _text_reader(spark: SparkSession, newline: str):
 
 def read_lines(spark: SparkSession, paths, newline: str = "universal",
                trailing_empty: bool = False, unit: str = "file",
-               recursive: bool = False) -> DataFrame:
+               recursive: bool = False, path_glob: str | None = None) -> DataFrame:
     """``(path, line_no, line)`` for every line of the given files.
 
     ``newline='universal'`` ends a line at ``\\n``, ``\\r\\n`` or a lone
@@ -42,6 +42,8 @@ def read_lines(spark: SparkSession, paths, newline: str = "universal",
     reader = _text_reader(spark, newline)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
+    if path_glob:
+        reader = reader.option("pathGlobFilter", path_glob)   # files are pruned at listing
     raw = reader.load(paths).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("_blk"),
@@ -64,20 +66,23 @@ def read_lines(spark: SparkSession, paths, newline: str = "universal",
     out = out.select("unit", "path", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("line_no"),
                      "line", "_size")
     if trailing_empty:
-        out = out.unionByName(_trailing_rows(spark, paths, recursive, unit), allowMissingColumns=True)
+        out = out.unionByName(_trailing_rows(spark, paths, recursive, unit, path_glob),
+                              allowMissingColumns=True)
     out = out.drop("_size")
     if unit == "file":
         out = out.drop("unit")
     return out
 
 
-def _trailing_rows(spark, paths, recursive, unit):
+def _trailing_rows(spark, paths, recursive, unit, path_glob=None):
     """One empty line per file that ends in ``\\n``: with ``\\n`` as the only
     separator a file ends in one exactly when its size equals its line bytes
     plus one byte per line."""
     r = _text_reader(spark, "lf")
     if recursive:
         r = r.option("recursiveFileLookup", "true")
+    if path_glob:
+        r = r.option("pathGlobFilter", path_glob)
     per = r.load(paths).groupBy(F.col("_metadata.file_path").alias("path"),
                                 F.col("_metadata.file_size").alias("_size")).agg(
         F.count(F.lit(1)).alias("_n"), F.sum(F.octet_length("value")).alias("_bytes"))
@@ -154,3 +159,15 @@ def discover_corpus(spark: SparkSession, root: str, include: str | None = None,
     return files.select(
         "path", "name", *[corpus_name_part("name", p).alias(p) for p in ("pair", "split", "lang")],
         F.regexp_extract("name", r"(\.[^.]*)$", 1).alias("suffix"), "size")
+
+
+def read_corpus(spark: SparkSession, root: str, include: str | None = None, exclude=(),
+                suffixes=None, newline: str = "universal") -> DataFrame:
+    """S2 + S1 + P6: every line of the corpus files under ``root`` with the
+    pair, split and language taken from the file name. ``include`` prunes
+    files while listing; ``exclude`` and ``suffixes`` filter by name."""
+    ln = read_lines(spark, root, newline, recursive=True, path_glob=include)
+    ln = ln.withColumn("name", basename("path"))
+    ln = select_files(ln, None, exclude, suffixes)
+    return ln.select("path", *[corpus_name_part("name", p).alias(p)
+                               for p in ("pair", "split", "lang")], "line_no", "line")

@@ -145,3 +145,15 @@ def test_segments_keep_key_name_and_type(spark):
     got = read_segments(df, "xml", "member")
     assert got.columns == ["member", "seg_no", "text"]
     assert [tuple(r) for r in got.collect()] == [("dev/a.sgm", 1, "x")]
+
+
+def test_read_corpus(spark, tmp_dir):
+    from linemill.sources.lines import read_corpus
+    os.makedirs(os.path.join(tmp_dir, "en-de"))
+    for name, body in [("en-de.train.en", b"a\nb\n"), ("en-de.train.de", b"x\ny\n"),
+                       ("en-de.train.en.ids", b"1\n"), ("notes.txt", b"n\n")]:
+        _write(os.path.join(tmp_dir, "en-de", name), body)
+    got = read_corpus(spark, tmp_dir, include="en-*", exclude=["*.ids"])
+    rows = sorted((r.pair, r.split, r.lang, r.line_no, r.line) for r in got.collect())
+    assert rows == [("en-de", "train", "de", 0, "x"), ("en-de", "train", "de", 1, "y"),
+                    ("en-de", "train", "en", 0, "a"), ("en-de", "train", "en", 1, "b")]
