@@ -83,3 +83,19 @@ def test_training_plans(spark, tmp_dir):
     assert any(v[0] != v[1] for v in by_key.values())       # masks differ per epoch
     plan = training.step_plan(spark, lines, batch_size=8, epochs=2, warmup=5)
     assert plan.count() == 2 * (-(-n // 8)) + 500
+
+
+def test_news_dev_and_blank_report(spark):
+    b = T.bitext(spark, SF_MID)
+    europarl = b.filter(~F.col("source").isin("src0", "src1"))
+    news = b.filter(F.col("source").isin("src0", "src1"))
+    split = prep.split_parallel(europarl, dev=50, test=50, seed=2)
+    grown = prep.add_news_dev(split, news, F.col("source") == "src0")
+    counts = {r.split: r["count"] for r in grown.groupBy("split").count().collect()}
+    n_src0 = news.filter(F.col("source") == "src0").count()
+    assert counts["newstest2018"] == n_src0
+    assert sum(counts.values()) == b.count()
+    assert counts["train"] == europarl.count() - 300 + news.count() - n_src0
+    rep = prep.blank_report(split)
+    total = rep.agg(F.sum("n_lines")).first()[0]
+    assert total == 2 * europarl.count()
