@@ -99,3 +99,15 @@ def test_news_dev_and_blank_report(spark):
     rep = prep.blank_report(split)
     total = rep.agg(F.sum("n_lines")).first()[0]
     assert total == 2 * europarl.count()
+
+
+def test_log_training(spark, tmp_dir):
+    from linemill.plans import training
+    trace = T.param_trace(spark, SF_SMALL)
+    metrics = spark.createDataFrame([(0, "loss", 2.5), (1, "loss", 2.25)], "step long, tag string, value double")
+    lca_path, m_path = os.path.join(tmp_dir, "lca"), os.path.join(tmp_dir, "metrics")
+    training.log_training(trace, 5, lca_path, metrics, m_path)
+    training.log_training(trace, 0, os.path.join(tmp_dir, "none"), metrics, m_path)  # LCA off
+    assert spark.read.json(lca_path).count() > 0
+    assert not os.path.exists(os.path.join(tmp_dir, "none"))
+    assert spark.read.parquet(m_path).count() == 4
