@@ -45,3 +45,29 @@ def test_pretokenize_matches_library(spark, texts):
         lib = [w for w, _ in pre.pre_tokenize_str(texts[r.i])]
         ours = ["".join(BYTE_CHARS[b] for b in w.encode("utf-8")) for w in r.p]
         assert ours == lib, texts[r.i]
+
+
+LINE = st.text(alphabet=st.sampled_from(list("abc é\t")), max_size=30)
+FILES = st.lists(st.lists(LINE, min_size=1, max_size=300), min_size=1, max_size=4)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(FILES, st.sampled_from(["\n", "\r\n"]))
+def test_read_lines_numbering_over_tiny_splits(spark, tmp_path_factory, files, sep):
+    import os
+    from linemill.sources.lines import read_lines
+    d = str(tmp_path_factory.mktemp("lines"))
+    for k, lines in enumerate(files):
+        with open(os.path.join(d, f"f{k}.txt"), "w", encoding="utf-8", newline="") as f:
+            f.write(sep.join(lines) + sep)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        got = read_lines(spark, d).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    by = {}
+    for r in got:
+        by.setdefault(os.path.basename(r.path), {})[r.line_no] = r.line
+    for k, lines in enumerate(files):
+        m = by[f"f{k}.txt"]
+        assert [m[i] for i in range(len(m))] == lines
