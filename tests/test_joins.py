@@ -33,3 +33,11 @@ def test_leak_check(spark):
     train = spark.createDataFrame([(1,), (2,)], "k long")
     held = spark.createDataFrame([(2,), (3,)], "k long")
     assert [r.k for r in leaked_rows(train, held, ["k"]).collect()] == [2]
+
+
+def test_preview_threshold(spark):
+    from linemill.operators.order import preview
+    few = spark.createDataFrame([(f"p{i}",) for i in range(5)], "path string")
+    many = spark.createDataFrame([(f"p{i}",) for i in range(9, 3, -1)], "path string")
+    assert [r.path for r in preview(few).collect()] == [f"p{i}" for i in range(5)]
+    assert [r.path for r in preview(many).collect()] == ["p4", "p5", "p6"]
