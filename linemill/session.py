@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -68,3 +69,24 @@ def spread(df, partitions: int | None = None):
     n = partitions or max(2 * spark.sparkContext.defaultParallelism,
                           int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     return df.repartition(n)
+
+
+_SHIPPED = "_linemill_shipped"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, so that functions run there find it
+    whatever folder the driver was started in. Once per Spark context."""
+    sc = spark.sparkContext
+    if getattr(sc, _SHIPPED, False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="linemill-zip-"), "linemill-package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, files in sorted(os.walk(root)):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("linemill", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    setattr(sc, _SHIPPED, True)
