@@ -6,10 +6,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bpe_codec
 from .common import documents
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .simhash import near_duplicates
+from .token_fst import count_tokens
+
+# Sequences of more tokens than this are flagged (the model's context).
+CONTEXT_TOKENS = 2048
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -20,6 +25,18 @@ def _query(f):
     return f
 
 
+def tokenizer_file(name: str) -> str:
+    """The place of a public tokenizer file (never copied here)."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@_query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = count_tokens(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), keep=["doc_id"])
+    return out.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
+
+
 @_query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup(documents(spark, sf_dir).select("doc_id", "text"))
@@ -42,6 +59,19 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def bpe_digests(df: DataFrame, keep: list[str]) -> DataFrame:
+    """Encode, decode, and digest both."""
+    path = tokenizer_file("byte_bpe_multi_50k.tiktoken")
+    out = bpe_codec.decode(bpe_codec.encode(df, path, keep=keep), path)
+    return out.select(*keep, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_query
+def op9_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(documents(spark, sf_dir), ["doc_id"])
+
+
 @_query
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
