@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec
-from .common import documents
+from . import bpe_codec, language_id, quality, toxicity
+from .common import crc_mod, documents
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
+from .labelled import held_out
 from .simhash import near_duplicates
 from .token_fst import count_tokens
 
@@ -37,6 +38,30 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
 
 
+LANGUAGE_MOD = 5
+
+
+def language_model(docs: DataFrame) -> list:
+    """Learnt from the rows that are not held out."""
+    return language_id.learn(docs.filter(crc_mod("doc_id", LANGUAGE_MOD) != 0))
+
+
+@_query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    out = language_id.identify(docs, language_model(docs), keep=["doc_id"])
+    return out.select("doc_id", (crc_mod("doc_id", LANGUAGE_MOD) == 0).alias("held_out"),
+                      "lang_pred", "score", "margin", "rejected")
+
+
+@_query
+def op4_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.learn(docs, documents(spark, sf_dir, "labels"))
+    out = toxicity.classify(docs, model, keep=["doc_id"])
+    return out.select("doc_id", held_out().alias("held_out"), "score", "predicted", "threshold_lang")
+
+
 @_query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup(documents(spark, sf_dir).select("doc_id", "text"))
@@ -59,6 +84,14 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+@_query
+def op7_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = quality.learn(docs, documents(spark, sf_dir, "labels"))
+    out = quality.classify(docs, model, keep=["doc_id"])
+    return out.select("doc_id", held_out().alias("held_out"), "score", "predicted", "nearest")
+
+
 def bpe_digests(df: DataFrame, keep: list[str]) -> DataFrame:
     """Encode, decode, and digest both."""
     path = tokenizer_file("byte_bpe_multi_50k.tiktoken")
