@@ -11,6 +11,7 @@ from .common import crc_mod, documents
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .labelled import held_out
+from .repeated_spans import repeated_passages
 from .simhash import near_duplicates
 from .token_fst import count_tokens
 
@@ -92,6 +93,11 @@ def op7_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out().alias("held_out"), "score", "predicted", "nearest")
 
 
+@_query
+def op8_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(documents(spark, sf_dir))
+
+
 def bpe_digests(df: DataFrame, keep: list[str]) -> DataFrame:
     """Encode, decode, and digest both."""
     path = tokenizer_file("byte_bpe_multi_50k.tiktoken")
