@@ -11,6 +11,7 @@ from .common import crc_mod, documents
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .labelled import held_out
+from .pii import pseudonymize
 from .repeated_spans import repeated_passages
 from .simhash import near_duplicates
 from .token_fst import count_tokens
@@ -39,6 +40,16 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
 
 
+# The key of the registered query. In production it is a secret.
+SURROGATE_KEY = "registered-query"
+
+
+@_query
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pseudonymize(docs, SURROGATE_KEY)
+
+
 LANGUAGE_MOD = 5
 
 
