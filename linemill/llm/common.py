@@ -50,9 +50,11 @@ def text_pass(df: DataFrame, text_col: str, fields: list[T.StructField],
     columns``, ``texts`` being a list of UTF-8 ``bytes`` (null: empty). The
     result has the columns ``keep`` (default: all but the text) and then
     ``fields``. With ``explode`` the function returns its row indices as an
-    extra first column, so a text can give any number of rows.
+    extra first column, so a text can give any number of rows. A kept column
+    whose name a new one takes (in any letter case) goes.
     """
     keep = [c for c in df.columns if c != text_col] if keep is None else keep
+    keep = [c for c in keep if c.lower() not in {f.name.lower() for f in fields}]
     at = fresh(df, "_text")
     src = df.select(*[F.col(f"`{c}`") for c in keep],
                     F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b"")).alias(at))

@@ -109,11 +109,12 @@ def op8_repeated_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(documents(spark, sf_dir))
 
 
-def bpe_digests(df: DataFrame, keep: list[str]) -> DataFrame:
-    """Encode, decode, and digest both."""
+def bpe_digests(df: DataFrame, keep: list[str], extra: list[str] = ()) -> DataFrame:
+    """Encode, decode, and digest both; ``extra`` may name ``ids`` (packed)
+    and ``decoded``."""
     path = tokenizer_file("byte_bpe_multi_50k.tiktoken")
     out = bpe_codec.decode(bpe_codec.encode(df, path, keep=keep), path)
-    return out.select(*keep, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+    return out.select(*keep, *extra, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
