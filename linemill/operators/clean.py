@@ -68,7 +68,7 @@ def frequency_vocab(hist: DataFrame, size: int, first_id: int = 5) -> DataFrame:
     top = hist.orderBy(F.desc("n"), F.asc("pretoken")).limit(size)
     w = Window.orderBy(F.desc("n"), F.asc("pretoken"))  # over <= size rows only
     return top.select(F.col("pretoken").alias("piece"),
-                      (F.row_number().over(w) + F.lit(first_id - 1)).cast("int").alias("id"))
+                      (F.row_number().over(w) + F.lit(first_id - 1)).cast("int").alias("id"), "n")
 
 
 def vocab_pieces(vocab: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import UNK_ID
+from ..session import checkpoint_dir
 
 
 class AlignmentError(ValueError):
@@ -57,23 +58,29 @@ def lookup_ids(df: DataFrame, pieces_col: str, vocab: DataFrame, out_col: str =
     here before it is broadcast; the exploded pieces (the large side) are
     never shuffled, so a piece holding a third of all rows costs nothing
     extra. Output is long: ``(keys..., _pos, id)``."""
+    # Computed once: checked and joined from the same checkpoint.
+    checkpoint_dir(df.sparkSession)
+    vocab = vocab.select("piece", "id").limit(max_vocab + 1).checkpoint()
     n = vocab.count()
     if n > max_vocab:
-        raise ValueError(f"vocabulary of {n} pieces exceeds the broadcast bound {max_vocab}")
+        raise ValueError(f"the vocabulary exceeds the broadcast bound of {max_vocab} pieces")
     key_cols = key_cols or [c for c in df.columns if c != pieces_col]
     ex = df.select(*key_cols, F.posexplode(pieces_col).alias("_pos", "piece"))
     joined = ex.join(F.broadcast(vocab.select("piece", "id")), "piece", "left")
     return joined.select(*key_cols, "_pos", F.coalesce("id", F.lit(UNK_ID)).alias("id"))
 
 
-def line_offsets(lines: DataFrame, file_col: str = "doc_id", bucket_width: int = 4096) -> DataFrame:
+def line_offsets(lines: DataFrame, file_col: str = "doc_id") -> DataFrame:
     """Per file: its line count and the global index of its first line when
-    files are taken in ``file_col`` order. A prefix sum over the file table
-    (one row per file), bucketed by id range so no task sees all files."""
+    files are taken in ``file_col`` order (any sortable type). The file table
+    (one row per file) is range-partitioned by the key and stored, so that its
+    partition numbers are ordered buckets for the prefix sum."""
     from .ranks import exclusive_prefix_sum
+    checkpoint_dir(lines.sparkSession)
     per_file = lines.groupBy(file_col).agg(F.count(F.lit(1)).alias("n_lines"))
-    return exclusive_prefix_sum(per_file, [file_col], F.floor(F.col(file_col) / bucket_width),
-                                F.col("n_lines"), out_col="start")
+    per_file = per_file.repartitionByRange(file_col).withColumn("_part", F.spark_partition_id()).checkpoint()
+    return exclusive_prefix_sum(per_file, [file_col], F.col("_part"), F.col("n_lines"),
+                                out_col="start").drop("_part")
 
 
 def sample_at(idx: DataFrame, lines: DataFrame, offsets: DataFrame, file_col: str = "doc_id",
@@ -81,10 +88,11 @@ def sample_at(idx: DataFrame, lines: DataFrame, offsets: DataFrame, file_col: st
     """Global sample index ``i`` -> (file, line).
 
     ``offsets(file, n_lines, start)`` gives each file's first global index.
-    Each line gets ``i = start + line_no`` map-side, then the wanted indices
-    are found by an equi-join on ``i`` (unique keys, no skew). The reference's
-    equal-size formula (``i // first_size``, ``i % first_size``) is added for
-    comparison when ``first_size`` is given."""
+    Each line gets ``i = start + line_no`` (the offsets have one row per file
+    and join by the file key; a hot file is split by the skew join), then the
+    wanted indices are found by an equi-join on ``i`` (unique keys). The
+    reference's equal-size formula (``i // first_size``, ``i % first_size``)
+    is added for comparison when ``first_size`` is given."""
     keyed = lines.join(offsets.select(file_col, "start"), file_col, "inner").select(
         (F.col("start") + F.col("line_no")).alias("i"), file_col, "line_no")
     out = idx.join(keyed, "i", "inner")

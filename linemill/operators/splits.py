@@ -27,15 +27,25 @@ def concat_corpora(bitext: DataFrame, grouping: str = "pair", english_from: str
     ``pair``: both sides of each pair form corpus ``en-xx``;
     ``multilingual``: every side of every pair (English once per pair);
     ``language``: each language alone, English taken from ``english_from`` only."""
+    if grouping not in GROUPINGS:
+        raise ValueError(f"unknown grouping {grouping!r}")
+    return concat_groupings(bitext, [grouping], english_from, keys).drop("grouping")
+
+
+GROUPINGS = ("pair", "multilingual", "language")
+
+
+def concat_groupings(bitext: DataFrame, groupings=GROUPINGS, english_from: str = "en-de",
+                     keys=("pair", "doc_no", "line_no")) -> DataFrame:
+    """U1 for several groupings from one scan: every side of a pair becomes
+    one row per grouping that takes it (a bounded generator)."""
     s = sides(bitext, keys)
-    if grouping == "pair":
-        return s.withColumn("corpus", F.col("pair"))
-    if grouping == "multilingual":
-        return s.withColumn("corpus", F.lit("multiling"))
-    if grouping == "language":
-        keep = (F.col("side") == "tgt") | (F.col("pair") == english_from)
-        return s.filter(keep).withColumn("corpus", F.col("lang"))
-    raise ValueError(f"unknown grouping {grouping!r}")
+    kept = (F.col("side") == "tgt") | (F.col("pair") == english_from)
+    corpus = {"pair": F.col("pair"), "multilingual": F.lit("multiling"),
+              "language": F.when(kept, F.col("lang"))}
+    rows = F.filter(F.array(*[F.struct(F.lit(g).alias("grouping"), corpus[g].alias("corpus"))
+                              for g in groupings]), lambda x: x["corpus"].isNotNull())
+    return s.select(*keys, "side", "lang", "line", F.inline(rows))
 
 
 def append_to_split(base: DataFrame, extra: DataFrame, split: str = "train",
@@ -70,15 +80,9 @@ def split_quota(df: DataFrame, keys: list[str], group_cols=("pair",), dev: int =
     """Q1: per group, the first ``dev`` rows of a seeded shuffle among rows
     that pass ``quality`` are dev, the next ``test`` are test, the rest train;
     rows failing ``quality`` are train."""
-    ok = quality if quality is not None else F.lit(True)
-    d = df.withColumn("_ok", F.coalesce(ok, F.lit(False))).withColumn("_h", stable_hash(seed, *keys))
-    # one pass: passing and failing rows are separate groups; failing rows
-    # are train whatever their rank
-    labelled = quota_labels(d, ["_h", *keys], hash_bucket(F.col("_h"), digits),
-                            [*group_cols, "_ok"], [("dev", dev), ("test", test)], split_col, "train")
-    labelled = labelled.withColumn(
-        split_col, F.when(F.col("_ok"), F.col(split_col)).otherwise(F.lit("train")))
-    return labelled.drop("_ok", "_h")
+    d = df.withColumn("_h", stable_hash(seed, *keys))
+    return quota_labels(d, ["_h", *keys], hash_bucket(F.col("_h"), digits), list(group_cols),
+                        [("dev", dev), ("test", test)], split_col, "train", quality).drop("_h")
 
 
 def hold_out(df: DataFrame, predicate: Column, name: str, split_col: str = "split") -> DataFrame:

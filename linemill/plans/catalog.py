@@ -141,7 +141,7 @@ FREQ_VOCAB_SQL = f"""hist as (
   select t pretoken, count(*) n from (select unnest({O.pretokens_expr('line')}) t from lines) z
   group by t),
 fvocab as (
-  select pretoken piece, cast(row_number() over (order by n desc, pretoken) + 4 as integer) id
+  select pretoken piece, n, cast(row_number() over (order by n desc, pretoken) + 4 as integer) id
   from hist qualify row_number() over (order by n desc, pretoken) <= 1000)"""
 
 
@@ -166,16 +166,16 @@ DEV_MEMBERS_SQL = O.DOC_RANKS + """,
 members as (
   select 'dev.tgz' archive,
          concat('dev/newstest', doc_no, '-en', lang, '-ref.', lang, '.sgm') member,
-         length(text) n_chars from kdocs where lang <> 'en'
+         text from kdocs where lang <> 'en'
   union all
-  select 'dev.tgz', concat('dev/newstest', doc_no, '-en', t.l, '-src.en.sgm'), length(text)
+  select 'dev.tgz', concat('dev/newstest', doc_no, '-en', t.l, '-src.en.sgm'), text
   from kdocs, (select unnest(['de', 'es', 'fr']) l) t where lang = 'en')"""
 
 
 @register("pair_ref_src", "with " + DEV_MEMBERS_SQL + """
 select r.archive, regexp_extract(r.member, '([^/]*)-ref\\.', 1) "set", r.member ref_member,
        regexp_extract(r.member, 'ref\\.([a-z]{2})\\.sgm$', 1) ref_lang, s.member src_member,
-       r.n_chars ref_chars, s.n_chars src_chars
+       r.text ref_text, s.text src_text
 from members r join members s
   on s.archive = r.archive
  and s.member = concat(regexp_extract(r.member, '^(.*)ref\\.[^/]*$', 1), 'src.en.sgm')
@@ -187,15 +187,14 @@ def q_pair_ref_src(spark, sf):
         F.lit("dev.tgz").alias("archive"),
         F.concat(F.lit("dev/newstest"), F.col("doc_no").cast("string"), F.lit("-en"), "lang",
                  F.lit("-ref."), "lang", F.lit(".sgm")).alias("member"),
-        F.length("text").cast("long").alias("text"))
+        "text")
     src = docs.filter(F.col("lang") == "en").select(
-        F.lit("dev.tgz").alias("archive"), "doc_no", F.length("text").cast("long").alias("text"),
+        F.lit("dev.tgz").alias("archive"), "doc_no", "text",
         F.explode(F.array(*[F.lit(x) for x in ("de", "es", "fr")])).alias("l")).select(
         "archive", F.concat(F.lit("dev/newstest"), F.col("doc_no").cast("string"), F.lit("-en"),
                             "l", F.lit("-src.en.sgm")).alias("member"), "text")
     out = pair_ref_src(ref.unionByName(src))
-    return out.select("archive", "set", "ref_member", "ref_lang", "src_member",
-                      F.col("ref_text").alias("ref_chars"), F.col("src_text").alias("src_chars"))
+    return out.select("archive", "set", "ref_member", "ref_lang", "src_member", "ref_text", "src_text")
 
 
 @register("lookup_ids", O.with_(O.LINES, FREQ_VOCAB_SQL) + f"""
@@ -258,28 +257,39 @@ def q_plan_steps(spark, sf):
 
 
 # ---------------------------------------------------------------- A8, W1
-LCA_PRODUCT = "cast((theta_after - theta_before) * grad as decimal(28,9))"
+LCA_PRODUCT = "(theta_after - theta_before) * grad"
+
+
+def _nine(col):
+    """A double to nine significant digits: sums of doubles depend on their
+    order beyond that. The SQL twin is ``nine_sql``."""
+    return F.format_string("%.8e", F.col(col)).cast("double").alias(col.strip("`"))
+
+
+def nine_sql(expr: str) -> str:
+    return f"cast(printf('%.8e', {expr}) as double)"
+
 
 
 @register("lca_step", O.with_(O.TRACE) + f"""
-select step, param, cast(sum({LCA_PRODUCT}) as double) lca_sum,
-       cast(sum({LCA_PRODUCT}) as double) / count(*) lca_mean
+select step, param, {nine_sql(f'sum({LCA_PRODUCT})')} lca_sum,
+       {nine_sql(f'sum({LCA_PRODUCT}) / count(*)')} lca_mean
 from param_trace where step % 5 = 0 group by step, param""")
 def q_lca_step(spark, sf):
     from ..operators.traces import lca_step
-    return lca_step(T.param_trace(spark, sf), 5)
+    return lca_step(T.param_trace(spark, sf), 5).select("step", "param", _nine("lca_sum"), _nine("lca_mean"))
 
 
 @register("lca_interval", O.with_(O.TRACE) + f""",
 s as (select step, param, sum({LCA_PRODUCT}) s, count(*) n from param_trace group by step, param),
 c as (select *, sum(s) over (partition by param order by step
       rows between unbounded preceding and current row) cum from s)
-select step, param, cast(cum as double) / 5.0 interval_sum,
-       cast(cum as double) / 5.0 / n interval_mean
+select step, param, {nine_sql('cum / 5.0')} interval_sum, {nine_sql('cum / 5.0 / n')} interval_mean
 from c where step % 5 = 0""")
 def q_lca_interval(spark, sf):
     from ..operators.traces import lca_interval
-    return lca_interval(T.param_trace(spark, sf), 5)
+    return lca_interval(T.param_trace(spark, sf), 5).select(
+        "step", "param", _nine("interval_sum"), _nine("interval_mean"))
 
 
 # ---------------------------------------------------------------- O1–O4, W2
@@ -346,12 +356,9 @@ select 'pair' grouping, pair corpus, * from s
 union all select 'multilingual', 'multiling', * from s
 union all select 'language', lang, * from s where side = 'tgt' or pair = 'en-de'""")
 def q_concat_corpora(spark, sf):
-    from ..operators.splits import concat_corpora
-    b = _bitext(spark, sf)
-    outs = [concat_corpora(b, g).withColumn("grouping", F.lit(g))
-            for g in ("pair", "multilingual", "language")]
-    u = outs[0].unionByName(outs[1]).unionByName(outs[2])
-    return u.select("grouping", "corpus", "pair", "doc_no", "line_no", "side", "lang", "line")
+    from ..operators.splits import concat_groupings
+    return concat_groupings(_bitext(spark, sf)).select(
+        "grouping", "corpus", "pair", "doc_no", "line_no", "side", "lang", "line")
 
 
 @register("append_to_split", O.with_(O.BITEXT) + f""",
@@ -414,6 +421,27 @@ def q_hold_out(spark, sf):
     return hold_out(_split_quota(spark, sf), F.col("source") == "src0", "newstest2018")
 
 
+@register("leaked_rows", SPLIT_QUOTA_SQL + """
+select t.pair, t.doc_no, t.line_no from sq t
+where t.split = 'train' and exists (select 1 from sq h where h.split <> 'train'
+  and h.doc_no = t.doc_no and h.line_no = t.line_no)""")
+def q_leaked_rows(spark, sf):
+    """Q2's check across pairs: train rows whose English line is held out for
+    another pair (within a pair there are none, by construction)."""
+    from ..operators.splits import leaked_rows
+    s = _split_quota(spark, sf)
+    out = leaked_rows(s.filter("split = 'train'"), s.filter("split <> 'train'"), ["doc_no", "line_no"])
+    return out.select(*BITEXT_KEYS)
+
+
+@register("zip_parallel_strict", O.with_(O.BITEXT) + "select pair, doc_no, line_no, src, tgt from bitext")
+def q_zip_parallel_strict(spark, sf):
+    """J1 with its length check, on two sides that are aligned."""
+    from ..operators.joins import zip_parallel
+    b = _bitext(spark, sf)
+    return zip_parallel(b.select(*BITEXT_KEYS, "src"), b.select(*BITEXT_KEYS, "tgt"), BITEXT_KEYS, strict=True)
+
+
 # ---------------------------------------------------------------- F4–F10 (toy ids)
 @register("join_pieces", O.with_(O.LINES) + f"""
 select doc_id, line_no, array_to_string({O.pretokens_expr('line')}, ' ') joined from lines""")
@@ -615,13 +643,11 @@ def q_write_lines(spark, sf):
 
 
 @register("write_vocab", O.with_(O.LINES, FREQ_VOCAB_SQL) + """
-select piece, cast(id - 5 as integer) id, cast(h.n as double) score
-from fvocab join hist h on h.pretoken = fvocab.piece""")
+select piece, cast(id - 5 as integer) id, cast(n as double) score from fvocab""")
 def q_write_vocab(spark, sf):
     from ..session import scratch_path
     from ..sources.vocab import load_vocab, write_vocab
-    hist = stats.pretoken_histogram(T.lines(spark, sf))
-    v = _freq_vocab(spark, sf).join(hist.withColumnRenamed("pretoken", "piece"), "piece")
+    v = _freq_vocab(spark, sf)
     path = scratch_path(spark, "unigram.vocab")
     write_vocab(v.select("piece", "id", F.col("n").cast("double").alias("score")), path, "unigram")
     return load_vocab(spark, path, "unigram")
@@ -633,7 +659,7 @@ def q_load_vocab(spark, sf):
     from ..sources.vocab import load_bpe_vocab, write_bpe
     path = scratch_path(spark, "bpe")
     empty = spark.createDataFrame([], "rank int, left string, right string")
-    write_bpe(_freq_vocab(spark, sf), empty, path)
+    write_bpe(_freq_vocab(spark, sf).select("piece", "id"), empty, path)
     return load_bpe_vocab(spark, f"{path}/vocab.json")
 
 
@@ -642,7 +668,7 @@ def q_build_or_reuse(spark, sf):
     from ..session import scratch_path
     from ..sources.vocab import build_or_reuse
     path = scratch_path(spark, "vocab.parquet")
-    build_or_reuse(spark, path, lambda: _freq_vocab(spark, sf))
+    build_or_reuse(spark, path, lambda: _freq_vocab(spark, sf).select("piece", "id"))
     return build_or_reuse(spark, path, lambda: (_ for _ in ()).throw(RuntimeError("rebuilt")))
 
 
@@ -650,8 +676,8 @@ def q_build_or_reuse(spark, sf):
 s as (select step, param, sum({LCA_PRODUCT}) s, count(*) n from param_trace group by step, param),
 c as (select *, sum(s) over (partition by param order by step
       rows between unbounded preceding and current row) cum from s)
-select step, param, cast(s as double) lca_sum, cast(s as double) / n lca_mean,
-       cast(cum as double) / 5.0 interval_sum, cast(cum as double) / 5.0 / n interval_mean
+select step, param, {nine_sql('s')} lca_sum, {nine_sql('s / n')} lca_mean,
+       {nine_sql('cum / 5.0')} interval_sum, {nine_sql('cum / 5.0 / n')} interval_mean
 from c where step % 5 = 0""")
 def q_write_lca_log(spark, sf):
     from ..operators.traces import lca_log
@@ -661,9 +687,8 @@ def q_write_lca_log(spark, sf):
     write_lca_log(lca_log(T.param_trace(spark, sf), 5), path)
     back = spark.read.schema("param string, step long, sum double, mean double, "
                              "`interval.sum` double, `interval.mean` double").json(path)
-    return back.select("step", "param", F.col("sum").alias("lca_sum"), F.col("mean").alias("lca_mean"),
-                       F.col("`interval.sum`").alias("interval_sum"),
-                       F.col("`interval.mean`").alias("interval_mean"))
+    back = back.toDF("param", "step", "lca_sum", "lca_mean", "interval_sum", "interval_mean")
+    return back.select("step", "param", *[_nine(c) for c in back.columns[2:]])
 
 
 @register("append_metrics", O.with_(O.LINES) + """,
@@ -752,7 +777,7 @@ def q_read_archive_members(spark, sf):
         .alias("archive"),
         F.concat(F.lit("dev/newstest"), F.col("doc_id").cast("string"), F.lit(".sgm")).alias("member"),
         F.col("xml").alias("text"))
-    write_archives(docs, path).collect()   # one small row per archive
+    write_archives(docs, path).agg(F.count("*")).collect()
     m = read_archive_members(spark, f"{path}/*.tgz", "*.sgm")
     return m.select("member", F.length("text").cast("long").alias("n_chars"),
                     F.md5("text").alias("digest"))

@@ -37,8 +37,9 @@ def blank_report(bitext: DataFrame) -> DataFrame:
     return count_blank_lines(sides, ["pair", "split", "side"])
 
 
-# whole lines holding "</hl" or ending in "<hl>", with their line break
-HEADLINE_LINES = r"(?m)^(?:[^\n]*</hl[^\n]*|[^\n]*<hl>)(?:\n|$)"
+# whole lines holding "</hl" or ending in "<hl>", with their line break; only
+# LF ends a line (flag d), as for sed
+HEADLINE_LINES = r"(?md)^(?:[^\n]*</hl[^\n]*|[^\n]*<hl>)(?:\n|$)"
 
 
 def clean_segment_file(docs: DataFrame, xml_col: str = "xml", doc_col: str = "doc_id",

@@ -5,12 +5,15 @@ from __future__ import annotations
 import fnmatch
 import io
 import tarfile
+import uuid
 import xml.etree.ElementTree as ET
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import strip_text
+
 MEMBER_SCHEMA = "archive string, member string, text string"
 
 
@@ -23,7 +26,7 @@ def _members(pattern: str, encoding: str):
                     for m in tar.getmembers():
                         if m.isfile() and fnmatch.fnmatchcase(m.name, pattern):
                             data = tar.extractfile(m).read()
-                            rows.append((path, m.name, data.decode(encoding, errors="replace")))
+                            rows.append((path, m.name, data.decode(encoding)))
             yield pd.DataFrame(rows, columns=["archive", "member", "text"])
     return run
 
@@ -62,42 +65,62 @@ def segments_of(xml_text: str, on_empty: str = "blank"):
     return out
 
 
+# The text before the first child of every segment, by one native expression.
+# What a regex cannot tell (comments, CDATA, entities) goes to the parser.
+SEGMENT = r"<seg(?:\s[^>]*?)?(?:/>|>([^<]*))"
+NEEDS_PARSER = r"<!--|<!\[CDATA\[|&"
+
+
 def read_segments(df: DataFrame, xml_col: str = "xml", doc_col: str = "doc_id",
                   on_empty: str = "blank") -> DataFrame:
     """``(doc_col, seg_no, text)`` from a column of SGM/XML documents;
-    the document key keeps its own name and type.
+    the document key keeps its own name and type. Null documents give no rows.
 
-    Parsed per row with ``xml.etree`` inside Arrow batches (``mapInPandas``);
-    Spark's XML functions return the tail text after child elements, which
-    is not what the segment extractor keeps."""
+    Native for documents without comments, CDATA sections and entities; the
+    others are parsed per row with ``xml.etree`` inside Arrow batches
+    (Spark's XML functions return the tail text after child elements, which
+    is not what the segment extractor keeps)."""
     if on_empty not in ("blank", "error", "skip"):
         raise ValueError(on_empty)
+    docs = df.select(F.col(doc_col), F.col(xml_col).alias("_xml")).filter("_xml is not null")
+    plain = docs.filter(~F.col("_xml").rlike(NEEDS_PARSER)).select(
+        doc_col, F.posexplode(F.regexp_extract_all("_xml", F.lit(SEGMENT), 1)).alias("_i", "_t"))
+    if on_empty == "skip":
+        plain = plain.filter("_t <> ''")
+    text = strip_text("_t")
+    if on_empty == "error":
+        text = F.when(F.col("_t") == "", F.raise_error(F.concat(
+            F.lit("a segment has no text before its first child: "), (F.col("_i") + 1).cast("string")))
+        ).otherwise(text)
+    plain = plain.select(doc_col, (F.col("_i") + 1).cast("int").alias("seg_no"), text.alias("text"))
     key_type = df.schema[doc_col].dataType.simpleString()
 
     def run(batches):
         for pdf in batches:
             rows = []
-            for d, x in zip(pdf[doc_col], pdf[xml_col]):
-                if x is None:
-                    continue
+            for d, x in zip(pdf[doc_col], pdf["_xml"]):
                 rows.extend((d, n, t) for n, t in segments_of(x, on_empty))
             yield pd.DataFrame(rows, columns=[doc_col, "seg_no", "text"])
 
-    schema = f"`{doc_col}` {key_type}, seg_no int, text string"
-    return df.select(F.col(doc_col), F.col(xml_col)).mapInPandas(run, schema)
+    parsed = docs.filter(F.col("_xml").rlike(NEEDS_PARSER)).mapInPandas(
+        run, f"`{doc_col}` {key_type}, seg_no int, text string")
+    return plain.unionByName(parsed)
 
 
 # ---------------------------------------------------------------- archive writer
 ARCHIVE_SCHEMA = "archive string, n_members long, n_bytes long"
 
 
-def _fs_uri(path: str) -> str:
-    """``file:/x`` (Hadoop style) to ``file:///x`` for the Arrow file systems."""
-    if path.startswith("file:/") and not path.startswith("file:///"):
-        return "file:///" + path[len("file:/"):].lstrip("/")
-    if "://" not in path:
-        return "file://" + path
-    return path
+def _fs_uri(spark: SparkSession, path: str) -> str:
+    """The path with its file system: one without a scheme belongs to the
+    cluster's default file system, as for every Spark reader and writer."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    full = fs.makeQualified(p).toString()
+    if full.startswith("file:/") and not full.startswith("file:///"):
+        return "file:///" + full[len("file:/"):].lstrip("/")
+    return full
 
 
 def write_archives(df: DataFrame, path: str, archive_col: str = "archive",
@@ -110,7 +133,7 @@ def write_archives(df: DataFrame, path: str, archive_col: str = "archive",
     written through the Arrow file system of ``path`` (local, HDFS or object
     store), so the caller bounds an archive's size by how it assigns rows to
     archives (for example by id range). Returns one row per archive written."""
-    target = _fs_uri(path.rstrip("/"))
+    target = _fs_uri(df.sparkSession, path.rstrip("/"))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         import pyarrow.fs as pafs
@@ -124,8 +147,11 @@ def write_archives(df: DataFrame, path: str, archive_col: str = "archive",
                 tar.addfile(info, io.BytesIO(data))
         fs, base = pafs.FileSystem.from_uri(target)
         fs.create_dir(base, recursive=True)
-        with fs.open_output_stream(f"{base}/{name}.tgz") as out:
+        # A second attempt writes its own file; the last rename wins whole.
+        part = f"{base}/.{name}.{uuid.uuid4().hex}"
+        with fs.open_output_stream(part) as out:
             out.write(buf.getvalue())
+        fs.move(part, f"{base}/{name}.tgz")
         return pd.DataFrame([(name, len(pdf), buf.tell())],
                             columns=["archive", "n_members", "n_bytes"])
 

@@ -33,8 +33,10 @@ def read_lines(spark: SparkSession, paths, newline: str = "universal",
 
     ``newline='universal'`` ends a line at ``\\n``, ``\\r\\n`` or a lone
     ``\\r`` (Python text mode); ``'lf'`` at ``\\n`` only (grep/sed/cat).
-    ``trailing_empty`` adds the empty last line that ``read().split('\\n')``
-    yields for a file ending in a newline. ``unit='dir'`` numbers lines across
+    ``trailing_empty`` gives exactly what ``read().split('\\n')`` yields in text
+    mode: an empty last line for a file that ends in a line break, one empty
+    line for an empty file, and a byte order mark kept in the first line (it
+    costs a second pass over the files). ``unit='dir'`` numbers lines across
     all part files of a directory in part-name order (the layout written by
     :func:`linemill.sources.sinks.write_lines`)."""
     if isinstance(paths, str):
@@ -54,42 +56,67 @@ def read_lines(spark: SparkSession, paths, newline: str = "universal",
     raw = raw.withColumn("unit", unit_col)
     blocks = raw.groupBy("unit", "path", "_blk").agg(
         F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n"))
-    # blocks of one unit: file_size / split size rows, so this window is small
-    w = Window.partitionBy("unit").orderBy("path", "_blk").rowsBetween(
+    # Part files continue each other by number, not by name: part-100000 comes
+    # after part-99999. Blocks of one unit: file size / split size rows.
+    number = F.regexp_extract("path", r"/part-([0-9]+)[^/]*$", 1)
+    w = Window.partitionBy("unit").orderBy(F.when(number != "", number.cast("long")), "path", "_blk").rowsBetween(
         Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    # The block table has one row per file split (about 100 bytes per
-    # 128 MB of input, so 1e-6 of the text): broadcast it, so the text itself
-    # is never shuffled for its numbering.
-    out = raw.join(F.broadcast(blocks.select("path", "_blk", "_m0", "_off")),
-                   ["path", "_blk"], "inner")
+    # One row per file split: the planner broadcasts the table while it is
+    # small, so the text itself is not shuffled for its numbering.
+    out = raw.join(blocks.select("path", "_blk", "_m0", "_off"), ["path", "_blk"], "inner")
     out = out.select("unit", "path", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("line_no"),
                      "line", "_size")
     if trailing_empty:
-        out = out.unionByName(_trailing_rows(spark, paths, recursive, unit, path_glob),
-                              allowMissingColumns=True)
+        ends = _file_ends(spark, paths, recursive, path_glob)
+        out = out.join(ends.filter("_bom").select("path", "_bom"), "path", "left").withColumn(
+            "line", F.when(F.col("_bom") & (F.col("line_no") == _first_line(unit)), F.concat(F.lit("\ufeff"), "line"))
+            .otherwise(F.col("line"))).drop("_bom")
+        per_file = blocks.groupBy("unit", "path").agg((F.max(F.col("_off") + F.col("_n"))).alias("line_no"))
+        closed = F.col("_lf") if newline == "lf" else F.col("_lf") | F.col("_cr")
+        out = out.unionByName(per_file.join(ends.filter(closed).select("path"), "path").select(
+            "unit", "path", "line_no", F.lit("").alias("line")), allowMissingColumns=True)
+        if unit == "file":
+            out = out.unionByName(_empty_files(spark, paths, recursive, path_glob).select(
+                F.col("path").alias("unit"), "path", F.lit(0).cast("long").alias("line_no"),
+                F.lit("").alias("line")), allowMissingColumns=True)
     out = out.drop("_size")
     if unit == "file":
         out = out.drop("unit")
     return out
 
 
-def _trailing_rows(spark, paths, recursive, unit, path_glob=None):
-    """One empty line per file that ends in ``\\n``: with ``\\n`` as the only
-    separator a file ends in one exactly when its size equals its line bytes
-    plus one byte per line."""
-    r = _text_reader(spark, "lf")
+def _first_line(unit: str):
+    return F.lit(0) if unit == "file" else F.lit(None).cast("long")
+
+
+def _options(reader, recursive, path_glob):
     if recursive:
-        r = r.option("recursiveFileLookup", "true")
-    if path_glob:
-        r = r.option("pathGlobFilter", path_glob)
-    per = r.load(paths).groupBy(F.col("_metadata.file_path").alias("path"),
-                                F.col("_metadata.file_size").alias("_size")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.octet_length("value")).alias("_bytes"))
-    ends = per.filter(F.col("_size") == F.col("_bytes") + F.col("_n"))
-    unit_col = F.regexp_extract("path", r"^(.*)/[^/]*$", 1) if unit == "dir" else F.col("path")
-    return ends.select(unit_col.alias("unit"), "path", F.col("_n").alias("line_no"),
-                       F.lit("").alias("line"))
+        reader = reader.option("recursiveFileLookup", "true")
+    return reader.option("pathGlobFilter", path_glob) if path_glob else reader
+
+
+def _file_ends(spark, paths, recursive, path_glob=None) -> DataFrame:
+    """Per file with any byte: does it end in LF (``_lf``) or CR (``_cr``), and
+    does it begin with a byte order mark, which the reader swallows
+    (``_bom``)? Read with LF as the only separator, a file's size is its
+    lines' bytes, plus one per line (less one without a final LF), plus three
+    for the mark."""
+    raw = _options(_text_reader(spark, "lf"), recursive, path_glob).load(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("_size"),
+        F.col("_metadata.file_block_start").alias("_blk"), F.monotonically_increasing_id().alias("_mid"), "value")
+    per = raw.groupBy("path").agg(
+        F.max("_size").alias("_size"), F.count(F.lit(1)).alias("_n"), F.sum(F.octet_length("value")).alias("_b"),
+        F.max_by(F.col("value").endswith("\r"), F.struct("_blk", "_mid")).alias("_cr"))
+    rest = F.col("_size") - F.col("_b") - F.col("_n")
+    return per.select("path", rest.isin(0, 3).alias("_lf"), (F.col("_cr") & rest.isin(-1, 2)).alias("_cr"),
+                      (rest >= 2).alias("_bom"))
+
+
+def _empty_files(spark, paths, recursive, path_glob=None) -> DataFrame:
+    """Files without a byte: one empty line each in text mode (listing only)."""
+    files = _options(spark.read.format("binaryFile"), recursive, path_glob).load(paths)
+    return files.filter("length = 0").select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"))
 
 
 # ---------------------------------------------------------------- S2

@@ -17,8 +17,9 @@ def write_lines(df: DataFrame, path: str, file_cols: list[str], order_cols: list
     order, continue each other; :func:`linemill.sources.lines.read_lines`
     with ``unit='dir'`` numbers them back. A Parquet twin keeps the keys."""
     keys = [*file_cols, *order_cols]
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    laid = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # Without a number the exchange is sized by the data (adaptive coalescing).
+    laid = (df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+            ).sortWithinPartitions(*keys)
     laid.select(*file_cols, line_col).write.mode("overwrite").partitionBy(*file_cols).text(path)
     if parquet_twin:
         laid.write.mode("overwrite").partitionBy(*file_cols).parquet(path + ".parquet")

@@ -24,6 +24,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when a table was written to its end there (``_SUCCESS``)."""
+    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
 def load_bpe_vocab(spark: SparkSession, path: str) -> DataFrame:
     """``vocab.json`` (one JSON object piece -> id) as ``(piece, id)``."""
     raw = spark.read.option("wholetext", "true").text(path)
@@ -34,10 +39,11 @@ def load_bpe_vocab(spark: SparkSession, path: str) -> DataFrame:
 def load_bpe_merges(spark: SparkSession, path: str) -> DataFrame:
     """``merges.txt`` as ``(rank, left, right)``; the header is skipped."""
     ln = read_lines(spark, path, newline="lf", unit="dir")
-    body = ln.filter(~F.col("line").startswith("#version") & (F.col("line") != ""))
-    first = ln.filter(F.col("line").startswith("#version")).count()
+    # only the first line can be the header; a merge may begin like one
+    head = ln.filter((F.col("line_no") == 0) & F.col("line").startswith("#version")).count()
+    body = ln.filter((F.col("line_no") >= head) & (F.col("line") != ""))
     parts = F.split("line", " ", 2)
-    return body.select((F.col("line_no") - F.lit(first)).cast("int").alias("rank"),
+    return body.select((F.col("line_no") - F.lit(head)).cast("int").alias("rank"),
                        parts[0].alias("left"), parts[1].alias("right"))
 
 
@@ -63,8 +69,9 @@ def load_vocab(spark: SparkSession, path: str, kind: str = "parquet"):
     raise ValueError(kind)
 
 
-def _single_text(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").text(path)
+def _single_text(df: DataFrame, path: str, order: str) -> None:
+    """One ordered part file: one task, sorted inside it."""
+    df.repartition(1).sortWithinPartitions(order).select("value").write.mode("overwrite").text(path)
 
 
 def write_bpe(vocab: DataFrame, merges: DataFrame, path: str) -> None:
@@ -74,19 +81,19 @@ def write_bpe(vocab: DataFrame, merges: DataFrame, path: str) -> None:
     obj = vocab.agg(F.to_json(F.map_from_entries(F.transform(
         F.array_sort(F.collect_list(F.struct("id", "piece"))),
         lambda e: F.struct(e["piece"], e["id"])))).alias("value"))
-    _single_text(obj, f"{path}/vocab.json")
+    _single_text(obj, f"{path}/vocab.json", "value")
     spark = vocab.sparkSession
     head = spark.createDataFrame([(-1, MERGES_HEADER)], "rank int, value string")
     body = merges.select("rank", F.concat_ws(" ", "left", "right").alias("value"))
-    _single_text(head.unionByName(body).orderBy("rank").select("value"), f"{path}/merges.txt")
+    _single_text(head.unionByName(body), f"{path}/merges.txt", "rank")
     vocab.write.mode("overwrite").parquet(f"{path}/vocab.parquet")
     merges.write.mode("overwrite").parquet(f"{path}/merges.parquet")
 
 
 def write_unigram(vocab: DataFrame, path: str) -> None:
     """K2 for unigram: tab-separated ``piece<TAB>score`` in id order."""
-    _single_text(vocab.orderBy("id").select(
-        F.concat_ws("\t", "piece", F.col("score").cast("string")).alias("value")), path)
+    _single_text(vocab.select("id", F.concat_ws("\t", "piece", F.col("score").cast("string")).alias("value")),
+                 path, "id")
 
 
 def write_vocab(vocab: DataFrame, path: str, kind: str = "parquet", merges: DataFrame | None = None):
@@ -102,7 +109,7 @@ def build_or_reuse(spark: SparkSession, path: str, builder: Callable[[], DataFra
                    overwrite: bool = False) -> DataFrame:
     """K3: read the table at ``path`` if present (unless ``overwrite``);
     otherwise build it, write it and read it back."""
-    if not overwrite and path_exists(spark, path):
+    if not overwrite and table_exists(spark, path):
         return spark.read.parquet(path)
     builder().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
