@@ -49,12 +49,12 @@ def test_toy_vocabulary_and_ids(spark):
             assert list(got[text].attention_mask) == masks[text]
 
 
-@pytest.mark.parametrize("vocab_size,incremental", [(300, False), (420, False), (420, True)])
-def test_merges_equal_library(spark, vocab_size, incremental):
+@pytest.mark.parametrize("vocab_size,batch_limit", [(300, 1), (420, 48), (420, 3)])
+def test_merges_equal_library(spark, vocab_size, batch_limit):
     lines = T.lines(spark, SF_SMALL)
     texts = [r.line for r in lines.orderBy("doc_id", "line_no").collect()]
     model = bpe.bpe_train(stats.pretoken_histogram(lines), vocab_size=vocab_size,
-                          incremental=incremental, checkpoint_every=4)
+                          batch_limit=batch_limit, checkpoint_every=4)
     tok, lib_vocab, lib_merges = _lib(texts, vocab_size)
     assert model.merge_strings() == lib_merges
     assert {p: i for i, p in enumerate(model.vocab)} == lib_vocab
@@ -71,12 +71,21 @@ def test_pair_counts_round0(spark):
     assert pc[(a, a)] == 4 and pc[(sp, a)] == 1 and pc[(a, b)] == 1
 
 
+def _word(*ids):
+    return "".join(map(bpe.symbol_char, ids))
+
+
+def test_symbol_characters_keep_the_order_of_ids():
+    ids = [0, 1, 260, 0xD7DF, 0xD7E0, 60_000, bpe.MAX_VOCAB - 1]
+    chars = [bpe.symbol_char(i) for i in ids]
+    assert [bpe.symbol_id(c) for c in chars] == ids
+    assert chars == sorted(chars) and [c.encode() for c in chars] == sorted(c.encode() for c in chars)
+
+
 def test_equal_symbol_merge_is_left_to_right(spark):
-    words = spark.createDataFrame([([7, 7, 7, 8, 7, 7, 7, 7], 1)], "sym array<int>, n long")
-    out = bpe._apply_batch(words, [(7, 7, 99)]).first().sym
-    assert list(out) == [99, 7, 8, 99, 99]
-    out2 = bpe._apply_batch(words, [(7, 8, 50)]).first().sym
-    assert list(out2) == [7, 7, 50, 7, 7, 7, 7]
+    words = spark.createDataFrame([(_word(7, 7, 7, 8, 7, 7, 7, 7), 1)], "w string, n long")
+    assert bpe._apply_batch(words, [(7, 7, 99)]).first().w == _word(99, 7, 8, 99, 99)
+    assert bpe._apply_batch(words, [(7, 8, 50)]).first().w == _word(7, 7, 50, 7, 7, 7, 7)
 
 
 def test_pretokenizer_matches_library(spark):
