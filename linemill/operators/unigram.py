@@ -3,20 +3,23 @@
 Text is normalised (NFKC, controls dropped, white space collapsed to one
 ``▁`` before every word), so a line splits into words that each begin with
 ``▁``; pieces never cross a word boundary. Encoding is a Viterbi search per
-distinct word (memoised in each worker); learning is expectation
-maximisation over the table of distinct words: every E-step is a
-``mapInPandas`` forward-backward pass over word partitions with the current
-scores broadcast, followed by a ``groupBy(piece).sum`` — the driver only
-ever holds the candidate vocabulary, whose size is a parameter.
+distinct word (memoised in each task). Learning is expectation maximisation
+over the table of distinct words: every E-step is a ``mapInPandas``
+forward-backward pass over word partitions with the current scores broadcast,
+followed by a ``groupBy(piece).sum``; pruning scores the candidates in a
+``mapInPandas`` over the candidate table. The driver only ever holds the
+candidate vocabulary, whose size is a parameter. Expected counts are summed as
+integers (multiples of 2^-60), so the learnt scores and ids do not depend on
+the partitioning.
 """
 
 from __future__ import annotations
 
-import ctypes
 import math
-import re
 import unicodedata
+from collections.abc import Iterator
 from dataclasses import dataclass
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -32,19 +35,27 @@ UNK_PENALTY = 10.0             # an unknown character scores min score - 10
 # -----------------------------------------------------------------------------
 
 
-# control characters (category Cc) that Python does not count as white space
-_CONTROLS = re.compile("[\x00-\x08\x0e-\x1b\x7f-\x84\x86-\x9f]")
+# --- fixed values: normalisation before NFKC ---------------------------------
+# Code points that count as white space, and code points that vanish.
+SPACES = [0x09, 0x0A, 0x0C, 0x0D, 0x061C, 0x1680, 0x200B, 0x200C, 0x200E, 0x200F, 0x2028, 0x2029, 0x2581, 0xFEFF,
+          0xFFFD]
+REMOVED = [*range(0x01, 0x09), 0x0B, *range(0x0E, 0x20), 0x7F, 0x8F, 0x9F]
+KEPT = "～"                # U+FF5E is not folded
+# Unicode 16 letters and digits that older NFKC tables do not fold.
+LETTER_S, OUTLINED_A, OUTLINED_0 = 0xA7F1, 0x1CCD6, 0x1CCF0
+# -----------------------------------------------------------------------------
+_BEFORE = {**dict.fromkeys(SPACES, " "), **dict.fromkeys(REMOVED), LETTER_S: "S",
+           **{OUTLINED_A + i: chr(0x41 + i) for i in range(26)}, **{OUTLINED_0 + i: chr(0x30 + i) for i in range(10)}}
 
 
 def normalize(text: str) -> str:
-    """NFKC, drop control characters, white space runs to one ``▁``, a ``▁``
-    before the first word; empty or blank text gives ``""``."""
+    """Controls dropped, white space runs to one ``▁``, NFKC, a ``▁`` before
+    the first word; empty or blank text gives ``""``."""
     if not text:
         return ""
-    words = _CONTROLS.sub("", unicodedata.normalize("NFKC", text)).split()
-    if not words:
-        return ""
-    return WORD_START + WORD_START.join(words)
+    folded = KEPT.join(unicodedata.normalize("NFKC", x) for x in text.translate(_BEFORE).split(KEPT))
+    words = [w for w in folded.replace(WORD_START, " ").split(" ") if w]
+    return WORD_START + WORD_START.join(words) if words else ""
 
 
 def split_words(norm: str) -> list[str]:
@@ -67,22 +78,14 @@ def piece_trie(pieces) -> dict:
     return root
 
 
-def _f32(x: float) -> float:
-    return ctypes.c_float(x).value
-
-
 class Segmenter:
-    """Best segmentation under piece log-probabilities.
+    """Best segmentation under piece log-probabilities, in double precision.
 
     Pieces never span a word boundary, so a line's best path is the
     concatenation of its words' best paths; words are solved once each and
-    memoised. When two paths of a word score within ``NEAR_TIE`` of each
-    other, the winner depends on float rounding of the running score along
-    the whole line, so such lines are solved again as one lattice with the
-    running score kept in single precision, which reproduces the common
-    reference implementation's choice."""
-
-    NEAR_TIE = 1e-2
+    memoised. Of paths with equal scores the one whose last piece starts
+    earliest wins (at every position). A character that no piece covers costs
+    ``unk``; neighbouring unknown characters are one piece."""
 
     def __init__(self, scores: dict[str, float], max_len: int | None = None,
                  cache_size: int = 200_000):
@@ -90,79 +93,55 @@ class Segmenter:
         self.max_len = min(max_len or 10 ** 9, max((len(p) for p in scores), default=1))
         self.trie = piece_trie(scores)
         self.unk = (min(scores.values()) if scores else 0.0) - UNK_PENALTY
-        self.cache: dict[str, tuple[list[str], bool]] = {}
+        self.cache: dict[str, list[str]] = {}
         self.cache_size = cache_size
-        self._s32: dict[str, float] | None = None
 
-    def _solve(self, word: str, sc: dict, single: bool):
-        n = len(word)
+    def viterbi(self, word: str, without: str | None = None) -> list[str]:
+        """The best path, optionally with one piece forbidden."""
+        n, sc = len(word), self.scores
         best = [-math.inf] * (n + 1)
         back = [0] * (n + 1)
+        known = [False] * (n + 1)
         best[0] = 0.0
-        near = False
-        unk = _f32(self.unk) if single else self.unk
         for i in range(n):
             bi = best[i]
-            if bi == -math.inf:
-                continue
-            hit_single = False
+            single = False
             node = self.trie
             for e in range(i, min(n, i + self.max_len)):
                 node = node.get(word[e])
                 if node is None:
                     break
                 piece = node.get(None)
-                if piece is None:
-                    continue
-                lp = sc.get(piece)
-                if lp is None:
+                if piece is None or piece == without:
                     continue
-                if e == i:
-                    hit_single = True
-                v = _f32(lp + bi) if single else bi + lp
-                cur = best[e + 1]
-                if v > cur:
-                    if cur - v > -self.NEAR_TIE:
-                        near = True
-                    best[e + 1] = v
-                    back[e + 1] = i
-                elif v - cur > -self.NEAR_TIE:
-                    near = True
-            if not hit_single:
-                v = _f32(unk + bi) if single else bi + unk
-                if v > best[i + 1]:
-                    best[i + 1] = v
-                    back[i + 1] = i
-        out, j = [], n
+                single = single or e == i
+                v = bi + sc[piece]
+                if v > best[e + 1]:
+                    best[e + 1], back[e + 1], known[e + 1] = v, i, True
+            if not single and bi + self.unk > best[i + 1]:
+                best[i + 1], back[i + 1], known[i + 1] = bi + self.unk, i, False
+        out, j, open_ = [], n, False
         while j > 0:
             i = back[j]
-            out.append(word[i:j])
+            if not known[j] and open_:
+                out[-1] = word[i:j] + out[-1]
+            else:
+                out.append(word[i:j])
+            open_ = not known[j]
             j = i
-        return out[::-1], near
+        return out[::-1]
 
-    def viterbi(self, word: str, scores: dict | None = None) -> list[str]:
-        return self._solve(word, self.scores if scores is None else scores, False)[0]
-
-    def word(self, w: str) -> tuple[list[str], bool]:
+    def word(self, w: str) -> list[str]:
         hit = self.cache.get(w)
         if hit is None:
-            hit = self._solve(w, self.scores, False)
+            hit = self.viterbi(w)
             if len(self.cache) >= self.cache_size:
                 self.cache.clear()
             self.cache[w] = hit
         return hit
 
     def line(self, text: str) -> list[str]:
-        norm = normalize(text)
-        out: list[str] = []
-        for w in split_words(norm):
-            pieces, near = self.word(w)
-            if near:
-                if self._s32 is None:
-                    self._s32 = {p: _f32(v) for p, v in self.scores.items()}
-                return self._solve(norm, self._s32, True)[0]
-            out.extend(pieces)
-        return out
+        return [p for w in split_words(normalize(text)) for p in self.word(w)]
 
 
 def unigram_encode(df: DataFrame, col: str, vocab: DataFrame, out_col: str = "pieces",
@@ -178,14 +157,12 @@ def unigram_encode(df: DataFrame, col: str, vocab: DataFrame, out_col: str = "pi
         raise ValueError(f"vocabulary larger than the broadcast bound {max_vocab}")
     scores = {r.piece: float(r.score) for r in rows if r.piece not in META_PIECES}
     bc = spark.sparkContext.broadcast(scores)
-    state: dict = {}
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
-    def _enc(lines: pd.Series) -> pd.Series:
-        seg = state.get("seg")
-        if seg is None:
-            seg = state["seg"] = Segmenter(bc.value)
-        return pd.Series([None if t is None else seg.line(t) for t in lines])
+    def _enc(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        seg = Segmenter(bc.value)
+        for lines in batches:
+            yield pd.Series([None if t is None else seg.line(t) for t in lines])
 
     return df.withColumn(out_col, _enc(F.col(col)))
 
@@ -203,27 +180,35 @@ class UnigramModel:
 
 
 def word_histogram(lines: DataFrame, col: str = "line") -> DataFrame:
-    """Normalised words with their counts (partial + final aggregate)."""
+    """Normalised words with their counts. Lines are cut at plain white space
+    and counted natively first; only the distinct tokens are normalised."""
+    raw = (lines.select(F.explode(F.split(F.col(col), "[ \t\n\r\f]+")).alias("t")).filter("t <> ''")
+           .groupBy("t").agg(F.count(F.lit(1)).alias("n")))
+
     @F.pandas_udf(T.ArrayType(T.StringType()))
     def _words(s: pd.Series) -> pd.Series:
-        return pd.Series([split_words(normalize(t)) if t is not None else [] for t in s])
+        return pd.Series([split_words(normalize(t)) for t in s])
 
-    return (lines.select(F.explode(_words(F.col(col))).alias("word"))
-            .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    return (raw.select(F.explode(_words("t")).alias("word"), "n")
+            .groupBy("word").agg(F.sum("n").alias("n")))
 
 
 def seed_pieces(words: DataFrame, max_len: int) -> DataFrame:
     """Every substring (up to ``max_len`` characters) of every word, with its
-    count weighted by word frequency — native ``transform``/``explode``."""
+    count weighted by word frequency — native ``transform``/``explode``.
+    Longer pieces that occur once are no candidates."""
     L = F.length("word")
     subs = F.flatten(F.transform(F.sequence(F.lit(1), L), lambda i: F.transform(
         F.sequence(F.lit(1), F.least(F.lit(max_len), L - i + 1)),
         lambda k: F.substring(F.col("word"), i, k))))
     return (words.filter(L > 0).select(F.explode(subs).alias("piece"), "n")
-            .groupBy("piece").agg(F.sum("n").alias("freq")))
+            .groupBy("piece").agg(F.sum("n").alias("freq"))
+            .filter((F.col("freq") > 1) | (F.length("piece") == 1)))
 
 
 _NEG = -math.inf
+# Sums of counts are integer multiples of 1 / UNIT: exact, whatever the order.
+UNIT = 1 << 60
 
 
 def _logadd(a: float, b: float) -> float:
@@ -268,53 +253,47 @@ def _expected_counts(w: str, n: int, sc: dict, trie: dict, ml: int, acc: dict) -
             beta[i] = _logadd(beta[i], bj + lp)
     exp = math.exp
     for i, j, lp, sub in edges:
-        e = alpha[i] + lp + beta[j] - z
-        if e > -50:
-            acc[sub] = acc.get(sub, 0.0) + n * exp(e)
+        acc[sub] = acc.get(sub, 0) + int(n * exp(alpha[i] + lp + beta[j] - z) * UNIT)
     return n * z
 
 
-def _estep(words: DataFrame, scores: dict, max_len: int, viterbi: bool = False) -> DataFrame:
-    """Expected (or best-path) piece counts and the log-likelihood, from one
-    pass over the word table. Each task combines its counts before the
-    shuffle, so the exchange carries at most one row per piece per task."""
-    spark = words.sparkSession
-    bc = spark.sparkContext.broadcast((scores, max_len))
+_LOGLIK = "\u0000loglik"
+
+
+def _estep(words: DataFrame, scores: dict, max_len: int, viterbi: bool = False) -> tuple[dict[str, int], float]:
+    """Expected (or best-path) piece counts in units of 1 / ``UNIT`` and the
+    log-likelihood, from one pass over the word table. Each task combines its
+    counts before the shuffle, so the exchange carries at most one row per
+    piece per task; the driver receives one row per piece."""
+    bc = words.sparkSession.sparkContext.broadcast((scores, max_len))
 
     def run(batches):
         sc, ml = bc.value
         seg = Segmenter(sc, ml)
-        trie, ml = seg.trie, seg.max_len
-        acc: dict[str, float] = {}
-        ll = 0.0
+        acc: dict[str, int] = {}
+        ll = 0
         for pdf in batches:
-            for w, n in zip(pdf["word"], pdf["n"]):
+            for w, n in zip(pdf["word"].tolist(), pdf["n"].tolist()):
                 if viterbi:
                     for p in seg.viterbi(w):
-                        acc[p] = acc.get(p, 0.0) + n
-                    continue
-                ll += _expected_counts(w, n, sc, trie, ml, acc)
-        rows = list(acc.items()) + [("\u0000loglik", ll)]
-        yield pd.DataFrame(rows, columns=["piece", "c"])
+                        acc[p] = acc.get(p, 0) + n * UNIT
+                else:
+                    ll += int(_expected_counts(w, n, sc, seg.trie, seg.max_len, acc) * (1 << 20))
+        rows = [*acc.items(), (_LOGLIK, ll)]
+        yield pd.DataFrame({"piece": [r[0] for r in rows], "c": [Decimal(r[1]) for r in rows]})
 
-    return words.mapInPandas(run, "piece string, c double").groupBy("piece").agg(
-        F.sum("c").alias("c"))
+    got = words.mapInPandas(run, "piece string, c decimal(38,0)").groupBy("piece").agg(F.sum("c").alias("c"))
+    counts = {r.piece: int(r.c) for r in got.collect()}
+    bc.destroy()
+    return counts, counts.pop(_LOGLIK, 0) / (1 << 20)
 
 
-def _collect_counts(df: DataFrame) -> tuple[dict[str, float], float]:
-    counts, ll = {}, 0.0
-    for r in df.collect():
-        if r.piece == "\u0000loglik":
-            ll = r.c
-        else:
-            counts[r.piece] = r.c
-    return counts, ll
-
-
-def _normalise_scores(counts: dict[str, float], keep) -> dict[str, float]:
-    total = sum(counts.get(p, 0.0) for p in keep)
-    floor = 1e-12
-    return {p: math.log(max(counts.get(p, 0.0), floor) / total) for p in keep}
+def _normalise_scores(counts: dict[str, int], keep) -> dict[str, float]:
+    """Log shares, in piece order (counts are integers, so sums are exact)."""
+    keep = sorted(keep)
+    total = sum(counts.get(p, 0) for p in keep)
+    least = max(1, total // 10 ** 12)
+    return {p: math.log(max(counts.get(p, 0), least)) - math.log(total) for p in keep}
 
 
 def unigram_train(lines: DataFrame, vocab_size: int = 32000, col: str = "line",
@@ -325,7 +304,9 @@ def unigram_train(lines: DataFrame, vocab_size: int = 32000, col: str = "line",
 
     Seeds: the most frequent substrings (frequency x length), all characters
     always kept. Then rounds of ``em_iters`` EM steps followed by pruning the
-    pieces whose removal costs the least likelihood, until the target size."""
+    pieces whose removal costs the least likelihood, until the target size.
+    ``seed_factor`` bounds the candidates the driver holds (a larger one
+    changes little: the least useful seeds are pruned first)."""
     spark = lines.sparkSession
     checkpoint_dir(spark)
     target = vocab_size - len(META_PIECES)
@@ -336,29 +317,26 @@ def unigram_train(lines: DataFrame, vocab_size: int = 32000, col: str = "line",
     # passes are CPU-bound, so spread the word table over all cores.
     words = spread(words, partitions)
     words = words.checkpoint(eager=True)
-    seeds = seed_pieces(words, max_piece_len).persist()
-    chars = {r.piece: r.freq for r in seeds.filter(F.length("piece") == 1).collect()}
-    n_multi = seeds.filter(F.length("piece") > 1).count()
-    if len(chars) + n_multi < target:
-        raise ValueError(f"vocabulary size {vocab_size} is too large for this corpus: at most "
-                         f"{len(chars) + n_multi + len(META_PIECES)} pieces can be formed")
+    seeds = seed_pieces(words, max_piece_len).checkpoint(eager=True)
+    multi = F.length("piece") > 1
+    chars = {r.piece: int(r.freq) for r in seeds.filter(~multi).collect()}
     if len(chars) > target:
         raise ValueError(f"vocabulary size {vocab_size} cannot hold all {len(chars)} characters")
-    n_seed = max(target * seed_factor, target)
-    top = (seeds.filter(F.length("piece") > 1)
-           .orderBy(F.desc(F.col("freq") * F.length("piece")), F.asc("piece"))
+    n_seed = target * seed_factor
+    top = (seeds.filter(multi).orderBy(F.desc(F.col("freq") * F.length("piece")), F.asc("piece"))
            .limit(n_seed).collect())
-    seeds.unpersist()
-    cand = dict(chars)
-    cand.update({r.piece: float(r.freq) for r in top})
+    if len(chars) + len(top) < target:
+        raise ValueError(f"vocabulary size {vocab_size} is too large for this corpus: at most "
+                         f"{len(chars) + len(top) + len(META_PIECES)} pieces can be formed")
+    cand = {**chars, **{r.piece: int(r.freq) for r in top}}
     scores = _normalise_scores(cand, cand)
     required = set(chars)
     history: list[float] = []
     while True:
         for _ in range(em_iters):
-            counts, ll = _collect_counts(_estep(words, scores, max_piece_len))
+            counts, ll = _estep(words, scores, max_piece_len)
             history.append(ll)
-            keep = [p for p in scores if counts.get(p, 0.0) > 0 or p in required]
+            keep = [p for p in scores if counts.get(p, 0) > 0 or p in required]
             scores = _normalise_scores(counts, keep)
         if len(scores) <= target:
             break
@@ -374,29 +352,33 @@ def unigram_train(lines: DataFrame, vocab_size: int = 32000, col: str = "line",
 def _prune(words: DataFrame, scores: dict, required: set, size: int, max_len: int) -> dict:
     """Keep ``size`` pieces: required characters, pieces without an
     alternative segmentation, then by the likelihood lost when a piece's
-    best-path count moves to its alternative segmentation."""
-    counts, _ = _collect_counts(_estep(words, scores, max_len, viterbi=True))
-    seg = Segmenter(scores, max_len)
+    best-path count moves to its alternative segmentation. The alternatives
+    are found beside the candidate table, not on the driver."""
+    spark = words.sparkSession
+    counts, _ = _estep(words, scores, max_len, viterbi=True)
+    counts = {p: c // UNIT for p, c in counts.items()}
     total = sum(counts.values())
-    keep, cands = [], []
-    for p in list(scores):
-        if p in required:
-            keep.append(p)
-            continue
-        f = counts.get(p, 0.0)
-        if f == 0:
-            continue
-        own = scores.pop(p)  # best segmentation of the piece without itself
-        alt = seg.viterbi(p, scores)
-        scores[p] = own
-        if len(alt) <= 1:
-            keep.append(p)
-            continue
-        logsum_alt = math.log(total + f * (len(alt) - 1))
-        lp = math.log(f) - math.log(total)
-        lp_alt = sum(math.log(counts.get(a, 0.0) + f) for a in alt) - len(alt) * logsum_alt
-        cands.append((f / total * (lp - lp_alt), p))
-    cands.sort(key=lambda t: (-t[0], t[1]))
-    room = max(0, size - len(keep))
-    keep += [p for _, p in cands[:room]]
-    return {p: scores[p] for p in keep}
+    bc = spark.sparkContext.broadcast((scores, counts, total, max_len))
+
+    def run(batches):
+        sc, cnt, tot, ml = bc.value
+        seg = Segmenter(sc, ml)
+        for pdf in batches:
+            loss = []
+            for p in pdf["piece"]:
+                f, alt = cnt[p], seg.viterbi(p, without=p)
+                if len(alt) <= 1:
+                    loss.append(math.inf)
+                    continue
+                after = math.log(tot + f * (len(alt) - 1))
+                lost = math.log(f) - math.log(tot) - sum(math.log(cnt.get(a, 0) + f) for a in alt) + len(alt) * after
+                loss.append(f / tot * lost)
+            yield pd.DataFrame({"piece": pdf["piece"], "loss": loss})
+
+    used = [(p,) for p in scores if p not in required and counts.get(p, 0) > 0]
+    table = spread(spark.createDataFrame(used, "piece string"))
+    kept = sorted(required & set(scores))
+    ranked = table.mapInPandas(run, "piece string, loss double").orderBy(F.desc("loss"), "piece").limit(
+        max(0, size - len(kept))).collect()
+    bc.destroy()
+    return {p: scores[p] for p in sorted([*kept, *(r.piece for r in ranked)])}

@@ -531,18 +531,14 @@ def q_lr_schedule(spark, sf):
 
 # ---------------------------------------------------------------- A4, A6, F2, F10 (BPE)
 BPE_VOCAB = 300
-_MODELS: dict = {}
 
 
 def bpe_model(spark, sf, vocab_size=BPE_VOCAB):
-    """Byte-level BPE learnt on all lines of ``sf`` (memoised per process:
-    the model is a small driver-side value)."""
+    """Byte-level BPE learnt on all lines of ``sf`` with their line breaks, as
+    a trainer reading corpus files sees them."""
     from ..operators.bpe import bpe_train
-    key = (sf, vocab_size)
-    if key not in _MODELS:
-        hist = stats.pretoken_histogram(T.lines(spark, sf))
-        _MODELS[key] = bpe_train(hist, vocab_size=vocab_size, min_frequency=2)
-    return _MODELS[key]
+    hist = stats.pretoken_histogram(T.lines(spark, sf), line_end="\n")
+    return bpe_train(hist, vocab_size=vocab_size, min_frequency=2)
 
 
 BYTE_IDS_SQL = """bmap as (
@@ -712,15 +708,11 @@ def q_append_metrics(spark, sf):
 
 # ---------------------------------------------------------------- A5, F3 (unigram)
 UNIGRAM_VOCAB = 500
-_UNIGRAMS: dict = {}
 
 
 def unigram_model(spark, sf, vocab_size=UNIGRAM_VOCAB):
     from ..operators.unigram import unigram_train
-    key = (sf, vocab_size)
-    if key not in _UNIGRAMS:
-        _UNIGRAMS[key] = unigram_train(T.lines(spark, sf), vocab_size=vocab_size)
-    return _UNIGRAMS[key]
+    return unigram_train(T.lines(spark, sf), vocab_size=vocab_size)
 
 
 @register("unigram_train")
