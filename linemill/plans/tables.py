@@ -22,15 +22,8 @@ ID_BUCKET = 4096
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. A scan with fewer splits than the cluster has cores
-    (one small file with one row group) is spread round-robin first, so the
-    per-row text work after it uses every core; a large input already has
-    more splits than cores and is left as it is (no extra shuffle)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    """A given table, as its files are split."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ split's offset within its file by a prefix sum.
 
 from __future__ import annotations
 
+import fnmatch
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -114,9 +115,29 @@ def _file_ends(spark, paths, recursive, path_glob=None) -> DataFrame:
 
 
 def _empty_files(spark, paths, recursive, path_glob=None) -> DataFrame:
-    """Files without a byte: one empty line each in text mode (listing only)."""
-    files = _options(spark.read.format("binaryFile"), recursive, path_glob).load(paths)
-    return files.filter("length = 0").select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"))
+    """``(path)`` of files without a byte: one empty line each in text mode.
+    Spark's readers leave them out, so the driver lists the folders (file
+    status only, as every reader does)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+
+    def look(fs, status, deep):
+        name = status.getPath().getName()
+        if name[:1] in "._":
+            return
+        if status.isDirectory():
+            for child in fs.listStatus(status.getPath()) if deep else []:
+                look(fs, child, recursive)
+        elif status.getLen() == 0 and (not path_glob or fnmatch.fnmatchcase(name, path_glob)):
+            found.append((re.sub("^file:/+", "file:///", status.getPath().toString()),))
+
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for status in fs.globStatus(path) or []:
+            look(fs, status, True)
+    return spark.createDataFrame(found, "path string")
 
 
 # ---------------------------------------------------------------- S2
