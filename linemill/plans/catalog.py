@@ -421,6 +421,61 @@ def q_hold_out(spark, sf):
     return hold_out(_split_quota(spark, sf), F.col("source") == "src0", "newstest2018")
 
 
+PREP_SQL = O.with_(O.BITEXT) + f""",
+b as (select *, coalesce({QUALITY_SQL}, false) ok, {_h(42, 'pair', 'doc_no', 'line_no')} h from bitext),
+r as (select *, row_number() over (partition by pair, ok order by h, pair, doc_no, line_no) rn
+      from b where source not in ('src0', 'src1')),
+g as (select pair, doc_no, line_no, src, tgt, h, case when ok and rn <= 200 then 'dev'
+        when ok and rn <= 400 then 'test' else 'train' end split from r
+      union all select pair, doc_no, line_no, src, tgt, h, 'train' from b where source = 'src1'
+      union all select pair, doc_no, line_no, src, tgt, h, 'newstest2018' from b where source = 'src0'),
+prep as (select pair, doc_no, line_no, src, tgt, split, row_number() over (
+  partition by pair, split order by h, pair, doc_no, line_no) shuf_rank from g)
+"""
+
+
+def _prep(spark, sf):
+    """Quota split of the corpus, news added: one source held out as its own
+    split, another appended to train, everything reshuffled."""
+    from .prep import add_news_dev, split_parallel
+    b = _bitext(spark, sf)
+    base = split_parallel(b.filter(~F.col("source").isin("src0", "src1")), 200, 200, _quality(), 42)
+    news = b.filter(F.col("source").isin("src0", "src1"))
+    return add_news_dev(base, news, F.col("source") == "src0", "newstest2018", 42).select(
+        *BITEXT_KEYS, "src", "tgt", "split", "shuf_rank")
+
+
+@register("prep_splits", PREP_SQL + "select * from prep")
+def q_prep_splits(spark, sf):
+    return _prep(spark, sf)
+
+
+MULTI_DEV_SQL = PREP_SQL + """,
+p as (select *, case pair when 'en-de' then 1 when 'en-es' then 2 else 3 end part_no from prep
+      where split = 'dev')
+select pair, doc_no, line_no, {tag} src_sp, tgt tgt_sp, part_no,
+       row_number() over (order by part_no, doc_no, line_no) line_no_all from p"""
+
+
+def _multi_dev(spark, sf, tag_first):
+    from .prep import multilingual_dev
+    dev = _prep(spark, sf).filter("split = 'dev'").select(
+        *BITEXT_KEYS, F.col("src").alias("src_sp"), F.col("tgt").alias("tgt_sp"))
+    return multilingual_dev(dev, ["en-de", "en-es", "en-fr"], tag_first).select(
+        *BITEXT_KEYS, "src_sp", "tgt_sp", "part_no", "line_no_all")
+
+
+@register("multilingual_dev", MULTI_DEV_SQL.replace("{tag}", "concat('<2', substr(pair, 4, 8), '> ', src)"))
+def q_multilingual_dev(spark, sf):
+    return _multi_dev(spark, sf, True)
+
+
+@register("multilingual_dev_untagged", MULTI_DEV_SQL.replace("{tag}", "src"))
+def q_multilingual_dev_untagged(spark, sf):
+    """The reference's order of steps, which leaves the concatenation untagged."""
+    return _multi_dev(spark, sf, False)
+
+
 @register("leaked_rows", SPLIT_QUOTA_SQL + """
 select t.pair, t.doc_no, t.line_no from sq t
 where t.split = 'train' and exists (select 1 from sq h where h.split <> 'train'
@@ -626,16 +681,56 @@ def q_discover_corpus(spark, sf):
                       F.regexp_extract("name", r"(\.[^.]*)$", 1).alias("suffix"), "size")
 
 
-@register("write_lines", O.with_(O.LINES) + "select doc_id, line_no, line from lines")
-def q_write_lines(spark, sf):
+FILES_SQL = """files as (
+  select concat('lang=', lang, '/source=', source) file, lang, source, line,
+         cast(row_number() over (partition by lang, source order by doc_id, line_no) - 1 as bigint) line_no
+  from lines)"""
+
+
+def _line_files(spark, sf):
+    """The documents written as one line file per (language, source) and read
+    back: ``(file, lang, source, line_no, line)``."""
     from ..session import scratch_path
     from ..sources.lines import read_lines
     from ..sources.sinks import write_lines
     path = scratch_path(spark, "lines")
-    write_lines(T.lines(spark, sf), path, ["doc_id"], ["line_no"], parquet_twin=False)
-    back = read_lines(spark, path, newline="lf", unit="dir")
-    return back.select(F.regexp_extract("unit", r"doc_id=([0-9]+)$", 1).cast("long").alias("doc_id"),
-                       "line_no", "line")
+    write_lines(T.lines(spark, sf), path, ["lang", "source"], ["doc_id", "line_no"])
+    back = read_lines(spark, path, newline="lf", unit="dir", recursive=True)
+    file = F.regexp_extract("unit", r"(lang=[^/]*/source=[^/]*)$", 1)
+    return back.select(file.alias("file"), F.regexp_extract(file, "lang=([^/]*)", 1).alias("lang"),
+                       F.regexp_extract(file, "source=([^/]*)", 1).alias("source"), "line_no", "line")
+
+
+@register("write_lines", O.with_(O.LINES, FILES_SQL) + "select lang, source, line_no, line from files")
+def q_write_lines(spark, sf):
+    return _line_files(spark, sf).select("lang", "source", "line_no", "line")
+
+
+SHARDS_SQL = """sizes as (select file, count(*) n from files group by file),
+shards as (select file, cast(coalesce(sum(n) over (order by file rows between unbounded preceding
+           and 1 preceding), 0) as bigint) start from sizes)"""
+
+
+@register("sort_shard_files", O.with_(O.LINES, FILES_SQL, SHARDS_SQL) + """
+select file, line_no, start + line_no sample_idx from files join shards using (file)""")
+def q_sort_shard_files(spark, sf):
+    """O3 over files: their paths, as text, give the sample order."""
+    from ..operators.order import sort_shards
+    return sort_shards(_line_files(spark, sf).select("file", "line_no"), "file").select(
+        "file", "line_no", "sample_idx")
+
+
+@register("sample_at_files", O.with_(O.LINES, FILES_SQL, SHARDS_SQL) + """
+select start + line_no i, file, line_no from files join shards using (file)
+where (start + line_no) % 7 = 0""")
+def q_sample_at_files(spark, sf):
+    """J4 over files: every seventh sample of the global order."""
+    from ..operators.joins import line_offsets, sample_at
+    files = _line_files(spark, sf)
+    offs = line_offsets(files, "file")
+    n = offs.agg(F.sum("n_lines")).first()[0] or 0
+    idx = spark.range(0, int(n), 7).withColumnRenamed("id", "i")
+    return sample_at(idx, files, offs, "file").select("i", "file", "line_no")
 
 
 @register("write_vocab", O.with_(O.LINES, FREQ_VOCAB_SQL) + """

@@ -91,7 +91,8 @@ def learn_vocabularies(bitext: DataFrame, grouping: str, vocab_size: int = 32000
 
 
 def encode_sides(bitext: DataFrame, model: UnigramModel) -> DataFrame:
-    """F3 -> F4 on both sides: ``src_sp`` and ``tgt_sp`` piece strings."""
+    """F3 -> F4 on both sides with one model: ``src_sp`` and ``tgt_sp`` piece
+    strings."""
     spark = bitext.sparkSession
     vocab = model.vocab_df(spark)
     e = unigram_encode(bitext, "src", vocab, "_sp_src")
@@ -100,6 +101,19 @@ def encode_sides(bitext: DataFrame, model: UnigramModel) -> DataFrame:
         "tgt_sp", X.join_pieces("_sp_tgt")).drop("_sp_src", "_sp_tgt")
 
 
+def encode_monolingual(sides: DataFrame, models: dict[str, UnigramModel], line_col: str = "line",
+                       lang_col: str = "lang") -> DataFrame:
+    """F3 -> F4 on lines of several languages, each with its own language's
+    model: ``line_sp``. One branch per language of ``models`` (few, named);
+    lines of other languages drop out."""
+    out = None
+    for lang, model in sorted(models.items()):
+        part = unigram_encode(sides.filter(F.col(lang_col) == lang), line_col,
+                              model.vocab_df(sides.sparkSession), "_sp")
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn(line_col + "_sp", X.join_pieces("_sp")).drop("_sp")
+
+
 def multilingual_dev(encoded_dev: DataFrame, pair_order: list[str],
                      tag_first: bool = True) -> DataFrame:
     """U3 + P5: dev sets of all pairs concatenated in ``pair_order`` with the

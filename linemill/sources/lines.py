@@ -180,15 +180,25 @@ def glob_match(col, pattern: str) -> Column:
     return c.rlike(glob_to_regex(pattern))
 
 
+def path_match(pattern: str, name_col: str = "name", path_col: str = "path") -> Column:
+    """A glob without ``/`` matches the base name; one with ``/`` (as
+    ``en-??/*``) matches the last components of the path."""
+    if "/" not in pattern:
+        return glob_match(name_col, pattern)
+    parts = "/".join(glob_to_regex(p)[1:-1] for p in pattern.strip("/").split("/"))
+    return F.col(path_col).rlike("(?:^|/)" + parts + "$")
+
+
 def select_files(files: DataFrame, include: str | None = None, exclude=(),
-                 suffixes=None, name_col: str = "name") -> DataFrame:
-    """S2 on a file listing: keep names matching ``include``, drop names
-    matching any ``exclude`` glob, optionally keep only ``suffixes``."""
+                 suffixes=None, name_col: str = "name", path_col: str = "path") -> DataFrame:
+    """S2 on a file listing: keep files matching ``include``, drop files
+    matching any ``exclude`` glob, optionally keep only ``suffixes``. Globs
+    with a ``/`` look at the path, others at the base name."""
     out = files
     if include:
-        out = out.filter(glob_match(name_col, include))
+        out = out.filter(path_match(include, name_col, path_col))
     for ex in ([exclude] if isinstance(exclude, str) else exclude):
-        out = out.filter(~glob_match(name_col, ex))
+        out = out.filter(~path_match(ex, name_col, path_col))
     if suffixes:
         out = out.filter(F.regexp_extract(name_col, r"(\.[^.]*)$", 1).isin(*suffixes))
     return out
@@ -214,8 +224,9 @@ def read_corpus(spark: SparkSession, root: str, include: str | None = None, excl
     """S2 + S1 + P6: every line of the corpus files under ``root`` with the
     pair, split and language taken from the file name. ``include`` prunes
     files while listing; ``exclude`` and ``suffixes`` filter by name."""
-    ln = read_lines(spark, root, newline, recursive=True, path_glob=include)
+    by_name = include if include and "/" not in include else None
+    ln = read_lines(spark, root, newline, recursive=True, path_glob=by_name)
     ln = ln.withColumn("name", basename("path"))
-    ln = select_files(ln, None, exclude, suffixes)
+    ln = select_files(ln, None if by_name else include, exclude, suffixes)
     return ln.select("path", *[corpus_name_part("name", p).alias(p)
                                for p in ("pair", "split", "lang")], "line_no", "line")
