@@ -616,17 +616,27 @@ def q_bpe_pair_counts(spark, sf):
     return pair_counts(words_table(stats.pretoken_histogram(T.lines(spark, sf))))
 
 
-@register("bpe_train")
+# Merges that BPE_VOCAB leaves room for: specials and bytes take 261 ids.
+BPE_MERGES = BPE_VOCAB - 261
+BPE_SQL = O.with_recursive(O.LINES, O.BYTES, O.bpe(BPE_MERGES))
+
+
+@register("bpe_train", BPE_SQL + """
+select rank, voc[l + 1] "left", voc[r + 1] "right", l left_id, r right_id, cast(261 + rank as integer) new_id
+from merged, voc""")
 def q_bpe_train(spark, sf):
     return bpe_model(spark, sf).merges_df(spark)
 
 
-@register("vocab_size")
+@register("vocab_size", BPE_SQL + """
+select cast(261 + count(*) as bigint) vocab_size, cast(5 as bigint) n_special, cast(256 as bigint) n_alphabet,
+       count(*) n_merge from merged""")
 def q_vocab_size(spark, sf):
     return stats.vocab_size(bpe_model(spark, sf).vocab_df(spark))
 
 
-@register("bpe_encode")
+@register("bpe_encode", O.with_recursive(O.LINES, O.BYTES, O.bpe(BPE_MERGES), O.bpe_ids(BPE_MERGES)) + """
+select doc_id, line_no, array_to_string(ids, ' ') ids from enc""")
 def q_bpe_encode(spark, sf):
     from ..operators.bpe import bpe_encode
     ln = T.lines(spark, sf).select("doc_id", "line_no", "line")
@@ -638,7 +648,15 @@ def q_bpe_encode(spark, sf):
 MLM_LEN = 64
 
 
-@register("mlm_examples")
+@register("mlm_examples", O.with_recursive(O.LINES, O.BYTES, O.bpe(BPE_MERGES), O.bpe_ids(BPE_MERGES)) + f""",
+fr as (select doc_id, line_no, list_concat([0], list_slice(ids, 1, {MLM_LEN - 2}), [2]) f from enc),
+pd as (select doc_id, line_no, list_resize(f, {MLM_LEN}, 1) labels,
+              list_transform(range({MLM_LEN}), lambda k: case when k < len(f) then 1 else 0 end) am from fr),
+mk as (select *, list_transform(labels, lambda x, i: case when x not in (0, 1, 2) and
+         substr(md5(concat('42:0:', doc_id, ':', line_no, ':', i - 1)), 1, 8) < '26666666'
+         then 4 else x end) input_ids from pd)
+select doc_id, line_no, array_to_string(input_ids, ' ') input_ids, array_to_string(am, ' ') attention_mask,
+       array_to_string(labels, ' ') labels from mk""")
 def q_mlm_examples(spark, sf):
     from ..operators.bpe import bpe_encode
     from ..operators.mlm import as_text, mlm_examples
@@ -803,6 +821,7 @@ def q_append_metrics(spark, sf):
 
 # ---------------------------------------------------------------- A5, F3 (unigram)
 UNIGRAM_VOCAB = 500
+MAX_PIECE = 16
 
 
 def unigram_model(spark, sf, vocab_size=UNIGRAM_VOCAB):
@@ -810,6 +829,32 @@ def unigram_model(spark, sf, vocab_size=UNIGRAM_VOCAB):
     return unigram_train(T.lines(spark, sf), vocab_size=vocab_size)
 
 
+UNIGRAM_WORDS_SQL = """uwords as (
+  select concat('▁', t) word, count(*) n
+  from (select unnest(regexp_split_to_array(line, '[ \\t\\n\\r\\f]+')) t from lines) z where t <> '' group by t)"""
+
+
+@register("unigram_word_counts", O.with_(O.LINES, UNIGRAM_WORDS_SQL) + "select word, n from uwords")
+def q_unigram_word_counts(spark, sf):
+    """The word table that A5 learns from (the given texts hold no character
+    that normalisation changes, so SQL needs none)."""
+    from ..operators.unigram import word_histogram
+    return word_histogram(T.lines(spark, sf))
+
+
+@register("unigram_seed_counts", O.with_(O.LINES, UNIGRAM_WORDS_SQL) + f"""
+select piece, cast(sum(n) as bigint) freq from (
+  select substr(word, i, k) piece, n from (
+    select word, n, i, unnest(range(1, least({MAX_PIECE}, length(word) - i + 1) + 1)) k from (
+      select word, n, unnest(range(1, length(word) + 1)) i from uwords) a) b) c
+group by piece having sum(n) > 1 or length(piece) = 1""")
+def q_unigram_seed_counts(spark, sf):
+    """A5's candidates with their counts."""
+    from ..operators.unigram import seed_pieces, word_histogram
+    return seed_pieces(word_histogram(T.lines(spark, sf)), MAX_PIECE).select(
+        "piece", F.col("freq").cast("long").alias("freq"))
+
+
 @register("unigram_train")
 def q_unigram_train(spark, sf):
     return unigram_model(spark, sf).vocab_df(spark)

@@ -70,3 +70,73 @@ def pretokens_expr(col: str) -> str:
 
 def with_(*ctes: str) -> str:
     return "with " + ",\n".join(ctes) + "\n"
+
+
+# ---------------------------------------------------------------- learnt vocabularies
+# Byte values to symbol ids and to their characters, in id order.
+BYTES = """bmap as (
+  select b, printf('%02X', b) hx, p, case when p then chr(cast(b as integer)) else
+           chr(cast(255 + row_number() over (partition by p order by b) as integer)) end ch,
+         cast(row_number() over (order by case when p then b else 256 + b end) + 4 as integer) id
+  from (select b, (b between 33 and 126) or (b between 161 and 172) or (b between 174 and 255) p
+        from range(256) r(b)) z)"""
+
+
+def symbols(name: str, source: str) -> str:
+    """``name(t, w, n)``: the words ``t`` of ``source(t, n)`` with one character
+    per symbol id (id + 32)."""
+    return f"""{name}_bytes as (
+  select t, n, k, substr(hex(encode(t)), 2 * k + 1, 2) hx from (
+    select t, n, unnest(range(0, cast(length(hex(encode(t))) / 2 as bigint))) k from {source}) z),
+{name} as (
+  select t, any_value(n) n, string_agg(chr(cast(b.id + 32 as integer)), '' order by k) w
+  from {name}_bytes y join bmap b on b.hx = y.hx group by t)"""
+
+
+def bpe(merges: int) -> str:
+    """``merged(rank, l, r)`` and ``voc(voc)``: byte-level BPE learnt on all
+    lines with their breaks, one merge a step, as CTEs of a recursive query."""
+    return f"""hist0 as (
+  select t, count(*) n from (select unnest({pretokens_expr("concat(line, chr(10))")}) t from lines) z group by t),
+{symbols("syms", "hist0")},
+learn(step, w, n, p) as (
+  select 0, w, n, cast(null as varchar) from syms
+  union all
+  select b.step + 1, replace(b.w, best.p, chr(cast(32 + 261 + b.step as integer))), b.n, best.p
+  from learn b, (
+    select p from (select substr(w, i, 2) p, n
+                   from (select w, n, unnest(range(1, length(w))) i from learn) y) z
+    group by p having sum(n) >= 2 order by sum(n) desc, p limit 1) best
+  where b.step < {merges}),
+merged as (
+  select cast(step - 1 as integer) rank, any_value(p) p, cast(ascii(substr(any_value(p), 1, 1)) - 32 as integer) l,
+         cast(ascii(substr(any_value(p), 2, 1)) - 32 as integer) r from learn where step > 0 group by step),
+grow(step, voc) as (
+  select 0, list_concat(['<s>', '<pad>', '</s>', '<unk>', '<mask>'], (select list(ch order by id) from bmap))
+  union all
+  select step + 1, list_append(voc, concat(voc[l + 1], voc[r + 1])) from grow join merged on rank = step),
+voc as (select voc from grow order by step desc limit 1)"""
+
+
+def bpe_ids(merges: int) -> str:
+    """``enc(doc_id, line_no, ids)``: every line's ids under ``merged``."""
+    return f"""toks as (
+  select doc_id, line_no, u.i i, u.t t from lines, unnest({pretokens_expr("line")}) with ordinality u(t, i)),
+kinds as (select t, 1 n from toks group by t),
+{symbols("ksyms", "kinds")},
+apply(step, t, w) as (
+  select 0, t, w from ksyms
+  union all
+  select step + 1, t, replace(w, p, chr(cast(32 + 261 + rank as integer))) from apply join merged on rank = step),
+coded as (
+  select t, list_transform(string_split(w, ''), lambda c: ascii(c) - 32) ids
+  from apply where step = (select count(*) from merged)),
+enc as (
+  select lines.doc_id, lines.line_no, coalesce(any_value(x.ids), []) ids from lines left join (
+    select doc_id, line_no, flatten(list(ids order by i)) ids from toks join coded using (t)
+    group by doc_id, line_no) x on x.doc_id = lines.doc_id and x.line_no = lines.line_no
+  group by lines.doc_id, lines.line_no)"""
+
+
+def with_recursive(*ctes: str) -> str:
+    return "with recursive " + ",\n".join(ctes) + "\n"
