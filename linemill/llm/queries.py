@@ -129,3 +129,25 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return out.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
                       F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
                       "contaminated")
+
+
+_WORDS = ("regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+ORACLE["op10_benchmark_decontamination"] = f"""
+with d as (select doc_id, {_WORDS.format(t="coalesce(text, '')")} w from documents),
+b as (select item_id, {_WORDS.format(t="text")} w from benchmark where text is not null),
+win as (
+  select distinct item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') g from (
+    select item_id, w, least(len(w), 10) k, unnest(range(1, greatest(len(w) - 9, 1) + 1)) i from b where len(w) > 0) z),
+occ as (
+  select doc_id, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') g from (
+    select doc_id, w, k, unnest(range(1, len(w) - k + 2)) i from d, (select distinct k from win) ks where len(w) >= k) z),
+hits as (select doc_id, i, occ.k k, item_id from occ join win on win.k = occ.k and win.g = occ.g),
+cover as (select doc_id, count(distinct p) n from (select doc_id, unnest(range(i, i + k)) p from hits) z group by doc_id),
+found as (
+  select doc_id, count(*) n, string_agg(item, ',' order by item) ids
+  from (select distinct doc_id, cast(item_id as varchar) item from hits) z group by doc_id)
+select d.doc_id, cast(len(d.w) as bigint) n_words, coalesce(cover.n, 0) n_hit, coalesce(found.n, 0) n_items,
+       sha256(coalesce(found.ids, '')) items_sha256, coalesce(cover.n, 0) > 0 contaminated
+from d left join cover on cover.doc_id = d.doc_id left join found on found.doc_id = d.doc_id
+"""
