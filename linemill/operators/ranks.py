@@ -114,6 +114,9 @@ def quota_labels(df: DataFrame, order_cols, bucket: Column, group_cols, quotas,
     group's thresholds (one small row per group), so the data itself is
     neither sorted nor shuffled.
     """
+    if not group_cols:              # one group of all rows
+        return quota_labels(df.withColumn("_all", F.lit(0)), order_cols, bucket, ["_all"], quotas,
+                            label_col, rest, eligible).drop("_all")
     group_cols, order_cols = list(group_cols), list(order_cols)
     ends, acc = [], 0
     for name, n in quotas:
@@ -140,6 +143,6 @@ def quota_labels(df: DataFrame, order_cols, bucket: Column, group_cols, quotas,
     for i, (name, hi) in reversed(list(enumerate(ends))):
         inside = F.lit(False) if hi <= 0 else F.col(f"_k{i}").isNull() | (key <= F.col(f"_k{i}"))
         label = F.when(inside, F.lit(name)).otherwise(label)
-    out = b.join(limits, group_cols, "left") if group_cols else b.crossJoin(F.broadcast(limits))
+    out = b.join(limits, group_cols, "left")
     return out.withColumn(label_col, F.when(F.col("_ok"), label).otherwise(F.lit(rest))).drop(
         "_ok", "_bkt", *[f"_k{i}" for i in range(len(ends))])

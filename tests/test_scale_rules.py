@@ -115,6 +115,12 @@ def test_short_groups_and_empty_quotas(spark):
                 d, t, n + 1 - d - t), (g, dev, test)
 
 
+def test_quota_over_all_rows(spark):
+    df = spark.range(30).withColumnRenamed("id", "k")
+    got = {r.split: r["count"] for r in split_quota(df, ["k"], [], 4, 5).groupBy("split").count().collect()}
+    assert got == {"dev": 4, "test": 5, "train": 21}
+
+
 def test_queries_run_from_another_folder(tmp_dir):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     code = f"""
