@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import fresh, stored
 
 # Patterns in order of precedence; the types below are told apart by the match.
-SECRET_NAME = r"(?:password|passwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
+SECRET_NAME = r"(?i:password|passwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
 TITLES = {
     ("latin", "m"): ["Mr", "Herr", "Monsieur", "Señor"],
     ("latin", "f"): ["Mrs", "Ms", "Miss", "Frau", "Madame", "Señora"],
@@ -53,7 +53,7 @@ SYLLABLES = {
     "cyrillic": ["бар", "вол", "гор", "дан", "жар", "кал", "лен", "мир", "нов", "пол", "руд", "сав", "тар", "фил",
                  "чер", "яр"],
 }
-LOWER, UPPER, HEX = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdef"
+LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MAX_ROUNDS = 64
 
 
@@ -93,7 +93,7 @@ def canonical(kind: Column, m: Column) -> Column:
             .otherwise(m))
 
 
-def _draw(hexes: Column, i: Column, n: int) -> Column:
+def _draw(hexes: Column, i: Column, n: int | Column) -> Column:
     """A number below ``n`` from three hex digits of the hash (i from 1)."""
     return F.conv(F.substring(hexes, F.pmod((i - 1) * 3, F.lit(126)) + 1, F.lit(3)), 16, 10).cast("int") % n
 
@@ -104,12 +104,11 @@ def _pick(letters: str, k: Column) -> Column:
 
 def _scramble(s: Column, hexes: Column) -> Column:
     """Letters and digits drawn anew, case and other characters kept."""
-    is_hex = s.rlike("^[0-9a-f]+$")
+    n = F.when(s.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), 6).otherwise(26)      # hexadecimal stays so
     return F.array_join(F.transform(_chars(s), lambda c, i: (
         F.when(_digit(c), _draw(hexes, i + 1, 10).cast("string"))
-        .when((c >= "a") & (c <= "z"), F.when(is_hex, _pick(HEX, _draw(hexes, i + 1, 6)))
-              .otherwise(_pick(LOWER, _draw(hexes, i + 1, 26))))
-        .when((c >= "A") & (c <= "Z"), _pick(UPPER, _draw(hexes, i + 1, 26))).otherwise(c))), "")
+        .when((c >= "a") & (c <= "z"), _pick(LOWER, _draw(hexes, i + 1, n)))
+        .when((c >= "A") & (c <= "Z"), _pick(UPPER, _draw(hexes, i + 1, n))).otherwise(c))), "")
 
 
 def _digits(n: Column, hexes: Column, keep: Column, canon: Column) -> Column:
