@@ -107,18 +107,33 @@ class Namer:
         return a, lo, hi, core, self._region(self.two.prefix(b), a, lo, hi)
 
 
-_ROW = [T.StructField("tid", T.BinaryType()), T.StructField("weight", T.IntegerType()),
-        T.StructField("a", T.LongType()), T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType()),
+# A row's anchor, the distances of its first and last window from it, and
+# whether its text has copies, share one integer: 39 + 12 + 12 + 1 bits.
+_DIST = 12
+_ROW = [T.StructField("tid", T.BinaryType()), T.StructField("place", T.LongType()),
         T.StructField("core", T.LongType()), T.StructField("region", T.LongType())]
+MAX_LENGTH = 1 << _DIST
 
 
-def _batch(tids, weights, parts) -> pa.RecordBatch:
+def _batch(tids, copies, parts) -> pa.RecordBatch:
     n = [len(p[0]) for p in parts]
     idx = np.repeat(np.arange(len(parts)), n)
-    cols = [np.concatenate([p[i] for p in parts]).astype(np.uint64).view(np.int64) for i in range(5)]
+    a, lo, hi, core, region = (np.concatenate([p[i] for p in parts]) for i in range(5))
+    place = (((a << _DIST | a - lo) << _DIST | a - hi) << 1) | (copies > 1)[idx]
     return pa.RecordBatch.from_arrays(
-        [tids.take(pa.array(idx)).cast(pa.binary()), pa.array(np.minimum(weights, 2).astype(np.int32)[idx])]
-        + [pa.array(c) for c in cols], names=[f.name for f in _ROW])
+        [tids.take(pa.array(idx)).cast(pa.binary()), pa.array(place), pa.array(core.view(np.int64)),
+         pa.array(region.view(np.int64))], names=[f.name for f in _ROW])
+
+
+def _weight():
+    """How often a row's text occurs: once, or more."""
+    return F.col("place").bitwiseAND(F.lit(1)) + 1
+
+
+def _unpacked(rows: DataFrame, *more: str) -> DataFrame:
+    a, dist = F.shiftright("place", 2 * _DIST + 1), (1 << _DIST) - 1
+    back = [F.shiftright("place", k).bitwiseAND(F.lit(dist)) for k in (_DIST + 1, 1)]
+    return rows.select("tid", a.alias("a"), (a - back[0]).alias("lo"), (a - back[1]).alias("hi"), *more)
 
 
 def _rows(texts: DataFrame, length: int, anchor: int, width: int | None) -> DataFrame:
@@ -158,17 +173,18 @@ def _judged(rows: DataFrame, name: str) -> DataFrame:
     """Rows of repeated cores, with ``settled``. The rows are made twice
     (grouping, joining) rather than stored."""
     groups = rows.groupBy("core").agg(
-        F.sum("weight").alias("n"), F.min("region").alias("least"), F.max("region").alias("most")
+        F.sum(_weight()).alias("n"), F.min("region").alias("least"), F.max("region").alias("most")
     ).filter("n > 1").select("core", (F.col("least") == F.col("most")).alias("settled"))
     # A text with copies repeats anyway: only its open rows are still of use.
-    return stored(rows.join(groups, "core").filter("weight = 1 or not settled").select(
-        "tid", "a", "lo", "hi", "settled"), name)
+    open_or_single = (_weight() == 1) | ~F.col("settled")
+    return stored(_unpacked(rows.join(groups, "core").filter(open_or_single), "settled"), name)
 
 
 def _windows(rows: DataFrame, name: str) -> DataFrame:
     """The last round: windows whose two names both repeat."""
-    groups = rows.groupBy("core", "region").agg(F.sum("weight").alias("n")).filter("n > 1")
-    return stored(rows.join(groups, ["core", "region"], "left_semi").select("tid", "lo", "hi"), name)
+    groups = rows.groupBy("core", "region").agg(F.sum(_weight()).alias("n")).filter("n > 1")
+    hit = rows.filter(_weight() == 1).join(groups, ["core", "region"], "left_semi")
+    return stored(_unpacked(hit).select("tid", "lo", "hi"), name)
 
 
 def _per_text(rows: DataFrame, fields: list[str]) -> DataFrame:
@@ -186,6 +202,8 @@ def repeated_spans(df: DataFrame, text_col: str = "text", length: int = LENGTH,
     same text, of another, or of a copy; ranges are bytes of the input. Null,
     empty and shorter texts repeat nothing. Cells must end with width 1.
     """
+    if not anchor <= length <= MAX_LENGTH:
+        raise ValueError(f"lengths up to {MAX_LENGTH} bytes are covered, with anchors no longer")
     spark = df.sparkSession
     sha = F.sha2(F.col(f"`{text_col}`").cast("binary"), 256)
     tid = F.unhex(F.substring(sha, 1, 32))
