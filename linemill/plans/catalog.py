@@ -860,12 +860,61 @@ def q_unigram_train(spark, sf):
     return unigram_model(spark, sf).vocab_df(spark)
 
 
-@register("unigram_encode")
+FREQUENCY_PIECES = 2000
+
+FREQUENCY_PIECES_SQL = UNIGRAM_WORDS_SQL + f""",
+useeds as (
+  select piece, sum(n) freq from (
+    select substr(word, i, k) piece, n from (
+      select word, n, i, unnest(range(1, least({MAX_PIECE}, length(word) - i + 1) + 1)) k from (
+        select word, n, unnest(range(1, length(word) + 1)) i from uwords) a) b) c group by piece),
+uvoc as (
+  select piece, freq from useeds where length(piece) = 1
+  union all
+  select piece, freq from (select piece, freq from useeds where length(piece) > 1 and freq > 1
+                           order by freq * length(piece) desc, piece limit {FREQUENCY_PIECES}) z),
+uscore as (select piece, round(ln(freq / (select sum(freq) from uvoc)), 6) s from uvoc),
+best(word, i, best, back) as (
+  select word, cast(0 as bigint), [cast(0 as double)], [cast(0 as bigint)] from uwords
+  union all
+  select word, i + 1, list_append(best, max(v)), list_append(back, list(j order by v desc, j)[1]) from (
+    select w.word word, w.i i, w.best best, w.back back, w.j j, w.best[w.j + 1] + us.s v
+    from (select word, i, best, back, unnest(range(greatest(0, i - {MAX_PIECE - 1}), i + 1)) j from best
+          where i < length(word)) w
+    join uscore us on us.piece = substr(w.word, w.j + 1, w.i + 1 - w.j)) z
+  group by word, i, best, back),
+cut(word, k, back, pieces) as (
+  select word, i, back, cast([] as varchar[]) from best where i = length(word)
+  union all
+  select word, back[k + 1], back, list_prepend(substr(word, back[k + 1] + 1, k - back[k + 1]), pieces)
+  from cut where k > 0),
+upieces as (select word, pieces from cut where k = 0)"""
+
+
+def _frequency_pieces(spark, sf):
+    """A piece table that SQL can make: all characters, and the substrings
+    that cover most of the corpus, scored by their log shares."""
+    from ..operators.unigram import seed_pieces, word_histogram
+    seeds = seed_pieces(word_histogram(T.lines(spark, sf)), MAX_PIECE)
+    one = F.length("piece") == 1
+    top = seeds.filter(~one).orderBy(F.desc(F.col("freq") * F.length("piece")), "piece").limit(FREQUENCY_PIECES)
+    both = seeds.filter(one).unionByName(top)
+    total = both.agg(F.sum("freq")).first()[0]
+    return both.select("piece", F.round(F.log(F.col("freq") / F.lit(total)), 6).alias("score"))
+
+
+@register("unigram_encode", O.with_recursive(O.LINES, FREQUENCY_PIECES_SQL) + """,
+toks as (select doc_id, line_no, u.i i, u.t t
+         from lines, unnest(regexp_split_to_array(line, '[ \\t\\n\\r\\f]+')) with ordinality u(t, i) where u.t <> ''),
+coded as (select doc_id, line_no, array_to_string(flatten(list(p.pieces order by i)), ' ') pieces
+          from toks join upieces p on p.word = concat('▁', t) group by doc_id, line_no)
+select l.doc_id, l.line_no, coalesce(c.pieces, '') pieces
+from lines l left join coded c on c.doc_id = l.doc_id and c.line_no = l.line_no""")
 def q_unigram_encode(spark, sf):
     from ..functions.text import join_pieces
     from ..operators.unigram import unigram_encode
     ln = T.lines(spark, sf).select("doc_id", "line_no", "line")
-    out = unigram_encode(ln, "line", unigram_model(spark, sf).vocab_df(spark))
+    out = unigram_encode(ln, "line", _frequency_pieces(spark, sf))
     return out.select("doc_id", "line_no", join_pieces("pieces").alias("pieces"))
 
 
