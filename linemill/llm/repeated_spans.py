@@ -14,8 +14,9 @@ windows of the whole cell have in common) is its name, its region (what its
 own windows cover together) a second name. Spark groups the rows by core:
 
 * core unique: no window of the cell repeats, the row is dropped;
-* all regions equal: every window of the cell repeats, the row is settled;
-* else the cell is cut into narrower cells with longer cores.
+* all regions equal: every window of the cell repeats, the rows are settled;
+* else rows of equal regions are settled too, and the cells of one row of each
+  region are cut into narrower cells with longer cores.
 
 Cells are 153, 12 and 1 windows wide: cores of 48, 189 and 200 bytes. In the
 last round a cell is one window, named by two independent 64-bit hashes.
@@ -170,14 +171,25 @@ def _rows(texts: DataFrame, length: int, anchor: int, width: int | None) -> Data
 
 
 def _judged(rows: DataFrame, name: str) -> DataFrame:
-    """Rows of repeated cores, with ``settled``. The rows are made twice
-    (grouping, joining) rather than stored."""
+    """Rows of repeated cores: ``settled`` (their windows repeat) or ``open``
+    (to be cut further), or both. Rows of one core and one region settle each
+    other; where their core has other regions too, one of them stays open, as
+    a partner for those. The rows are made twice (grouping, joining) rather
+    than stored."""
     groups = rows.groupBy("core").agg(
         F.sum(_weight()).alias("n"), F.min("region").alias("least"), F.max("region").alias("most")
     ).filter("n > 1").select("core", (F.col("least") == F.col("most")).alias("settled"))
     # A text with copies repeats anyway: only its open rows are still of use.
-    open_or_single = (_weight() == 1) | ~F.col("settled")
-    return stored(_unpacked(rows.join(groups, "core").filter(open_or_single), "settled"), name)
+    single = _weight() == 1
+    found = stored(rows.join(groups, "core").filter(single | ~F.col("settled")), name)
+    mixed = found.filter("not settled").drop("settled").withColumn("own", F.xxhash64("tid", "place"))
+    twins = mixed.groupBy("core", "region").agg(F.sum(_weight()).alias("n"), F.min("own").alias("first")
+                                                ).filter("n > 1").drop("n")
+    mixed = mixed.join(twins, ["core", "region"], "left")
+    alone = F.col("first").isNull()
+    mixed = _unpacked(mixed, (~alone & single).alias("settled"), (alone | (F.col("own") == F.col("first"))).alias("open"))
+    return stored(mixed.filter("settled or open"), name + "-open").unionByName(
+        _unpacked(found.filter("settled"), "settled", F.lit(False).alias("open")))
 
 
 def _windows(rows: DataFrame, name: str) -> DataFrame:
@@ -221,7 +233,7 @@ def repeated_spans(df: DataFrame, text_col: str = "text", length: int = LENGTH,
     done = []
     for width in cells:
         done.append(rows.filter("settled").select("tid", "lo", "hi"))
-        open_ = _per_text(rows.filter("not settled"), ["a", "lo", "hi"])
+        open_ = _per_text(rows.filter("open"), ["a", "lo", "hi"])
         made = _rows(texts.join(open_, "tid"), length, anchor, width)
         if width > 1:
             rows = _judged(made, f"span-cells-{width}")
