@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .common import RollingHash, edges, fresh, mix64, stored
+from .common import RollingHash, edges, fresh, mix64, slices, stored
 
 LENGTH = 200
 ANCHOR = 48
@@ -160,7 +160,7 @@ def _rows(texts: DataFrame, length: int, anchor: int, width: int | None) -> Data
                 else:
                     parts.append(name.anchors(b))
                 size += len(parts[-1][0])
-                if size > 200_000:
+                if size > 50_000:
                     yield flush(k + 1)
                     size, lo, parts = 0, k + 1, []
             if parts:
@@ -199,6 +199,25 @@ def _windows(rows: DataFrame, name: str) -> DataFrame:
     return stored(_unpacked(hit).select("tid", "lo", "hi"), name)
 
 
+def _cut(b: bytes, copies: int, at, length: int) -> tuple:
+    """(digest, spans, removed bytes, rest, its digest) of one text."""
+    if copies > 1:
+        s, e = np.array([0]), np.array([len(b)])
+    else:
+        lo, hi = (at.values.field(i).to_numpy(zero_copy_only=False) for i in range(2))
+        change = np.zeros(len(b) + 1, np.int64)
+        np.add.at(change, lo, 1)
+        np.add.at(change, hi + length, -1)
+        s, e = edges(np.cumsum(change)[:-1] > 0)
+    left, pos = [], 0
+    for x, y in zip(s.tolist(), e.tolist()):
+        left.append(b[pos:x])
+        pos = y
+    kept = b"".join(left + [b[pos:]])
+    return (hashlib.sha256(b).hexdigest(), [{"start": x, "end": y} for x, y in zip(s.tolist(), e.tolist())],
+            int((e - s).sum()), kept, hashlib.sha256(kept).hexdigest())
+
+
 def _per_text(rows: DataFrame, fields: list[str]) -> DataFrame:
     """One row per text: its ranges (at most one per byte of it)."""
     return rows.groupBy("tid").agg(F.collect_list(F.struct(*fields)).alias("at"))
@@ -251,32 +270,17 @@ def repeated_spans(df: DataFrame, text_col: str = "text", length: int = LENGTH,
                            T.StructField("kept_sha256", T.StringType())])
 
     def cut(batches):
+        from pyspark.sql.pandas.types import to_arrow_schema
+        arrow = to_arrow_schema(schema)
         for batch in batches:
-            out = [[] for _ in range(5)]
-            for text, copies, at in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2)):
-                b = text.as_buffer().to_pybytes()
-                if copies > 1:
-                    s, e = np.array([0]), np.array([len(b)])
-                else:
-                    lo, hi = (at.values.field(i).to_numpy(zero_copy_only=False) for i in range(2))
-                    change = np.zeros(len(b) + 1, np.int64)
-                    np.add.at(change, lo, 1)
-                    np.add.at(change, hi + length, -1)
-                    s, e = edges(np.cumsum(change)[:-1] > 0)
-                left, pos = [], 0
-                for x, y in zip(s.tolist(), e.tolist()):
-                    left.append(b[pos:x])
-                    pos = y
-                kept = b"".join(left + [b[pos:]])
-                out[0].append(hashlib.sha256(b).hexdigest())
-                out[1].append([{"start": x, "end": y} for x, y in zip(s.tolist(), e.tolist())])
-                out[2].append(int((e - s).sum()))
-                out[3].append(kept)
-                out[4].append(hashlib.sha256(kept).hexdigest())
-            from pyspark.sql.pandas.types import to_arrow_schema
-            arrow = to_arrow_schema(schema)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, arrow.types)],
-                                             names=arrow.names)
+            for first, last in slices(batch.column(0)):
+                part = batch.slice(first, last - first)
+                out = [[] for _ in range(5)]
+                for text, copies, at in zip(part.column(0), part.column(1).to_pylist(), part.column(2)):
+                    for o, x in zip(out, _cut(text.as_buffer().to_pybytes(), copies, at, length)):
+                        o.append(x)
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, arrow.types)],
+                                                 names=arrow.names)
 
     return found.select(F.col("text").cast("binary").alias("text"), "copies", "at").mapInArrow(cut, schema)
 
