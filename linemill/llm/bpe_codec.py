@@ -22,7 +22,7 @@ from .pretokens import STOP, classes, code_points, spaced_starts, utf8_lengths
 HASH_SEED = 9
 BUCKET_KEYS = 4
 # Merged pre-tokens that a task remembers (about 200 bytes each).
-MEMO = 500_000
+MEMO = 300_000
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -227,6 +227,28 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
     return text_pass(df, text_col, [T.StructField(ids_col, T.BinaryType())], make, keep)
 
 
+def _decoder(tokens: list[bytes]):
+    get = tokens.__getitem__
+    return lambda packed: [b"".join(map(get, np.frombuffer(p, "<u4").tolist())) for p in packed]
+
+
+def encode_and_decode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
+                      out_col: str = "decoded", keep: list[str] | None = None) -> DataFrame:
+    """:func:`encode`, then :func:`decode` of its ids, in one pass (one Python
+    worker a core instead of two)."""
+    shared = _shared(df.sparkSession, path)
+
+    def make():
+        enc, dec = Encoder(*shared.value), _decoder(shared.value[0])
+
+        def each(texts):
+            ids = enc.encode(texts)
+            return [ids, dec(ids)]
+        return each
+    return text_pass(df, text_col, [T.StructField(ids_col, T.BinaryType()),
+                                    T.StructField(out_col, T.BinaryType())], make, keep)
+
+
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded",
            keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default: all) and the decoded bytes. Null ids decode
@@ -235,7 +257,7 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decod
     copy = "_packed" if "_packed" not in df.columns else "_packed_ids"
 
     def make():
-        get = shared.value.__getitem__
-        return lambda packed: [[b"".join(map(get, np.frombuffer(p, "<u4").tolist())) for p in packed]]
+        dec = _decoder(shared.value)
+        return lambda packed: [dec(packed)]
     return text_pass(df.withColumn(copy, F.col(f"`{ids_col}`")), copy,
                      [T.StructField(out_col, T.BinaryType())], make, keep)

@@ -113,7 +113,7 @@ def bpe_digests(df: DataFrame, keep: list[str], extra: list[str] = ()) -> DataFr
     """Encode, decode, and digest both; ``extra`` may name ``ids`` (packed)
     and ``decoded``."""
     path = tokenizer_file("byte_bpe_multi_50k.tiktoken")
-    out = bpe_codec.decode(bpe_codec.encode(df, path, keep=keep), path)
+    out = bpe_codec.encode_and_decode(df, path, keep=keep)
     return out.select(*keep, *extra, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -99,14 +99,16 @@ def test_merges_equal_the_library(tokens, library):
 
 
 def test_codec_round_trip(odd, odd_rows, docs, library, none):
-    from linemill.llm.bpe_codec import decode, encode
+    from linemill.llm.bpe_codec import decode, encode, encode_and_decode
     path = P.path("byte_bpe_multi_50k.tiktoken")
     for df, rows in ((odd, odd_rows), (docs, [tuple(r) for r in docs.select("doc_id", "text").collect()])):
         got = decode(encode(df, path, keep=["doc_id"]), path).collect()
         want = [(r[0], np.array(library.encode_ordinary(r[1] or ""), "<u4").tobytes(), (r[1] or "").encode())
                 for r in rows]
         assert sorted(((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in got), key=repr) == sorted(want, key=repr)
-    assert encode(none, path).count() == 0
+        both = encode_and_decode(df, path, keep=["doc_id"]).collect()
+        assert sorted(((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in both), key=repr) == sorted(want, key=repr)
+    assert encode(none, path).count() == 0 and encode_and_decode(none, path).count() == 0
 
 
 def test_codec_odd_texts(llm, library):
