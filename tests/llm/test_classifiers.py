@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from linemill.llm import language_id, quality, toxicity
 from linemill.llm.labelled import held_out
@@ -38,6 +39,27 @@ def test_language_accuracy(mid):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_long_clean_texts_are_kept(llm, mid):
+    """Held-out texts of one language, 0.3, 1 and 5 MB: joined, then again with
+    their words in another order, as mere repeats would cost next to nothing."""
+    import random
+
+    from linemill.llm.queries import language_model
+    rng = random.Random(5)
+    model = language_model(mid[0])
+    rows = []
+    for lang, _ in model:
+        held = [r.text for r in mid[0].filter(F.col("lang") == lang).select("doc_id", "text").collect()
+                if r.text and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+        text, words = "\n".join(held), " ".join(held).split()
+        while len(text) < 5_000_000:
+            text += "\n" + " ".join(rng.sample(words, len(words)))
+        rows += [(lang, n, text[:n]) for n in (300_000, 1_000_000, 5_000_000)]
+    got = language_id.identify(llm.createDataFrame(rows, "lang string, n long, text string").repartition(4), model).collect()
+    assert len(got) == 3 * len(model) >= 12
+    assert all(r.lang_pred == r.lang and not r.rejected for r in got), got
+
+
 def test_language_odd_rows(odd, none):
     model = language_id.learn(odd)
     got = {r.doc_id: r for r in language_id.identify(odd, model).collect() if r.doc_id}
