@@ -8,11 +8,16 @@ one everywhere. It keeps type and format: separators, letter case, length,
 country code, first card digit and whether the card's check digit is right; a
 name keeps gender (of its title) and script. Drawn surrogates of all distinct
 entities are compared in one table: where two are equal, or one equals a real
-entity, all but the first draw again until every entity has its own.
+entity, all but the first draw again until every entity has its own. An entity
+whose draws were all taken has a format that is full: from then on its
+surrogates widen by one sign a draw (see ``widened``). Local parts, labels and
+secrets of signs only get letters for them.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -54,7 +59,8 @@ SYLLABLES = {
                  "чер", "яр"],
 }
 LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-MAX_ROUNDS = 64
+# So many draws keep an entity's own format; the next ones widen it.
+MAX_ROUNDS = 12
 
 
 def _digit(c: Column) -> Column:
@@ -103,12 +109,15 @@ def _pick(letters: str, k: Column) -> Column:
 
 
 def _scramble(s: Column, hexes: Column) -> Column:
-    """Letters and digits drawn anew, case and other characters kept."""
+    """Letters and digits drawn anew, case and other characters kept; where
+    there are none, letters for all characters but dots."""
+    bare = ~s.rlike("[0-9A-Za-z]")
     n = F.when(s.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), 6).otherwise(26)      # hexadecimal stays so
     return F.array_join(F.transform(_chars(s), lambda c, i: (
         F.when(_digit(c), _draw(hexes, i + 1, 10).cast("string"))
         .when((c >= "a") & (c <= "z"), _pick(LOWER, _draw(hexes, i + 1, n)))
-        .when((c >= "A") & (c <= "Z"), _pick(UPPER, _draw(hexes, i + 1, n))).otherwise(c))), "")
+        .when((c >= "A") & (c <= "Z"), _pick(UPPER, _draw(hexes, i + 1, n)))
+        .when(bare & (c != "."), _pick(LOWER, _draw(hexes, i + 1, 26))).otherwise(c))), "")
 
 
 def _digits(n: Column, hexes: Column, keep: Column, canon: Column) -> Column:
@@ -154,6 +163,43 @@ def surrogate(kind: Column, canon: Column, hexes: Column) -> Column:
     return out.otherwise(_scramble(canon, hexes))
 
 
+def widened(kind: Column, canon: Column, sur: Column, hexes: Column, width: Column) -> Column:
+    """``sur`` with ``width`` (1 to 31) more drawn signs than its format has
+    room for. E-mail labels and secrets grow by letters (in place of their last
+    characters where the pattern ends), surnames by syllables; the last
+    characters of keys, and the last digits of numbers (not the kept ones nor a
+    card's check digit), become letters; octets go to 999, then letters follow."""
+    more = F.sha2(F.concat(hexes, F.lit("wider")), 512)
+    n, size, at = F.length(canon), F.length(sur), F.sequence(F.lit(1), width)
+    lower = F.array_join(F.transform(at, lambda i: _pick(LOWER, _draw(more, i, 26))), "")
+
+    def over(letters: Column, end: Column, free: Column) -> Column:
+        """Letters in place of the last of ``free`` characters before ``end``."""
+        w = F.least(width, free)
+        return F.concat(F.substring(sur, F.lit(1), end - w), F.substring(letters, F.lit(1), w),
+                        F.substring(sur, end + 1, size))
+
+    stem = F.regexp_replace(sur, r"\.example$", "")
+    label = F.length(F.regexp_extract(stem, r"[^@.]*$", 0))
+    kept = F.when(kind == "phone", F.greatest(n - 10, F.lit(0))).otherwise(0)
+    octets = [240 + _draw(more, F.lit(40), 760)] + [_draw(more, F.lit(i), 1000) for i in (41, 42, 39)]
+    cased = F.when(canon.rlike("[A-Z]") & ~canon.rlike("[a-z]"), F.upper(lower)).otherwise(lower)
+    out = (F.when(kind == "email", F.when(label + width <= 63, F.concat(stem, lower, F.lit(".example")))
+                  .otherwise(over(lower, F.length(stem), label)))
+           .when(kind == "secret", F.when(n + width <= 128, F.concat(sur, cased)).otherwise(over(cased, size, n)))
+           .when(kind == "key", over(F.upper(lower), size, F.lit(16)))
+           .when(kind == "ip", F.concat(F.concat_ws(".", *[o.cast("string") for o in octets]),
+                                        F.substring(lower, F.lit(1), width - 1)))
+           .when(kind == "card", over(F.upper(lower), size - 1, size - 2))
+           .when(kind.isin("ssn", "phone"), over(F.upper(lower), size, size - kept)))
+    for script, syllables in SYLLABLES.items():
+        some = F.array(*map(F.lit, syllables))
+        longer = F.array_join(F.transform(at, lambda i: F.element_at(some, _draw(more, i, 16) + 1)), "")
+        out = out.when(kind.startswith(f"person_{script}"), F.regexp_replace(
+            sur, r"(\p{L}+)$", F.concat(longer, F.lit("$1"))))
+    return out
+
+
 def written(kind: Column, m: Column, sur: Column) -> Column:
     """The surrogate in the format of one mention."""
     filled = F.array_join(F.transform(_chars(m), lambda c, i: F.when(_digit(c), F.substring(
@@ -181,11 +227,21 @@ def _matches(text: Column) -> Column:
 
 def entity_table(mentions: DataFrame, key: str) -> DataFrame:
     """``(kind, canon, sur)`` of every distinct entity of ``mentions(kind,
-    canon)``: surrogates are distinct within a kind and equal no entity."""
+    canon)``: surrogates are distinct within a kind and equal no entity.
+
+    Each round settles all entities whose draw is free; the space of the others
+    is widened in every round after ``MAX_ROUNDS``, to far more surrogates than
+    the pattern has entities of one format, so the rounds end."""
     ents = stored(mentions.groupBy("kind", "canon").agg(F.lit(0).alias("round")), "pii-entities")
-    for _ in range(MAX_ROUNDS):
-        hexes = F.sha2(F.concat_ws("\u0000", F.lit(key), "kind", "canon", F.col("round").cast("string")), 512)
-        drawn = ents.withColumn("sur", surrogate(F.col("kind"), F.col("canon"), hexes))
+    for i in itertools.count():
+        kind, canon, turn = F.col("kind"), F.col("canon"), F.col("round")
+        hexes = F.sha2(F.concat_ws("\u0000", F.lit(key), "kind", "canon", turn.cast("string")), 512)
+        sur = surrogate(kind, canon, hexes)
+        if i >= MAX_ROUNDS:
+            width = F.least(turn - MAX_ROUNDS + 1, F.lit(31))
+            sur = F.when(turn < MAX_ROUNDS, sur).otherwise(
+                widened(kind, canon, sur, hexes, F.greatest(width, F.lit(1))))
+        drawn = ents.withColumn("sur", sur)
         first = F.row_number().over(W.partitionBy("kind", "sur").orderBy("round", "canon"))
         real = ents.select("kind", F.col("canon").alias("sur"), F.lit(True).alias("real"))
         judged = stored(drawn.withColumn("again", first > 1).join(real, ["kind", "sur"], "left").select(
@@ -194,7 +250,6 @@ def entity_table(mentions: DataFrame, key: str) -> DataFrame:
         if not judged.filter("again").limit(1).count():
             return judged.select("kind", "canon", "sur")
         ents = judged.select("kind", "canon", (F.col("round") + F.col("again").cast("int")).alias("round"))
-    raise RuntimeError("surrogates still collide; the kind's format leaves too few of them")
 
 
 def pseudonymize(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
