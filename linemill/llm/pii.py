@@ -213,8 +213,8 @@ def written(kind: Column, m: Column, sur: Column) -> Column:
 
 def _may_match(text: Column) -> Column:
     """A cheap necessary condition: every pattern holds a digit, an ``@``, an
-    ``=`` or ``:``, or a title. Spares most texts the full pattern."""
-    out = text.rlike("[0-9@=:]")
+    ``=`` or ``:``, ``AKIA``, or a title. Spares most texts the full pattern."""
+    out = text.rlike("[0-9@=:]") | F.contains(text, F.lit("AKIA"))
     for titles in TITLES.values():
         for t in titles:
             out = out | F.contains(text, F.lit(t))
