@@ -2,13 +2,20 @@
 
 Two tiers: a minimal perfect hash over the vocabulary resolves, for all
 pre-tokens of a slice at once, those that are vocabulary entries; the others
-are merged with a heap over a linked list of their bytes.
+are merged with a heap over a linked list of their bytes. Hashes only propose:
+a vocabulary entry, and a pre-token taken for a copy of another one, count only
+after their bytes have been compared.
+
+Long texts are encoded in pieces of about ``SLICE_BYTES``, cut where a
+pre-token is sure to begin, so the arrays of a task do not grow with a text
+(but for a single run without white space, which is one piece).
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
+import re
 from array import array
 
 import numpy as np
@@ -16,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import RollingHash, mix64, text_pass
+from .common import SLICE_BYTES, RollingHash, fresh, mix64, pieces, same_bytes, text_pass
 from .pretokens import STOP, classes, code_points, spaced_starts, utf8_lengths
 
 HASH_SEED = 9
@@ -24,6 +31,10 @@ BUCKET_KEYS = 4
 # Merged pre-tokens that a task remembers (about 200 bytes each).
 MEMO = 300_000
 _STEP = np.uint64(0xD6E8FEB86659FD93)
+# White space after a visible ASCII character always begins a pre-token.
+BORDER = re.compile(rb"[!-~](?=[ \t\n\r])")
+# Ids decoded at a time.
+DECODE_IDS = 1 << 18
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -147,11 +158,38 @@ class Encoder:
         self.table = table
         self.ranks = {t: i for i, t in enumerate(tokens)}
         self.roll = RollingHash(HASH_SEED)
+        self.lens = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        self.at = np.cumsum(self.lens) - self.lens
+        self.blob = np.frombuffer(b"".join(tokens), np.uint8)
         self.two = byte_pairs(self.ranks)
         self.memo: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed little-endian unsigned 32-bit ids of each text."""
+        if max(map(len, texts), default=0) <= 2 * SLICE_BYTES:
+            return self._encode(texts)
+        return [b"".join(self._encode([p])[0] for p in pieces(t, SLICE_BYTES, BORDER)) for t in texts]
+
+    def _known(self, buf: np.ndarray, a: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Vocabulary ids of byte ranges, or -1; the bytes are compared."""
+        ids = self.table.lookup(key)
+        ids[self.lens[ids] != n] = -1
+        hit = np.flatnonzero(ids >= 0)
+        at = ids[hit]
+        ids[hit[~same_bytes(buf, a[hit], self.blob, self.at[at], n[hit])]] = -1
+        return ids
+
+    def _merged(self, piece: bytes) -> bytes:
+        got = self.memo.get(piece)
+        if got is None:
+            got = array("I", merge_bytes(piece, self.ranks, self.two)).tobytes()
+            if len(self.memo) >= MEMO:
+                self.memo.clear()
+            if len(piece) <= 64:
+                self.memo[piece] = got
+        return got
+
+    def _encode(self, texts: list[bytes]) -> list[bytes]:
         strs = []
         for k, t in enumerate(texts):
             try:
@@ -170,22 +208,20 @@ class Encoder:
         raw = b"\n".join(texts) + b"\n"
         buf = np.frombuffer(raw, np.uint8)
         key = self.roll.ranges(self.roll.prefix(buf), a, b)
-        ids = self.table.lookup(key)
+        ids = self._known(buf, a, b - a, key)
         miss = np.flatnonzero(ids < 0)
         size = np.ones(len(ids), np.int64)
         if len(miss):
+            ma, mn = a[miss], (b - a)[miss]
             uniq, first, inv = np.unique(key[miss], return_index=True, return_inverse=True)
-            memo, merged = self.memo, []
-            for x, y in zip(a[miss[first]].tolist(), b[miss[first]].tolist()):
-                piece = raw[x:y]
-                got = memo.get(piece)
-                if got is None:
-                    got = array("I", merge_bytes(piece, self.ranks, self.two)).tobytes()
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    if y - x <= 64:
-                        memo[piece] = got
-                merged.append(got)
+            merged = [self._merged(raw[x:x + n]) for x, n in zip(ma[first].tolist(), mn[first].tolist())]
+            like = first[inv]                 # the one that stands for each
+            odd = mn != mn[like]
+            fit = np.flatnonzero(~odd)
+            odd[fit] = ~same_bytes(buf, ma[fit], buf, ma[like[fit]], mn[fit])
+            for k in np.flatnonzero(odd).tolist():    # equal hash, other bytes
+                inv[k] = len(merged)
+                merged.append(self._merged(raw[ma[k]:ma[k] + mn[k]]))
             lens = np.fromiter(map(len, merged), np.int64, len(merged)) // 4
             flat = np.frombuffer(b"".join(merged), "<u4")
             off = np.cumsum(lens) - lens
@@ -218,7 +254,9 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
     """``keep`` columns and ``ids_col``: the ids packed as little-endian
     unsigned 32-bit integers, as the rank file's own library gives them
     without special tokens. A null or empty text has no ids (empty bytes);
-    there is no truncation. One pass beside the rows, no shuffle."""
+    there is no truncation. Repeated rows and ids each give a row; an empty
+    table gives none; other kept columns pass through, those named like
+    ``ids_col`` (in any letter case) go. One pass beside the rows, no shuffle."""
     shared = _shared(df.sparkSession, path)
 
     def make():
@@ -229,7 +267,11 @@ def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids
 
 def _decoder(tokens: list[bytes]):
     get = tokens.__getitem__
-    return lambda packed: [b"".join(map(get, np.frombuffer(p, "<u4").tolist())) for p in packed]
+
+    def one(p):
+        ids = np.frombuffer(p, "<u4")
+        return b"".join([b"".join(map(get, ids[i:i + DECODE_IDS].tolist())) for i in range(0, len(ids), DECODE_IDS)])
+    return lambda packed: [one(p) for p in packed]
 
 
 def encode_and_decode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
@@ -252,9 +294,11 @@ def encode_and_decode(df: DataFrame, path: str, text_col: str = "text", ids_col:
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded",
            keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default: all) and the decoded bytes. Null ids decode
-    to no bytes; an id outside the vocabulary fails."""
+    to no bytes; an id outside the vocabulary fails. Repeated rows each give a
+    row; an empty table gives none; a kept column named like ``out_col`` goes."""
     shared = df.sparkSession.sparkContext.broadcast(read_ranks(path))
-    copy = "_packed" if "_packed" not in df.columns else "_packed_ids"
+    copy = fresh(df, "_packed")
+    keep = df.columns if keep is None else keep
 
     def make():
         dec = _decoder(shared.value)

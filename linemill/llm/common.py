@@ -3,6 +3,7 @@ text, byte-domain word and hash arrays, and the session's shared folder."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,9 +35,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def fresh(df: DataFrame, stem: str) -> str:
-    """A column name that ``df`` does not have yet."""
-    name = stem
-    while name in df.columns:
+    """A column name that ``df`` does not have yet, in any letter case."""
+    name, taken = stem, {c.lower() for c in df.columns}
+    while name.lower() in taken:
         name = "_" + name
     return name
 
@@ -103,6 +104,30 @@ def slices(col: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]
         lo = hi
 
 
+def pieces(text: bytes, limit: int, border: re.Pattern) -> Iterator[bytes]:
+    """The text in order, cut behind the first match of ``border`` at least
+    ``limit`` bytes on; a stretch without such a place stays whole."""
+    lo, n = 0, len(text)
+    while n - lo > limit:
+        m = border.search(text, lo + limit)
+        if m is None:
+            break
+        yield text[lo:m.end()]
+        lo = m.end()
+    if lo < n or not n:
+        yield text[lo:]
+
+
+def same_bytes(x: np.ndarray, a: np.ndarray, y: np.ndarray, b: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether ``x[a:a+n]`` equals ``y[b:b+n]``, for arrays of ranges (n > 0)."""
+    if not len(n):
+        return np.zeros(0, bool)
+    first = np.cumsum(n) - n
+    step = np.arange(first[-1] + n[-1])
+    differ = x[step + np.repeat(a - first, n)] != y[step + np.repeat(b - first, n)]
+    return ~np.logical_or.reduceat(differ, first)
+
+
 def odd_table(seed: int) -> np.ndarray:
     """256 random 64-bit values, one per byte."""
     return np.random.default_rng(seed).integers(0, 1 << 64, 256, dtype=np.uint64)

@@ -117,3 +117,49 @@ def test_codec_odd_texts(llm, library):
     got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist()
            for r in encode(df, P.path("byte_bpe_multi_50k.tiktoken"), keep=["doc_id"]).collect()}
     assert got == {i: library.encode_ordinary(t) for i, t in enumerate(ODD)}
+
+
+def thue_morse(n, swap=False):
+    return "".join("ab"[bin(i).count("1") % 2 ^ swap] for i in range(n))
+
+
+@pytest.fixture(scope="module")
+def codec(tokens):
+    from linemill.llm import bpe_codec as C
+    roll = C.RollingHash(C.HASH_SEED)
+    lens = np.array([len(t) for t in tokens])
+    end = np.cumsum(lens)
+    key = roll.ranges(roll.prefix(np.frombuffer(b"".join(tokens), np.uint8)), end - lens, end)
+    return C.Encoder(tokens, C.PerfectHash(key))
+
+
+def ids_of(codec, texts):
+    return [np.frombuffer(x, "<u4").tolist() for x in codec.encode([t.encode() for t in texts])]
+
+
+def test_pre_tokens_with_equal_hashes_keep_their_own_ids(codec, library):
+    """The rolling hash of a Thue-Morse string equals its complement's; in one
+    slice and in two, each text gets its own ids."""
+    texts = [thue_morse(n, s) for n in (256, 512, 1024, 2048, 4096) for s in (False, True)]
+    texts += [t + " " + u for t, u in zip(texts, reversed(texts))]
+    want = [library.encode_ordinary(t) for t in texts]
+    assert ids_of(codec, texts) == want
+    assert ids_of(codec, texts[::-1])[::-1] == want
+    assert [ids_of(codec, [t])[0] for t in texts] == want
+
+
+def test_vocabulary_hits_compare_bytes(codec, monkeypatch):
+    """With a hash that calls everything a vocabulary entry, ids stay right."""
+    texts = ["hello there world", "étude zzqq 123", "the the the"]
+    want = ids_of(codec, texts)
+    monkeypatch.setattr(codec.table, "lookup", lambda keys: np.full(len(keys), 262))
+    assert ids_of(codec, texts) == want
+
+
+def test_long_texts_in_pieces_equal_whole_ones(codec, texts, monkeypatch):
+    from linemill.llm import bpe_codec as C
+    long = ["".join(texts), " \n ".join(texts[:900]), "x" * 5000 + " y", "  a\r\n" * 3000, ""]
+    want = ids_of(codec, long)
+    for size in (50, 997):
+        monkeypatch.setattr(C, "SLICE_BYTES", size)
+        assert ids_of(codec, long) == want
