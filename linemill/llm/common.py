@@ -88,6 +88,40 @@ def text_pass(df: DataFrame, text_col: str, fields: list[T.StructField],
     return src.mapInArrow(run, schema)
 
 
+def fold_pass(df: DataFrame, text_col: str, schema: T.StructType | str, make: Callable[[], tuple],
+              keep: list[str] = ()) -> DataFrame:
+    """Fold the texts of each task into few rows, Arrow batches in and out.
+
+    ``make()`` is called once per task and returns ``feed(texts, *kept)``,
+    which may return rows (a list of columns) that leave the task at once, and
+    ``rest()``, which returns the columns of the last ones, or None.
+    """
+    src = df.select(*[F.col(f"`{c}`") for c in keep],
+                    F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b"")).alias(fresh(df, "_text")))
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+        arrow = to_arrow_schema(schema)
+        feed, rest = make()
+
+        def batch(cols):
+            return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(cols, arrow.types)],
+                                              names=arrow.names)
+        for b in batches:
+            col = b.column(b.num_columns - 1)
+            for lo, hi in slices(col):
+                cols = feed(col.slice(lo, hi - lo).to_pylist(),
+                            *[b.column(i).slice(lo, hi - lo).to_pylist() for i in range(b.num_columns - 1)])
+                if cols is not None:
+                    yield batch(cols)
+        cols = rest()
+        if cols is not None:
+            yield batch(cols)
+
+    return src.mapInArrow(run, schema)
+
+
 def slices(col: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of a binary column that hold about ``limit`` bytes each."""
     n = len(col)
