@@ -1,12 +1,13 @@
-"""Equi-joins of the corpus pipeline."""
+"""Joins of the corpus pipeline."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arrays import UNK_ID
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, stored
+from .bitmaps import bitmap, fresh, marked
 
 
 class AlignmentError(ValueError):
@@ -83,19 +84,56 @@ def line_offsets(lines: DataFrame, file_col: str = "doc_id") -> DataFrame:
                                 out_col="start").drop("_part")
 
 
+# Samples of one bucket of the interval lookup.
+SPAN = 1 << 16
+
+
+def locate(idx: DataFrame, offsets: DataFrame, file_col: str = "doc_id", span: int = SPAN) -> DataFrame:
+    """The rows of ``idx`` whose global index ``i`` lies in a file, with
+    ``file_col`` and ``line_no``.
+
+    An interval lookup of indices against the files' ranges: positions are
+    cut into buckets of ``span`` samples; a bucket gets its indices, the files
+    that start in it, and the file that reaches into it, and sorted by position
+    every index belongs to the file last seen. Linear in both sides; a bucket
+    holds at most ``span`` + 1 files, however long or short they are."""
+    at, kind, file = fresh(idx, "_at"), fresh(idx, "_kind"), fresh(idx, "_file")
+    bucket = fresh(idx, "_bucket")
+    files = offsets.filter("n_lines > 0").select(
+        F.struct(F.col(file_col).alias("f"), F.col("start").cast("long").alias("s"),
+                 (F.col("start") + F.col("n_lines")).cast("long").alias("e")).alias(file))
+    first, last = F.expr(f"`{file}`.s div {span}"), F.expr(f"(`{file}`.e - 1) div {span}")
+    files = files.select(file, F.explode(F.sequence(first, last)).alias(bucket)).withColumns({
+        at: F.greatest(F.col(f"{file}.s"), F.col(bucket) * span), kind: F.lit(0)})
+    asked = idx.withColumns({bucket: F.expr(f"cast(floor(i / {span}) as bigint)"), at: F.col("i").cast("long"),
+                             kind: F.lit(1)})
+    both = asked.unionByName(files, allowMissingColumns=True)
+    seen = F.last(file, ignorenulls=True).over(
+        Window.partitionBy(bucket).orderBy(at, kind).rowsBetween(Window.unboundedPreceding, 0))
+    found = both.withColumn(file, seen).filter((F.col(kind) == 1) & (F.col(at) < F.col(f"{file}.e")))
+    return found.select(*idx.columns, F.col(f"{file}.f").alias(file_col),
+                        (F.col(at) - F.col(f"{file}.s")).alias("line_no"))
+
+
 def sample_at(idx: DataFrame, lines: DataFrame, offsets: DataFrame, file_col: str = "doc_id",
-              first_size=None) -> DataFrame:
-    """Global sample index ``i`` -> (file, line).
+              first_size=None, columns: list[str] = ()) -> DataFrame:
+    """Global sample index ``i`` -> (file, line), and the named ``columns``
+    of that line.
 
     ``offsets(file, n_lines, start)`` gives each file's first global index.
-    Each line gets ``i = start + line_no`` (the offsets have one row per file
-    and join by the file key; a hot file is split by the skew join), then the
-    wanted indices are found by an equi-join on ``i`` (unique keys). The
-    reference's equal-size formula (``i // first_size``, ``i % first_size``)
-    is added for comparison when ``first_size`` is given."""
-    keyed = lines.join(offsets.select(file_col, "start"), file_col, "inner").select(
-        (F.col("start") + F.col("line_no")).alias("i"), file_col, "line_no")
-    out = idx.join(keyed, "i", "inner")
+    :func:`locate` finds the file and line of every index without the lines;
+    they are only read for ``columns``. A bitmap of the wanted (file, line)
+    keys, of fixed size, first lets all other lines go where they are read, so
+    that the join exchanges the wanted ones. The reference's equal-size formula
+    (``i // first_size``, ``i % first_size``) is added for comparison when
+    ``first_size`` is given."""
+    out = locate(idx, offsets, file_col)
+    if columns:
+        keys = [file_col, "line_no"]
+        out = stored(out, "sample-places")
+        flag = fresh(lines, "_wanted")
+        wanted = marked(lines, bitmap(out, *keys), flag, *[F.col(k) for k in keys]).filter(flag)
+        out = out.join(wanted.select(*keys, *columns), keys, "inner")
     if first_size is not None:
         fs = first_size if isinstance(first_size, F.Column) else F.lit(first_size)
         out = out.withColumn("ref_file", F.floor(F.col("i") / fs)).withColumn(

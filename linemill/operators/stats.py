@@ -43,16 +43,17 @@ def pretokens(lines: DataFrame, keys: list[str], line_col: str = "line") -> Data
                         ).withColumn("pos", F.col("pos").cast("long"))
 
 
-def pretoken_histogram(lines: DataFrame, line_col: str = "line",
-                       line_end: str | None = None) -> DataFrame:
-    """A3: count of every distinct pre-token over the corpus.
+def pretoken_histogram(lines: DataFrame, line_col: str = "line", line_end: str | None = None,
+                       by: list[str] = ()) -> DataFrame:
+    """A3: count of every distinct pre-token over the corpus, or over each
+    corpus named by the columns ``by``.
 
     ``line_end="\n"`` pre-tokenizes every line with its line break, as a
     trainer reading files line by line with their endings sees them (the
     break then forms its own white-space pre-token)."""
     text = F.col(line_col) if line_end is None else F.concat(F.col(line_col), F.lit(line_end))
-    return (lines.select(F.explode(pretokenize(text)).alias("pretoken"))
-            .groupBy("pretoken").agg(F.count(F.lit(1)).alias("n")))
+    return (lines.select(*by, F.explode(pretokenize(text)).alias("pretoken"))
+            .groupBy(*by, "pretoken").agg(F.count(F.lit(1)).alias("n")))
 
 
 def plan_steps(examples: DataFrame, batch_size: int, epochs: int, extra: int = 500,

@@ -390,21 +390,25 @@ def q_concat_ordered(spark, sf):
         "pair", "doc_no", "line_no", "part_no", "line_no_all")
 
 
-SPLIT_QUOTA_SQL = O.with_(O.BITEXT) + f""",
+def _split_quota_sql(dev, test):
+    return O.with_(O.BITEXT) + f""",
 q as (select *, coalesce({QUALITY_SQL}, false) ok, {_h(42, 'pair', 'doc_no', 'line_no')} h
       from bitext),
 r as (select *, row_number() over (partition by pair, ok order by h, pair, doc_no, line_no) rn
       from q),
 sq as (select pair, doc_no, line_no, source,
-  case when not ok then 'train' when rn <= 200 then 'dev' when rn <= 400 then 'test'
+  case when not ok then 'train' when rn <= {dev} then 'dev' when rn <= {dev + test} then 'test'
        else 'train' end split from r)
 """
 
 
-def _split_quota(spark, sf):
+SPLIT_QUOTA_SQL = _split_quota_sql(200, 200)
+
+
+def _split_quota(spark, sf, dev=200, test=200):
     from ..operators.splits import split_quota
     b = _bitext(spark, sf).select(*BITEXT_KEYS, "source", "src", "tgt")
-    return split_quota(b, BITEXT_KEYS, dev=200, test=200, quality=_quality(), seed=42).select(
+    return split_quota(b, BITEXT_KEYS, dev=dev, test=test, quality=_quality(), seed=42).select(
         *BITEXT_KEYS, "source", "split")
 
 
@@ -413,6 +417,12 @@ def q_split_quota(spark, sf):
     return _split_quota(spark, sf)
 
 
+@register("split_quota_full", _split_quota_sql(2500, 2500) + "select * from sq")
+def q_split_quota_full(spark, sf):
+    """Q1 with 2,500 lines of each held-out split."""
+    return _split_quota(spark, sf, 2500, 2500)
+
+
 @register("hold_out", SPLIT_QUOTA_SQL + """
 select pair, doc_no, line_no, source,
        case when source = 'src0' then 'newstest2018' else split end split from sq""")
@@ -645,6 +655,37 @@ def q_bpe_encode(spark, sf):
                       .alias("ids"))
 
 
+@register("bpe_by_language", O.with_recursive(O.LINES, O.BYTES, O.bpe_each(BPE_MERGES, "lang")) + """
+select g lang, rank, l left_id, r right_id, cast(261 + rank as integer) new_id from merged""")
+def q_bpe_by_language(spark, sf):
+    """A4 over U1's grouping by language: all vocabularies in one job."""
+    from ..operators.bpe import bpe_train_each
+    hist = stats.pretoken_histogram(T.lines(spark, sf), line_end="\n", by=["lang"])
+    rows = [(g, r, a, b, n) for g, m in bpe_train_each(hist, "lang", vocab_size=BPE_VOCAB).items()
+            for r, (a, b, n) in enumerate(m.merges)]
+    return spark.createDataFrame(rows, "lang string, rank int, left_id int, right_id int, new_id int")
+
+
+# The sizes of a production run.
+FULL_VOCAB, FULL_LEN = 32_000, 512
+
+
+@register("bpe_train_full")
+def q_bpe_train_full(spark, sf):
+    """A4 up to 32,000 pieces (fewer where the corpus has no more pairs)."""
+    return bpe_model(spark, sf, FULL_VOCAB).merges_df(spark)
+
+
+@register("mlm_examples_full")
+def q_mlm_examples_full(spark, sf):
+    """F10 with a vocabulary of 32,000 pieces and examples of 512 ids."""
+    from ..operators.bpe import bpe_encode
+    from ..operators.mlm import mlm_examples
+    ln = T.lines(spark, sf).select("doc_id", "line_no", "line")
+    enc = bpe_encode(ln, "line", bpe_model(spark, sf, FULL_VOCAB))
+    return mlm_examples(enc, "ids", ["doc_id", "line_no"], max_length=FULL_LEN, epoch=0, seed=42, p=0.15)
+
+
 MLM_LEN = 64
 
 
@@ -666,6 +707,25 @@ def q_mlm_examples(spark, sf):
                                 epoch=0, seed=42, p=0.15))
 
 
+@register("epoch_batches", O.with_recursive(O.LINES, O.BYTES, O.bpe(BPE_MERGES), O.bpe_ids(BPE_MERGES)) + f""",
+fr as (select doc_id, line_no, list_resize(list_concat([0], list_slice(ids, 1, {MLM_LEN - 2}), [2]), {MLM_LEN}, 1) labels
+       from enc),
+ord as (select e.epoch, doc_id, line_no, row_number() over (partition by e.epoch
+          order by {_h(42, 'e.epoch', 'doc_id', 'line_no')}, doc_id, line_no) - 1 r
+        from lines, (select unnest([0, 1]) epoch) e)
+select ord.epoch, cast(floor(r / 32) as bigint) batch_id, cast(r % 32 as integer) slot, doc_id, line_no,
+       array_to_string(list_transform(labels, lambda x, i: case when x not in (0, 1, 2) and
+         substr(md5(concat('42:', ord.epoch, ':', doc_id, ':', line_no, ':', i - 1)), 1, 8) < '26666666'
+         then 4 else x end), ' ') input_ids
+from ord join fr using (doc_id, line_no)""")
+def q_epoch_batches(spark, sf):
+    """Two epochs of batches: a new order and new masks in each."""
+    from ..operators.mlm import as_text
+    from .training import epoch_batches
+    out = epoch_batches(T.lines(spark, sf), bpe_model(spark, sf), MLM_LEN, epochs=2, batch_size=32, seed=42, p=0.15)
+    return as_text(out, ["input_ids"]).select("epoch", "batch_id", "slot", "doc_id", "line_no", "input_ids")
+
+
 # ---------------------------------------------------------------- sources and sinks
 @register("read_segments", O.with_(O.LINES) + """
 select doc_id, cast(line_no + 1 as integer) seg_no,
@@ -699,6 +759,31 @@ def q_discover_corpus(spark, sf):
                       F.regexp_extract("name", r"(\.[^.]*)$", 1).alias("suffix"), "size")
 
 
+@register("discover_corpus_files", f"""
+with f as (select doc_id, {CORPUS_NAME_SQL} name, lang, octet_length(encode(coalesce(text, ''))) size from documents)
+select doc_id, name,
+  nullif(regexp_extract(name, '^(en-..)\\.([^.]+)\\.(..)(\\.sp)?$', 1), '') pair,
+  nullif(regexp_extract(name, '^(en-..)\\.([^.]+)\\.(..)(\\.sp)?$', 2), '') split,
+  nullif(regexp_extract(name, '^(en-..)\\.([^.]+)\\.(..)(\\.sp)?$', 3), '') lang,
+  regexp_extract(name, '(\\.[^.]*)$', 1) suffix, size
+from f where lang <> 'en' and regexp_extract(name, '(\\.[^.]*)$', 1) in ('.de', '.fr', '.sp')
+  and not name glob '*.src1.*'""")
+def q_discover_corpus_files(spark, sf):
+    """S2 on files: every document is written as a file of a corpus tree, and
+    the tree is listed with a glob over its folders."""
+    from ..session import scratch_path
+    from ..sources.lines import discover_corpus
+    from ..sources.sinks import write_files
+    root = scratch_path(spark, "tree")
+    folder = F.when(F.col("lang") == "en", F.lit("mono")).otherwise(F.concat(F.lit("en-"), "lang"))
+    docs = T.documents(spark, sf).select(
+        F.concat_ws("/", F.concat(F.lit("doc"), "doc_id"), folder, F.expr(CORPUS_NAME_SQL)).alias("name"), "text")
+    write_files(docs, root, "name", "text")
+    found = discover_corpus(spark, root, "en-??/*", ["*.src1.*"], suffixes=[".de", ".fr", ".sp"])
+    return found.select(F.regexp_extract("path", r"/doc(\d+)/", 1).cast("long").alias("doc_id"), "name", "pair",
+                        "split", "lang", "suffix", "size")
+
+
 FILES_SQL = """files as (
   select concat('lang=', lang, '/source=', source) file, lang, source, line,
          cast(row_number() over (partition by lang, source order by doc_id, line_no) - 1 as bigint) line_no
@@ -739,16 +824,16 @@ def q_sort_shard_files(spark, sf):
 
 
 @register("sample_at_files", O.with_(O.LINES, FILES_SQL, SHARDS_SQL) + """
-select start + line_no i, file, line_no from files join shards using (file)
+select start + line_no i, file, line_no, line from files join shards using (file)
 where (start + line_no) % 7 = 0""")
 def q_sample_at_files(spark, sf):
-    """J4 over files: every seventh sample of the global order."""
+    """J4 over files: every seventh sample of the global order, with its text."""
     from ..operators.joins import line_offsets, sample_at
     files = _line_files(spark, sf)
     offs = line_offsets(files, "file")
     n = offs.agg(F.sum("n_lines")).first()[0] or 0
     idx = spark.range(0, int(n), 7).withColumnRenamed("id", "i")
-    return sample_at(idx, files, offs, "file").select("i", "file", "line_no")
+    return sample_at(idx, files, offs, "file", columns=["line"]).select("i", "file", "line_no", "line")
 
 
 @register("write_vocab", O.with_(O.LINES, FREQ_VOCAB_SQL) + """
@@ -762,6 +847,26 @@ def q_write_vocab(spark, sf):
     return load_vocab(spark, path, "unigram")
 
 
+@register("load_bpe_model", BPE_SQL + """
+select rank, voc[l + 1] "left", voc[r + 1] "right", cast(l as integer) left_id, cast(r as integer) right_id,
+       cast(261 + rank as integer) id
+from merged, voc""")
+def q_load_bpe_model(spark, sf):
+    """K2 and S5 on a learnt model: vocabulary and merges files are written
+    and read back, and every merge finds the ids of its parts and its result."""
+    from ..session import scratch_path
+    from ..sources.vocab import load_vocab, write_vocab
+    model, path = bpe_model(spark, sf), scratch_path(spark, "bpe-model")
+    write_vocab(model.vocab_df(spark), path, "bpe", model.merges_df(spark))
+    vocab, merges = load_vocab(spark, path, "bpe")
+
+    def ids(col, out):
+        return vocab.select(F.col("piece").alias(col), F.col("id").alias(out))
+    out = merges.join(ids("left", "left_id"), "left").join(ids("right", "right_id"), "right")
+    out = out.withColumn("both", F.concat("left", "right")).join(ids("both", "id"), "both")
+    return out.select("rank", "left", "right", "left_id", "right_id", "id")
+
+
 @register("load_vocab", O.with_(O.LINES, FREQ_VOCAB_SQL) + "select piece, id from fvocab")
 def q_load_vocab(spark, sf):
     from ..session import scratch_path
@@ -860,6 +965,46 @@ def q_unigram_train(spark, sf):
     return unigram_model(spark, sf).vocab_df(spark)
 
 
+@register("unigram_train_full")
+def q_unigram_train_full(spark, sf):
+    """A5 with 32,000 pieces (fewer where the corpus cannot give so many)."""
+    from ..operators.unigram import unigram_train
+    return unigram_train(T.lines(spark, sf), FULL_VOCAB, hard_vocab_limit=False).vocab_df(spark)
+
+
+@register("vocabularies_by_language")
+def q_vocabularies_by_language(spark, sf):
+    """A5 over U1's grouping by language: all vocabularies in one job."""
+    from ..operators.unigram import unigram_train_each
+    models = unigram_train_each(T.lines(spark, sf), "lang", UNIGRAM_VOCAB, hard_vocab_limit=False)
+    out = None
+    for lang, m in sorted(models.items()):
+        part = m.vocab_df(spark).select(F.lit(lang).alias("lang"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("unigram_encode_trained")
+def q_unigram_encode_trained(spark, sf):
+    """F3 with the vocabulary that A5 learns on the same lines."""
+    from ..functions.text import join_pieces
+    from ..operators.unigram import unigram_encode
+    ln = T.lines(spark, sf).select("doc_id", "line_no", "line")
+    out = unigram_encode(ln, "line", unigram_model(spark, sf).vocab_df(spark))
+    return out.select("doc_id", "line_no", join_pieces("pieces").alias("pieces"))
+
+
+@register("encode_monolingual")
+def q_encode_monolingual(spark, sf):
+    """Every language's lines with their own language's vocabulary, all of
+    them learnt in one job."""
+    from ..operators.unigram import unigram_train_each
+    from .prep import encode_monolingual
+    ln = T.lines(spark, sf)
+    models = unigram_train_each(ln, "lang", UNIGRAM_VOCAB, hard_vocab_limit=False)
+    return encode_monolingual(ln, models).select("lang", "doc_id", "line_no", "line_sp")
+
+
 FREQUENCY_PIECES = 2000
 
 FREQUENCY_PIECES_SQL = UNIGRAM_WORDS_SQL + f""",
@@ -939,6 +1084,67 @@ def q_stream_tag_language(spark, sf):
     return spark.read.parquet(out_path)
 
 
+def _in_two_runs(spark, src, out, schema, stream):
+    """Half of the rows arrive, a stream takes them and stops; the other half
+    arrives, and a stream started anew from the same checkpoint goes on."""
+    from ..session import scratch_path
+    from ..streaming.live import read_table_stream, write_parquet_stream
+    place, checkpoint = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-checkpoint")
+    for half in (0, 1):
+        src.filter(F.pmod(F.col("doc_id"), F.lit(2)) == half).write.mode("append").parquet(place)
+        q = write_parquet_stream(stream(read_table_stream(spark, place, schema)), out, checkpoint)
+        q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_mlm_examples", ORACLE["mlm_examples"])
+def q_stream_mlm_examples(spark, sf):
+    """F1, F2, F5 to F8 and F10 on a stream of lines, restarted half-way."""
+    from ..operators.bpe import bpe_encode
+    from ..operators.mlm import as_text, mlm_examples
+    from ..session import scratch_path
+    model = bpe_model(spark, sf)
+    ln = T.lines(spark, sf).select("doc_id", "line_no", "line")
+    return _in_two_runs(spark, ln, scratch_path(spark, "stream-out"), "doc_id long, line_no long, line string",
+                        lambda s: as_text(mlm_examples(bpe_encode(s, "line", model), "ids", ["doc_id", "line_no"],
+                                                       max_length=MLM_LEN, epoch=0, seed=42, p=0.15)))
+
+
+@register("stream_lookup_ids", ORACLE["lookup_ids"])
+def q_stream_lookup_ids(spark, sf):
+    """J3 as a stream-static join: pre-tokens of a stream of lines meet the
+    vocabulary table; the stream is restarted half-way."""
+    from ..functions.text import pretokenize
+    from ..operators.joins import lookup_ids
+    from ..session import scratch_path
+    vocab = _freq_vocab(spark, sf)
+    ln = T.lines(spark, sf).select("doc_id", "line_no", "line")
+    out = _in_two_runs(
+        spark, ln, scratch_path(spark, "stream-out"), "doc_id long, line_no long, line string",
+        lambda s: lookup_ids(s.select("doc_id", "line_no", pretokenize("line").alias("p")), "p", vocab,
+                             key_cols=["doc_id", "line_no"]))
+    return out.select("doc_id", "line_no", F.col("_pos").cast("long").alias("pos"), "id")
+
+
+@register("stream_numbered_lines", O.with_(O.LINES) + """,
+ends as (select doc_id, max(line_no) last from lines group by doc_id)
+select cast(doc_id as varchar) file, line_no, line from lines join ends using (doc_id)
+where not (line_no = last and line = '')""")
+def q_stream_numbered_lines(spark, sf):
+    """S1 on a stream: the documents arrive as text files in two halves; every
+    file's lines are numbered in the micro-batch that brings it."""
+    from ..session import scratch_path
+    from ..sources.sinks import write_files
+    from ..streaming.live import numbered_lines_stream
+    place, out = scratch_path(spark, "files-in"), scratch_path(spark, "numbered")
+    checkpoint = scratch_path(spark, "stream-checkpoint")
+    docs = T.documents(spark, sf).select(F.concat(F.lit("f"), "doc_id", F.lit(".txt")).alias("name"), "text", "doc_id")
+    for half in (0, 1):
+        write_files(docs.filter(F.pmod(F.col("doc_id"), F.lit(2)) == half), place, "name", "text")
+        numbered_lines_stream(spark, place, out, checkpoint, newline="lf", max_files_per_trigger=10_000).awaitTermination()
+    return spark.read.parquet(out).select(F.regexp_extract("path", r"/f([^/]*)\.txt$", 1).alias("file"), "line_no", "line")
+
+
 # ---------------------------------------------------------------- S3 (archives)
 DOCS_PER_ARCHIVE = 64
 

@@ -7,6 +7,9 @@ running its oracle SQL on the same parquet files.
 
 from __future__ import annotations
 
+from ..functions.arrays import SPECIAL_TOKENS
+from ..operators.bpe import PRINTABLE_BYTE_RANGES
+
 LINES = """lines as (
   select doc_id, lang, source, cast(u.i - 1 as bigint) line_no, u.line line
   from documents, unnest(string_split(text, chr(10))) with ordinality u(line, i))"""
@@ -73,12 +76,14 @@ def with_(*ctes: str) -> str:
 
 
 # ---------------------------------------------------------------- learnt vocabularies
+_SPECIALS = ", ".join(f"'{p}'" for p in SPECIAL_TOKENS)
+_PRINTABLE = " or ".join(f"(b between {lo} and {hi})" for lo, hi in PRINTABLE_BYTE_RANGES)
 # Byte values to symbol ids and to their characters, in id order.
-BYTES = """bmap as (
+BYTES = f"""bmap as (
   select b, printf('%02X', b) hx, p, case when p then chr(cast(b as integer)) else
            chr(cast(255 + row_number() over (partition by p order by b) as integer)) end ch,
          cast(row_number() over (order by case when p then b else 256 + b end) + 4 as integer) id
-  from (select b, (b between 33 and 126) or (b between 161 and 172) or (b between 174 and 255) p
+  from (select b, {_PRINTABLE} p
         from range(256) r(b)) z)"""
 
 
@@ -112,12 +117,37 @@ merged as (
   select cast(step - 1 as integer) rank, any_value(p) p, cast(ascii(substr(any_value(p), 1, 1)) - 32 as integer) l,
          cast(ascii(substr(any_value(p), 2, 1)) - 32 as integer) r from learn where step > 0 group by step),
 grow(step, voc) as (
-  select 0, list_concat(['<s>', '<pad>', '</s>', '<unk>', '<mask>'], (select list(ch order by id) from bmap))
+  select 0, list_concat([{_SPECIALS}], (select list(ch order by id) from bmap))
   union all
   select step + 1, list_append(voc, concat(voc[l + 1], voc[r + 1])) from grow join merged on rank = step),
 voc as (select voc from grow order by step desc limit 1)"""
 
 
+def bpe_each(merges: int, by: str) -> str:
+    """``merged(g, rank, l, r)``: as :func:`bpe`, for each value of the column
+    ``by`` of ``lines``."""
+    return f"""hist0 as (
+  select g, t, count(*) n
+  from (select {by} g, unnest({pretokens_expr("concat(line, chr(10))")}) t from lines where {by} is not null) z group by g, t),
+kinds0 as (select t, 1 n from hist0 group by t),
+{symbols("ksyms0", "kinds0")},
+syms as (select h.g g, k.w w, h.n n from hist0 h join ksyms0 k on k.t = h.t),
+learn(step, g, w, n, p) as (
+  select 0, g, w, n, cast(null as varchar) from syms
+  union all
+  select b.step + 1, b.g, replace(b.w, best.p, chr(cast(32 + 261 + b.step as integer))), b.n, best.p
+  from learn b join (
+    select g, p from (
+      select g, p, row_number() over (partition by g order by c desc, p) k from (
+        select g, p, sum(n) c from (select g, substr(w, i, 2) p, n
+                                    from (select g, w, n, unnest(range(1, length(w))) i from learn) y) z
+        group by g, p having sum(n) >= 2) x) v where k = 1) best on best.g = b.g
+  where b.step < {merges}),
+merged as (
+  select g, cast(step - 1 as integer) rank, cast(ascii(substr(any_value(p), 1, 1)) - 32 as integer) l,
+         cast(ascii(substr(any_value(p), 2, 1)) - 32 as integer) r from learn where step > 0 group by g, step)"""
+
+
 def bpe_ids(merges: int) -> str:
     """``enc(doc_id, line_no, ids)``: every line's ids under ``merged``."""
     return f"""toks as (

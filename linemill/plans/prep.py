@@ -15,7 +15,7 @@ from ..operators.clean import tag_language
 from ..operators.order import aligned_shuffle
 from ..operators.splits import append_to_split, concat_corpora, concat_ordered, hold_out, split_quota
 from ..operators.stats import count_blank_lines
-from ..operators.unigram import UnigramModel, unigram_encode, unigram_train
+from ..operators.unigram import UnigramModel, unigram_encode, unigram_train_each
 from ..sources.archives import read_segments
 
 KEYS = ["pair", "doc_no", "line_no"]
@@ -81,22 +81,16 @@ def corpus_lines(bitext: DataFrame, grouping: str) -> DataFrame:
 def learn_vocabularies(bitext: DataFrame, grouping: str, vocab_size: int = 32000,
                        **train_args) -> dict[str, UnigramModel]:
     """U1 -> A5 for every corpus of a grouping (one model per pair, one
-    multilingual model, or one per language). The corpora are few and
-    named by the data (pairs, languages), so they are trained one after the
-    other, each as its own distributed job."""
-    lines = corpus_lines(bitext, grouping)
-    names = sorted(r.corpus for r in lines.select("corpus").distinct().collect())
-    return {c: unigram_train(lines.filter(F.col("corpus") == c), vocab_size=vocab_size,
-                             **train_args) for c in names}
-
-
-def encode_sides(bitext: DataFrame, model: UnigramModel) -> DataFrame:
-    """F3 -> F4 on both sides with one model: ``src_sp`` and ``tgt_sp`` piece
-    strings."""
+    multilingual model, or one per language), all in one job."""
+    return unigram_train_each(corpus_lines(bitext, grouping), "corpus", vocab_size, **train_args)
+
+
+def encode_sides(bitext: DataFrame, model: UnigramModel, tgt_model: UnigramModel | None = None) -> DataFrame:
+    """F3 -> F4 on both sides, with one model or one for each: ``src_sp`` and
+    ``tgt_sp`` piece strings."""
     spark = bitext.sparkSession
-    vocab = model.vocab_df(spark)
-    e = unigram_encode(bitext, "src", vocab, "_sp_src")
-    e = unigram_encode(e, "tgt", vocab, "_sp_tgt")
+    e = unigram_encode(bitext, "src", model.vocab_df(spark), "_sp_src")
+    e = unigram_encode(e, "tgt", (tgt_model or model).vocab_df(spark), "_sp_tgt")
     return e.withColumn("src_sp", X.join_pieces("_sp_src")).withColumn(
         "tgt_sp", X.join_pieces("_sp_tgt")).drop("_sp_src", "_sp_tgt")
 

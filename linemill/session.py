@@ -59,6 +59,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df, name: str):
+    """``df`` written to the shared folder and read back: cuts the lineage so
+    that a lost executor repeats nothing of what came before."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df, partitions: int | None = None):
     """Hash-spread a table that later CPU-bound passes read many times (the
     word tables of the vocabulary trainers) over at least two partitions per

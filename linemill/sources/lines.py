@@ -27,6 +27,25 @@ def _text_reader(spark: SparkSession, newline: str):
     return r
 
 
+def numbered(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The file splits' table, and the rows with their line numbers. ``raw`` has
+    columns unit, path, _blk, _size, _mid and line."""
+    blocks = raw.groupBy("unit", "path", "_blk").agg(
+        F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n"))
+    # Part files continue each other by number, not by name: part-100000 comes
+    # after part-99999. Blocks of one unit: file size / split size rows.
+    number = F.regexp_extract("path", r"/part-([0-9]+)[^/]*$", 1)
+    w = Window.partitionBy("unit").orderBy(F.when(number != "", number.cast("long")), "path", "_blk").rowsBetween(
+        Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    # One row per file split: the planner broadcasts the table while it is
+    # small, so the text itself is not shuffled for its numbering.
+    out = raw.join(blocks.select("path", "_blk", "_m0", "_off"), ["path", "_blk"], "inner")
+    out = out.select("unit", "path", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("line_no"),
+                     "line", "_size")
+    return blocks, out
+
+
 def read_lines(spark: SparkSession, paths, newline: str = "universal",
                trailing_empty: bool = False, unit: str = "file",
                recursive: bool = False, path_glob: str | None = None) -> DataFrame:
@@ -55,19 +74,7 @@ def read_lines(spark: SparkSession, paths, newline: str = "universal",
         F.col("value").alias("line"))
     unit_col = F.regexp_extract("path", r"^(.*)/[^/]*$", 1) if unit == "dir" else F.col("path")
     raw = raw.withColumn("unit", unit_col)
-    blocks = raw.groupBy("unit", "path", "_blk").agg(
-        F.min("_mid").alias("_m0"), F.count(F.lit(1)).alias("_n"))
-    # Part files continue each other by number, not by name: part-100000 comes
-    # after part-99999. Blocks of one unit: file size / split size rows.
-    number = F.regexp_extract("path", r"/part-([0-9]+)[^/]*$", 1)
-    w = Window.partitionBy("unit").orderBy(F.when(number != "", number.cast("long")), "path", "_blk").rowsBetween(
-        Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    # One row per file split: the planner broadcasts the table while it is
-    # small, so the text itself is not shuffled for its numbering.
-    out = raw.join(blocks.select("path", "_blk", "_m0", "_off"), ["path", "_blk"], "inner")
-    out = out.select("unit", "path", (F.col("_off") + F.col("_mid") - F.col("_m0")).alias("line_no"),
-                     "line", "_size")
+    blocks, out = numbered(raw)
     if trailing_empty:
         ends = _file_ends(spark, paths, recursive, path_glob)
         out = out.join(ends.filter("_bom").select("path", "_bom"), "path", "left").withColumn(

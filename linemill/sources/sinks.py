@@ -1,7 +1,11 @@
-"""Sinks: line files (K1), the LCA log (K4) and the metrics log (K5)."""
+"""Sinks: line files (K1), single files, the LCA log (K4) and the metrics log (K5)."""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +24,37 @@ def write_lines(df: DataFrame, path: str, file_cols: list[str], order_cols: list
     # Without a number the exchange is sized by the data (adaptive coalescing).
     laid = (df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
             ).sortWithinPartitions(*keys)
-    laid.select(*file_cols, line_col).write.mode("overwrite").partitionBy(*file_cols).text(path)
     if parquet_twin:
         laid.write.mode("overwrite").partitionBy(*file_cols).parquet(path + ".parquet")
+        # The text follows the twin, so the input is evaluated once.
+        back = df.sparkSession.read.schema(df.schema).parquet(path + ".parquet")
+        laid = (back.repartitionByRange(partitions, *keys) if partitions else back.repartitionByRange(*keys)
+                ).sortWithinPartitions(*keys)
+    laid.select(*file_cols, line_col).write.mode("overwrite").partitionBy(*file_cols).text(path)
+
+
+def write_files(df: DataFrame, path: str, name_col: str, text_col: str) -> int:
+    """One UTF-8 file ``path/<name>`` for each row, its text as it is (null:
+    empty); names may have folders. Written by the tasks through the file
+    system of ``path``; a second attempt replaces the first one's file whole.
+    Returns the number of files."""
+    from .archives import _fs_uri
+    target = _fs_uri(df.sparkSession, path.rstrip("/"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pyarrow.fs as pafs
+        fs, base = pafs.FileSystem.from_uri(target)
+        for pdf in batches:
+            for name, text in zip(pdf[name_col], pdf[text_col]):
+                folder, _, file = f"{base}/{name}".rpartition("/")
+                fs.create_dir(folder, recursive=True)
+                part = f"{folder}/.{file}.{uuid.uuid4().hex}"
+                with fs.open_output_stream(part) as out:
+                    out.write((text or "").encode())
+                fs.move(part, f"{folder}/{file}")
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    return df.select(name_col, text_col).mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
 def write_lca_log(log: DataFrame, path: str, nested: bool = False) -> None:

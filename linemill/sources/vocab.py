@@ -6,6 +6,7 @@ single-part text files in the formats other tools read (``vocab.json``,
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,58 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
+# ---------------------------------------------------------------- versions
+# A published path holds a folder for each version and numbered manifests, each
+# naming one folder. A reader takes the folder of the last manifest, so it sees
+# one version whole; a build that fails has published nothing.
+_MANIFEST = "manifest-"
+
+
+def _folder(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _manifests(spark: SparkSession, path: str) -> list[str]:
+    _, p, fs = _folder(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(n for n in names if n.startswith(_MANIFEST))
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the version last published at ``path``, if any."""
+    path = path.rstrip("/")
+    names = _manifests(spark, path)
+    if not names:
+        return None
+    folder = spark.read.format("binaryFile").load(f"{path}/{names[-1]}").first()
+    return f"{path}/{bytes(folder['content']).decode().strip()}"
+
+
+def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Let ``write(folder)`` fill a new folder under ``path``, then publish it
+    by renaming a finished manifest; until then, and for good if ``write``
+    fails, readers keep the version they have. Returns the folder. Versions are
+    numbered, so of two writers the later one's is current."""
+    path = path.rstrip("/")
+    name = f"v-{uuid.uuid4().hex}"
+    write(f"{path}/{name}")
+    jvm, _, fs = _folder(spark, path)
+    Path = jvm.org.apache.hadoop.fs.Path
+    draft = Path(f"{path}/.draft-{name}")
+    out = fs.create(draft)
+    out.write(bytearray(name.encode()))
+    out.close()
+    last = _manifests(spark, path)
+    n = int(last[-1][len(_MANIFEST):]) + 1 if last else 0
+    while fs.exists(Path(f"{path}/{_MANIFEST}{n:010d}")) or not fs.rename(draft, Path(f"{path}/{_MANIFEST}{n:010d}")):
+        n += 1
+    return f"{path}/{name}"
+
+
 def load_bpe_vocab(spark: SparkSession, path: str) -> DataFrame:
     """``vocab.json`` (one JSON object piece -> id) as ``(piece, id)``."""
     raw = spark.read.option("wholetext", "true").text(path)
@@ -107,9 +160,10 @@ def write_vocab(vocab: DataFrame, path: str, kind: str = "parquet", merges: Data
 
 def build_or_reuse(spark: SparkSession, path: str, builder: Callable[[], DataFrame],
                    overwrite: bool = False) -> DataFrame:
-    """K3: read the table at ``path`` if present (unless ``overwrite``);
-    otherwise build it, write it and read it back."""
-    if not overwrite and table_exists(spark, path):
-        return spark.read.parquet(path)
-    builder().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """K3: read the table published at ``path`` (or written there to its end)
+    unless ``overwrite``; otherwise build it, publish it and read it back. A
+    build that fails leaves the old table as it is."""
+    have = current_version(spark, path) or (path if table_exists(spark, path) else None)
+    if overwrite or have is None:
+        have = publish(spark, path, lambda folder: builder().write.parquet(folder))
+    return spark.read.parquet(have)

@@ -12,9 +12,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import scratch_path
+from ..sources.lines import numbered
 
 
 def read_text_stream(spark: SparkSession, path: str, newline: str = "universal",
@@ -50,6 +52,32 @@ def write_parquet_stream(df: DataFrame, path: str, checkpoint: str | None = None
     return w.start(path)
 
 
+def numbered_lines_stream(spark: SparkSession, path: str, out: str, checkpoint: str | None = None,
+                          newline: str = "universal", max_files_per_trigger: int | None = None,
+                          available_now: bool = True) -> StreamingQuery:
+    """S1 on a stream: every new text file under ``path`` as rows ``(path,
+    line_no, line)`` of the Parquet table ``out``.
+
+    The source brings a file whole, in one micro-batch, so its lines are
+    numbered there like those of a finished file. A batch has a folder of its
+    own, which a second attempt of it replaces: after a restart from the
+    checkpoint no line is missing or double."""
+    r = spark.readStream.format("text")
+    if newline == "lf":
+        r = r.option("lineSep", "\n")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    raw = r.load(path).selectExpr("_metadata.file_path as path", "_metadata.file_block_start as _blk",
+                                  "_metadata.file_size as _size", "value as line")
+
+    def number(batch: DataFrame, n: int) -> None:
+        rows = batch.withColumns({"unit": F.col("path"), "_mid": F.monotonically_increasing_id()}).persist()
+        numbered(rows)[1].select("path", "line_no", "line").write.mode("overwrite").parquet(f"{out}/batch={n}")
+        rows.unpersist()
+
+    return run_batches(raw, number, checkpoint, available_now)
+
+
 def run_batches(df: DataFrame, fn: Callable[[DataFrame, int], None],
                 checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
     """``foreachBatch``: apply a batch function (for example the numbered

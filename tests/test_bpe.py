@@ -1,8 +1,11 @@
 """Byte-level BPE against the public tokenizer library (test oracle only)."""
 
 import json
+import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from linemill.functions.arrays import SPECIAL_TOKENS
 from linemill.operators import bpe, stats
@@ -49,12 +52,12 @@ def test_toy_vocabulary_and_ids(spark):
             assert list(got[text].attention_mask) == masks[text]
 
 
-@pytest.mark.parametrize("vocab_size,batch_limit", [(300, 1), (420, 48), (420, 3)])
-def test_merges_equal_library(spark, vocab_size, batch_limit):
+@pytest.mark.parametrize("vocab_size,limits", [(1261, {}), (290, {"segments": 40, "live_pairs": 5}),
+                                               (600, {"share": 0.0})])
+def test_merges_equal_library(spark, vocab_size, limits):
     lines = T.lines(spark, SF_SMALL)
     texts = [r.line for r in lines.orderBy("doc_id", "line_no").collect()]
-    model = bpe.bpe_train(stats.pretoken_histogram(lines), vocab_size=vocab_size,
-                          batch_limit=batch_limit, checkpoint_every=4)
+    model = bpe.bpe_train(stats.pretoken_histogram(lines), vocab_size=vocab_size, **limits)
     tok, lib_vocab, lib_merges = _lib(texts, vocab_size)
     assert model.merge_strings() == lib_merges
     assert {p: i for i, p in enumerate(model.vocab)} == lib_vocab
@@ -82,10 +85,101 @@ def test_symbol_characters_keep_the_order_of_ids():
     assert chars == sorted(chars) and [c.encode() for c in chars] == sorted(c.encode() for c in chars)
 
 
-def test_equal_symbol_merge_is_left_to_right(spark):
-    words = spark.createDataFrame([(_word(7, 7, 7, 8, 7, 7, 7, 7), 1)], "w string, n long")
-    assert bpe._apply_batch(words, [(7, 7, 99)]).first().w == _word(99, 7, 8, 99, 99)
-    assert bpe._apply_batch(words, [(7, 8, 50)]).first().w == _word(7, 7, 50, 7, 7, 7, 7)
+def test_equal_symbol_merge_is_left_to_right():
+    words = [("aaaaa", 3), ("aab", 2)]
+    segments = [(_word(*(bpe.BYTE_IDS[ord(c)] for c in w)), n) for w, n in words]
+    model = bpe.BpeModel(bpe.base_vocab())
+    into = bpe.merge_segments(segments, 3, model, 263)
+    assert model.merge_strings() == [("a", "a"), ("aa", "a")]
+    b = bpe.BYTE_IDS[ord("b")]
+    assert into == {segments[0][0]: _word(261, 262), segments[1][0]: _word(261, b)}
+
+
+def _greedy(words, vocab_size, min_frequency=2):
+    """One merge at a time over all words, pairs counted anew each time."""
+    vocab = bpe.base_vocab()
+    known = {p: i for i, p in enumerate(vocab)}
+    words = [([bpe.BYTE_IDS[x] for x in w.encode()], n) for w, n in words]
+    merges = []
+    while len(vocab) < vocab_size:
+        count = Counter()
+        for w, n in words:
+            for p in zip(w, w[1:]):
+                count[p] += n
+        best = min(count.items(), key=lambda x: (-x[1], x[0]), default=None)
+        if best is None or best[1] < min_frequency:
+            break
+        a, b = best[0]
+        s = vocab[a] + vocab[b]
+        if s not in known:
+            known[s] = len(vocab)
+            vocab.append(s)
+        merges.append((a, b, known[s]))
+        for w, _ in words:
+            i = 0
+            while i + 1 < len(w):
+                if (w[i], w[i + 1]) == (a, b):
+                    w[i:i + 2] = [known[s]]
+                i += 1
+    return merges
+
+
+def _rounds(words, vocab_size, share):
+    """The trainer's rounds on a dict of words, without Spark."""
+    model = bpe.BpeModel(bpe.base_vocab())
+    words = {_word(*(bpe.BYTE_IDS[x] for x in w.encode())): n for w, n in words.items()}
+    while len(model.vocab) < vocab_size:
+        count = Counter()
+        for w, n in words.items():
+            for i in range(len(w) - 1):
+                count[w[i:i + 2]] += n
+        top = max(count.values(), default=0)
+        if top < 2:
+            break
+        floor = max(2, int(top * share))
+        live = {p for p, n in count.items() if n >= floor}
+        segments = Counter()
+        for w, n in words.items():
+            for i, j in bpe.live_runs(w, live):
+                segments[w[i:j]] += n
+        into = bpe.merge_segments(sorted(segments.items()), floor, model, vocab_size)
+        after = Counter()
+        for w, n in words.items():
+            parts, at = [], 0
+            for i, j in bpe.live_runs(w, live):
+                parts += [w[at:i], into.get(w[i:j], w[i:j])]
+                at = j
+            after["".join(parts) + w[at:]] += n
+        words = after
+        model.rounds += 1
+    return model
+
+
+def test_rounds_equal_one_merge_at_a_time():
+    """Few letters; some of them make special tokens, symbols that exist."""
+    old = 0
+    for seed in range(120):
+        rng = random.Random(seed)
+        words = Counter()
+        for _ in range(rng.randrange(5, 80)):
+            w = "".join(rng.choice(["a", "b", "<s>", "s>", "<", "</s>"] if seed % 2 else "abc")
+                        for _ in range(rng.randrange(1, 14)))
+            words[w] += rng.choice([1, 2, 3, 50])
+        want = _greedy(words.items(), 330)
+        for share in (0.01, 0.3, 1.0):
+            assert _rounds(words, 330, share).merges == want
+        old += any(n < 261 for *_, n in want)
+    assert old > 10
+
+
+def test_several_corpora_at_once_equal_each_alone(spark):
+    lines = T.lines(spark, SF_SMALL)
+    hist = stats.pretoken_histogram(lines, by=["lang"])
+    got = bpe.bpe_train_each(hist, "lang", vocab_size=330)
+    assert sorted(got) == sorted(r.lang for r in lines.select("lang").distinct().collect())
+    for lang, model in got.items():
+        alone = bpe.bpe_train(stats.pretoken_histogram(lines.filter(F.col("lang") == lang)), vocab_size=330)
+        assert (model.vocab, model.merges) == (alone.vocab, alone.merges)
 
 
 def test_pretokenizer_matches_library(spark):

@@ -3,6 +3,7 @@ only) and properties of the EM trainer."""
 
 import math
 import os
+from collections import Counter
 
 import pytest
 
@@ -117,3 +118,119 @@ def test_training_does_not_depend_on_partitions(spark):
     a = U.unigram_train(lines, vocab_size=200, partitions=2)
     b = U.unigram_train(lines.repartition(7), vocab_size=200, partitions=13)
     assert a.pieces == b.pieces
+
+
+def _plain_training(words, size, max_len=16, seed_factor=10, em_iters=2, shrink=0.75):
+    """A5 in plain loops over a dict of words and counts."""
+    target = size - 3
+    freq = Counter()
+    for w, n in words.items():
+        for i in range(len(w)):
+            for j in range(i + 1, min(len(w), i + max_len) + 1):
+                freq[w[i:j]] += n
+    required = {p for p in freq if len(p) == 1}
+    top = sorted((p for p in freq if len(p) > 1 and freq[p] > 1), key=lambda p: (-freq[p] * len(p), p))
+    cand = {p: freq[p] for p in [*required, *top[:target * seed_factor]]}
+
+    def shares(c, keep):
+        total = sum(c.get(p, 0) for p in keep)
+        return {p: math.log(max(c.get(p, 0), total * 1e-12)) - math.log(total) for p in keep}
+
+    scores = shares(cand, list(cand))
+    while True:
+        for _ in range(em_iters):
+            got = Counter()
+            for w, n in words.items():
+                m = len(w)
+                a = [1.0] + [0.0] * m
+                for j in range(1, m + 1):
+                    a[j] = sum(a[i] * math.exp(scores[w[i:j]]) for i in range(max(0, j - max_len), j) if w[i:j] in scores)
+                b = [0.0] * m + [1.0]
+                for i in reversed(range(m)):
+                    b[i] = sum(b[j] * math.exp(scores[w[i:j]]) for j in range(i + 1, min(m, i + max_len) + 1)
+                               if w[i:j] in scores)
+                for i in range(m):
+                    for j in range(i + 1, min(m, i + max_len) + 1):
+                        if w[i:j] in scores:
+                            got[w[i:j]] += n * a[i] * math.exp(scores[w[i:j]]) * b[j] / a[m]
+            scores = shares(got, [p for p in scores if got[p] > 2 ** -33 or p in required])
+        if len(scores) <= target:
+            return scores
+        seg, best = U.Segmenter(scores), Counter()
+        for w, n in words.items():
+            for p in seg.viterbi(w):
+                best[p] += n
+        total, loss = sum(best.values()), {}
+        for p in scores:
+            if p not in required and best[p]:
+                alt = seg.viterbi(p, without=p)
+                after = math.log(total + best[p] * (len(alt) - 1))
+                loss[p] = math.inf if len(alt) <= 1 else best[p] / total * (
+                    math.log(best[p]) - math.log(total) - sum(math.log(best[x] + best[p]) for x in alt) + len(alt) * after)
+        room = max(target, int(len(scores) * shrink)) - len(required & set(scores))
+        keep = sorted(loss, key=lambda p: (-loss[p], p))[:max(0, room)]
+        scores = {p: scores[p] for p in [*(required & set(scores)), *keep]}
+
+
+def test_training_equals_plain_loops(spark):
+    lines = T.lines(spark, SF_SMALL).filter("doc_id < 25 and lang = 'en'")
+    words = {r.word: r.n for r in U.word_histogram(lines).collect()}
+    for size in (60, 150):
+        want = _plain_training(words, size)
+        got = dict(U.unigram_train(lines, vocab_size=size).pieces)
+        assert set(got) == set(want)
+        assert all(abs(math.exp(got[p]) - math.exp(want[p])) < 1e-8 for p in want)
+
+
+def test_seeds_equal_all_substrings(spark):
+    words = {"▁abcabcabcabcabcabcabc": 1, "▁abcabc": 3, "▁日本語日本語": 1, "▁z": 1, "▁" + "q" * 40: 1, "": 5}
+    df = spark.createDataFrame(list(words.items()), "word string, n long").repartition(2)
+    for max_len in (1, 4, 16):
+        want = Counter()
+        for w, n in words.items():
+            for i in range(len(w)):
+                for j in range(i + 1, min(len(w), i + max_len) + 1):
+                    want[w[i:j]] += n
+        want = {p: n for p, n in want.items() if n > 1 or len(p) == 1}
+        for levels in ((), (1, 2, 3), U.LEVELS):
+            got = U.seed_pieces(df, max_len, levels=levels).collect()
+            assert {r.piece: r.freq for r in got} == want and len(got) == len(want)
+
+
+def test_several_corpora_at_once_equal_each_alone(spark):
+    lines = T.lines(spark, SF_SMALL).filter("doc_id < 80")
+    got = U.unigram_train_each(lines, "lang", vocab_size=150)
+    assert len(got) == lines.select("lang").distinct().count() > 1
+    for lang, model in got.items():
+        alone = U.unigram_train(lines.filter(lines.lang == lang), vocab_size=150)
+        assert (model.pieces, model.loglik) == (alone.pieces, alone.loglik)
+
+
+def test_soft_limit_gives_what_there_is(spark):
+    lines = T.lines(spark, SF_SMALL).limit(20)
+    m = U.unigram_train(lines, vocab_size=100000, hard_vocab_limit=False)
+    assert 0 < len(m.pieces) < 100000 - 3
+
+
+@pytest.mark.parametrize("coverage", [0.98, 0.9995])
+def test_character_coverage_keeps_the_library_s_characters(spark, tmp_dir, coverage):
+    spm = pytest.importorskip("sentencepiece")
+    lines = T.lines(spark, SF_SMALL)
+    texts = [r.line for r in lines.orderBy("doc_id", "line_no").collect()] + ["rare ҂ ҂ Ω", "日 本"] * 2
+    src = os.path.join(tmp_dir, "in.txt")
+    with open(src, "w") as f:
+        f.write("\n".join(texts) + "\n")
+    spm.SentencePieceTrainer.train(input=src, model_prefix=os.path.join(tmp_dir, "m"), vocab_size=300,
+                                   character_coverage=coverage, minloglevel=2)
+    sp = spm.SentencePieceProcessor(model_file=os.path.join(tmp_dir, "m.model"))
+    lib = {c for i in range(3, sp.get_piece_size()) for c in sp.id_to_piece(i)}
+    df = spark.createDataFrame([(t,) for t in texts], "line string").repartition(4)
+    ours = U.unigram_train(df, vocab_size=300, character_coverage=coverage)
+    assert {p for p, _ in ours.pieces if len(p) == 1} == lib == {c for p, _ in ours.pieces for c in p}
+
+
+def test_null_and_blank_lines_stay_aligned(spark):
+    vocab = spark.createDataFrame([("▁", 0, -1.0), ("a", 1, -2.0), ("▁a", 2, -2.5)], "piece string, id int, score double")
+    df = spark.createDataFrame([(0, "a  a"), (1, None), (2, ""), (3, " \t "), (4, "aa b")], "k int, line string").repartition(1)
+    got = {r.k: r.pieces for r in U.unigram_encode(df, "line", vocab).collect()}
+    assert got == {0: ["▁a", "▁a"], 1: None, 2: [], 3: [], 4: ["▁a", "a", "▁", "b"]}
