@@ -12,39 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_path
+from ..operators.bitmaps import bitmap, fresh, marked  # noqa: F401  (for the operators)
+from ..session import stored  # noqa: F401
 
 # Texts are handled in slices of about this many bytes, so the numpy arrays of
 # a task stay small however many rows an Arrow batch holds.
 SLICE_BYTES = 1 << 20
 
-_M64 = (1 << 64) - 1
-
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage
-    so that a lost executor never repeats what came before."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def fresh(df: DataFrame, stem: str) -> str:
-    """A column name that ``df`` does not have yet, in any letter case."""
-    name, taken = stem, {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = "_" + name
-    return name
-
-
 def text_pass(df: DataFrame, text_col: str, fields: list[T.StructField],
               make: Callable[[], Callable[[list], list]], keep: list[str] | None = None,
-              explode: bool = False) -> DataFrame:
+              explode: bool = False, limit: int | None = None) -> DataFrame:
     """Run a text function beside the rows: no shuffle, Arrow batches.
 
     ``make()`` is called once per task and returns ``f(texts) -> list of
@@ -52,7 +34,8 @@ def text_pass(df: DataFrame, text_col: str, fields: list[T.StructField],
     result has the columns ``keep`` (default: all but the text) and then
     ``fields``. With ``explode`` the function returns its row indices as an
     extra first column, so a text can give any number of rows. A kept column
-    whose name a new one takes (in any letter case) goes.
+    whose name a new one takes (in any letter case) goes. The function gets
+    about ``limit`` bytes of text at a time (default: ``SLICE_BYTES``).
     """
     keep = [c for c in df.columns if c != text_col] if keep is None else keep
     keep = [c for c in keep if c.lower() not in {f.name.lower() for f in fields}]
@@ -70,7 +53,7 @@ def text_pass(df: DataFrame, text_col: str, fields: list[T.StructField],
             if arrow is None:
                 from pyspark.sql.pandas.types import to_arrow_schema
                 arrow = to_arrow_schema(schema)
-            for lo, hi in slices(col):
+            for lo, hi in slices(col, limit or SLICE_BYTES):
                 texts = col.slice(lo, hi - lo).to_pylist()
                 out = f(texts)
                 if explode:
@@ -138,6 +121,19 @@ def slices(col: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]
         lo = hi
 
 
+def grouped(texts: list[bytes], limit: int) -> Iterator[list[bytes]]:
+    """The texts in order, in lists of about ``limit`` bytes."""
+    now, size = [], 0
+    for t in texts:
+        if now and size + len(t) > limit:
+            yield now
+            now, size = [], 0
+        now.append(t)
+        size += len(t)
+    if now:
+        yield now
+
+
 def pieces(text: bytes, limit: int, border: re.Pattern) -> Iterator[bytes]:
     """The text in order, cut behind the first match of ``border`` at least
     ``limit`` bytes on; a stretch without such a place stays whole."""

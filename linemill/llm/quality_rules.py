@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SLICE_BYTES, fold_pass, fresh, pieces, stored, text_pass
+from .common import SLICE_BYTES, bitmap, fold_pass, fresh, marked, pieces, stored, text_pass
 
 BUCKETS = 1 << 16
 UNITS = 1 << 20
@@ -37,8 +37,6 @@ SLACK = UNITS // 4
 BIN = 1 << 10
 # Word hashes a task remembers.
 MEMO = 300_000
-# Distinct hashes of trusted ids that are broadcast to look for their rows.
-ID_HASHES = 1 << 18
 
 _BLANK = re.compile(rb"[\x09-\x0D ]")
 _IS_BLANK = np.zeros(256, bool)
@@ -235,17 +233,14 @@ def threshold(scored: DataFrame, low_share: float = LOW_SHARE, slack: int = SLAC
 
 
 def rows_of(df: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``df`` whose id is in ``ids`` (one column ``i``). A broadcast
-    set of at most ``ID_HASHES`` hash values lets most other rows go before
-    the join deals out the rest with their texts."""
-    at = fresh(df, "_at")
-
-    def small(c):
-        return F.pmod(F.xxhash64(F.col(c).cast("string")), F.lit(ID_HASHES)).cast("int")
-    hashes = ids.select(small("i").alias(at)).distinct()
-    likely = df.withColumn(at, small(f"`{id_col}`")).join(F.broadcast(hashes), at, "left_semi").drop(at)
-    key = fresh(df, "_i")
-    return likely.join(ids.select(F.col("i").alias(key)), F.col(f"`{id_col}`") == F.col(key), "left_semi")
+    """Rows of ``df`` whose id is in ``ids`` (one column ``i``). A bitmap of
+    the ids lets most other rows go before the join, always one by shuffle,
+    deals out the rest with their texts."""
+    key, maybe = fresh(df, "_i"), fresh(df, "_maybe")
+    likely = marked(df, bitmap(ids.select(F.col("i").cast("string").alias("i")), "i"), maybe,
+                    F.col(f"`{id_col}`").cast("string")).filter(maybe).drop(maybe)
+    wanted = ids.select(F.col("i").alias(key)).hint("merge")
+    return likely.join(wanted, F.col(f"`{id_col}`") == F.col(key), "left_semi")
 
 
 def calibration_fold(id_col: str = "i"):
