@@ -1,5 +1,8 @@
+import random
 import re
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from linemill.llm import decontaminate as D
@@ -65,3 +68,45 @@ def test_empty_sides(llm, odd, none):
     items = llm.createDataFrame([], "item_id long, text string")
     assert D.decontaminate(odd, items).filter("contaminated").count() == 0
     assert D.decontaminate(none, items).count() == 0
+
+
+def test_windows_with_equal_hashes_are_told_apart(monkeypatch):
+    """With a hash that is the same for all windows, the bytes still decide."""
+    items = [("1", b"aa bb cc"), ("2", b"bb cc aa"), ("3", b"aa bb cc dd"), ("4", b"zz"), ("1", b"yy")]
+    monkeypatch.setattr(D, "_window_hash", lambda h, n: np.full(max(len(h) - n + 1, 0), 7, np.uint64))
+    w = D.Words([b"x aa bb cc y", b"Bb, cc aa zz", b"cc aa bb"], D.RollingHash(10))
+    w.scan(D.WindowSet(items, 3))
+    assert {d: sorted(x) for d, x in w.found.items()} == {0: ["1", "3"], 1: ["2", "4"]}
+
+
+@pytest.mark.parametrize("n", [2, 5])
+def test_long_texts_in_pieces(llm, monkeypatch, n):
+    rng = random.Random(n)
+    items = [(i, " ".join(rng.choice("abc") for _ in range(rng.randrange(1, 9)))) for i in range(12)]
+    docs = [(i, "".join(rng.choice(["a", "B", "c", "d", " ", ", ", "\n", "é"]) + rng.choice(["", " "])
+                        for _ in range(900))) for i in range(6)]
+    df, it = llm.createDataFrame(docs, "doc_id long, text string"), llm.createDataFrame(items, "item_id long, text string")
+    want = brute(docs, items, n)
+    parts = D.benchmark_parts(it, "item_id", "text", n, 10**6)
+    roll = D.RollingHash(10)
+
+    def scanned(groups):
+        words = [D.Words(g, roll) for g in groups]
+        for w in words:
+            w.scan(parts[0].value)
+        return words
+    whole = [D._results([t.encode()], scanned([[t.encode()]])[0])[0] for _, t in docs]
+    for size in (20, 301):
+        monkeypatch.setattr(D, "SLICE_BYTES", size)
+        assert [D._long(t.encode(), scanned, n) for _, t in docs] == whole
+    assert [(i, *r[:4]) for (i, _), r in zip(docs, whole)] == want
+    assert as_tuples(D.decontaminate(df, it, n=n), *COLS) == want
+
+
+def test_clashing_names(llm):
+    names = ["original", "_original", "CLEAN_TEXT", "spans", "n_hit", "c0", "_text"]
+    df = llm.createDataFrame([(1, "one two three four five", *names)],
+                             "doc_id long, text string, " + ", ".join(f"{c} string" for c in names))
+    items = llm.createDataFrame([(1, "two three")], "item_id long, text string")
+    out = D.clean_documents(df, items)
+    assert out.columns == df.columns and tuple(out.first()) == (1, "one  four five", *names)
