@@ -15,19 +15,33 @@ def held_out(id_col: str = "doc_id", mod: int = 3, rest: int = 1):
 
 
 def sample(docs: DataFrame, labels: DataFrame, label_col: str, salt: str, per_class: int,
-           max_bytes: int, extra: list[str] = (), id_col: str = "doc_id",
-           text_col: str = "text") -> list[tuple]:
-    """(text, label, *extra) on the driver: at most ``per_class`` labelled,
-    not held-out rows of each class, those with the smallest id hash, whose
-    texts have at most ``max_bytes`` bytes. Ids are joined by broadcast: their
-    number is bounded by the sample."""
+           max_bytes: int, extra: list[str] = (), id_col: str = "doc_id", text_col: str = "text",
+           by: str | None = None, calibration: bool | None = None) -> list[tuple]:
+    """(text, label, *extra) on the driver: of the labelled, not held-out ids
+    with a text of at most ``max_bytes`` bytes, at most ``per_class`` of each
+    class, those with the smallest id hash. An id gives one row, its smallest
+    such text, however often it is repeated; an id labelled twice counts with
+    its larger label. Null ids are never learnt; a null text counts as empty.
+    The picked ids are joined by broadcast: their number is bounded.
+
+    With ``by``, a column of ``docs``, at most ``per_class`` of each class for
+    each of its values. ``calibration`` takes the fifth of the ids set apart
+    for calibration (true) or the others (false)."""
+    i, t = F.col(f"`{id_col}`").alias("i"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t")
+    short = docs.select(i, t, *[F.col(f"`{c}`").alias(f"x{k}") for k, c in enumerate(extra)]).filter(
+        F.col("i").isNotNull() & (F.octet_length("t") <= max_bytes))
     lab = labels.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{label_col}`").cast("int").alias("y")
                         ).filter(F.col("y").isin(0, 1) & F.col("i").isNotNull() & ~held_out("i"))
-    # An id labelled twice counts once, with its larger label.
+    if calibration is not None:
+        lab = lab.filter((F.pmod(F.xxhash64(F.lit("calibration"), F.col("i").cast("string")), F.lit(5)) == 4)
+                         == F.lit(calibration))
     lab = lab.groupBy("i").agg(F.max("y").alias("y"))
-    picked = learning_rows(lab, "i", salt, per_class, "y")
-    rows = docs.select(F.col(f"`{id_col}`").alias("i"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"),
-                       *[F.col(f"`{c}`") for c in extra]).join(F.broadcast(picked), "i")
-    rows = rows.filter(F.octet_length("t") <= max_bytes).select("i", "t", "y", *extra)
-    got = sorted(rows.collect(), key=lambda r: (r[0], r[1]))
-    return [tuple(r)[1:] for r in got]
+    stratum = F.coalesce(F.col(f"`{by}`").cast("string"), F.lit("")) if by else F.lit("")
+    eligible = docs.select(i, t, stratum.alias("s")).filter(F.octet_length("t") <= max_bytes).groupBy("i").agg(
+        F.min("s").alias("s"))
+    lab = lab.join(eligible, "i").withColumn("class", F.concat(F.col("y").cast("string"), F.lit(" "), "s"))
+    picked = learning_rows(lab, "i", salt, per_class, "class").select("i", "y")
+    rows = short.join(F.broadcast(picked), "i").groupBy("i", "y").agg(
+        F.min(F.struct("t", *[f"x{k}" for k in range(len(extra))])).alias("r"))
+    got = sorted(rows.collect(), key=lambda r: r["i"])
+    return [(r["r"]["t"], r["y"], *r["r"][1:]) for r in got]

@@ -27,16 +27,19 @@ UNKNOWN = "und"
 def learn(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
           texts: int = TEXTS_PER_LANGUAGE, size: int = DICTIONARY_BYTES) -> list[tuple[str, bytes]]:
     """(language, dictionary) in order of falling frequency among the rows of
-    ``df`` with text and language. The sample is bounded and repeatable: rows
-    with the smallest hash of their id; the counts cover all rows."""
+    ``df`` with text and language. The sample is bounded and repeatable: texts
+    of at most ``size`` bytes of the ids with the smallest hash, one text an id
+    and language (the smallest) however often they are repeated; the counts
+    cover all rows. A language all of whose texts are longer gets no dictionary
+    and is never predicted."""
     rows = df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{lang_col}`").alias("l"),
                      F.octet_length(F.col(f"`{text_col}`")).alias("n")).filter("l is not null and n > 0")
     order = [r["l"] for r in rows.groupBy("l").count().orderBy(F.desc("count"), "l").collect()]
-    picked = learning_rows(rows.filter(F.col("n") <= size), "i", "language", texts, "l")
+    picked = learning_rows(rows.filter(F.col("n") <= size).select("i", "l").distinct(), "i", "language", texts, "l")
     got = df.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"),
                     F.col(f"`{lang_col}`").alias("l")).join(
-        F.broadcast(picked.select("i", "l").distinct()), ["i", "l"], "left_semi"
-    ).filter(F.octet_length("t") <= size).orderBy(F.xxhash64(F.col("i").cast("string")), "t").collect()
+        F.broadcast(picked), ["i", "l"]).filter((F.octet_length("t") <= size) & (F.octet_length("t") > 0)).groupBy(
+        "i", "l").agg(F.min("t").alias("t")).orderBy(F.xxhash64(F.col("i").cast("string")), "t").collect()
     out = []
     for lang in order:
         buf, seen = b"", set()
@@ -89,10 +92,11 @@ def identify(df: DataFrame, model: list[tuple[str, bytes]], text_col: str = "tex
     ``score`` (0 to 1), ``margin`` and ``rejected``.
 
     Whole texts are compressed, lower-cased, in blocks of ``BLOCK_BYTES``.
-    ``und`` (score 0, rejected): the
-    text is null, empty or without letters, or nothing was learnt. Ties go to
-    the language with more learning rows and are rejected. The model is
-    broadcast: one dictionary of bounded size a language."""
+    ``und`` (score 0, rejected): the text is null, empty or without letters, or
+    nothing was learnt. Ties go to the language with more learning rows and are
+    rejected. Repeated rows each give a row; an empty table gives none; kept
+    columns whose names clash with new ones go. The model is broadcast: one
+    dictionary of bounded size a language."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def make():

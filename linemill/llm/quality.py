@@ -149,7 +149,9 @@ def classify(df: DataFrame, model: Model, text_col: str = "text", keep: list[str
     """``keep`` columns plus ``score`` (share of the neighbours' weight with
     label 1), ``predicted`` (1 from 0.5 on) and ``nearest`` (cosine). Null,
     empty and blank texts have a zero vector: all neighbours weigh the same.
-    Nothing learnt: 0.5."""
+    Nothing learnt: 0.5. Neighbours of equal similarity at the last place: any
+    of them votes. Repeated rows each give a row; an empty table gives none;
+    kept columns whose names clash with new ones go."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def make():

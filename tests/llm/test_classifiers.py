@@ -148,3 +148,31 @@ def test_toxicity_operator_on_odd_rows(odd, none, llm):
         got = toxicity.classify(odd, model).collect()
         assert len(got) == 14 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in got)
         assert toxicity.classify(none, model).count() == 0
+
+
+def test_learning_sample_is_drawn_from_eligible_rows(llm):
+    """Texts that are too long are left out before the draw, so as many rows
+    are learnt as there are; a repeated id gives one row."""
+    from linemill.llm.labelled import sample
+    rows = [(i, "x" * (10 if i % 14 == 0 else 900), "en") for i in range(300)] + [(900, f"copy {k}", "en")
+                                                                               for k in range(500)]
+    docs = llm.createDataFrame(rows + [(None, "y", "en")], "doc_id long, text string, lang string").repartition(5)
+    labels = llm.createDataFrame([(i, i // 14 % 2) for i in range(300)] + [(900, 0), (900, 1), (None, 1), (5000, 1)],
+                                 "doc_id long, toxic int")
+    held = {i for i in [*range(300), 900] if zlib.crc32(str(i).encode()) % 3 == 1}
+    for per_class in (3, 10, 100):
+        got = sample(docs, labels, "toxic", "s", per_class, 20, ["lang"])
+        for y in (0, 1):
+            fit = {i for i in range(0, 300, 14) if i // 14 % 2 == y} | ({900} if y else set())
+            assert sum(r[1] == y for r in got) == min(per_class, len(fit - held))
+        assert all(len(r[0]) <= 20 and r[2] == "en" for r in got)
+    if 900 not in held:
+        assert [r[0] for r in got if r[0].startswith("copy")] == ["copy 0"]
+
+
+def test_language_sample_with_a_repeated_id(llm):
+    rows = [(7, f"some text number {k} with words", "en") for k in range(400)] + [(8, "autre texte ici", "fr")]
+    df = llm.createDataFrame(rows + [(9, "z" * 70_000, "xx")], "doc_id long, text string, lang string").repartition(3)
+    model = language_id.learn(df, texts=5)
+    assert [lang for lang, _ in model] == ["en", "fr"]
+    assert model[0][1] == b"some text number 0 with words\n"
