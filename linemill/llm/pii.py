@@ -6,7 +6,8 @@ title. A surrogate is drawn from a keyed hash of the entity's canonical form
 (digits of a number, lower-cased address or name), so an entity has the same
 one everywhere. It keeps type and format: separators, letter case, length,
 country code, first card digit and whether the card's check digit is right; a
-name keeps gender (of its title) and script. Drawn surrogates of all distinct
+name keeps gender (of its title) and script (of its own letters: Latin,
+Cyrillic, Greek or Armenian; Latin stands for all others). Drawn surrogates of all distinct
 entities are compared in one table: where two are equal, or one equals a real
 entity, all but the first draw again until every entity has its own. An entity
 whose draws were all taken has a format that is full: from then on its
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import fresh, stored
+from .common import stored
 
 # Patterns in order of precedence; the types below are told apart by the match.
 SECRET_NAME = r"(?i:password|passwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?"
@@ -32,6 +33,10 @@ TITLES = {
     ("cyrillic", "m"): ["господин"],
     ("cyrillic", "f"): ["госпожа"],
 }
+# What a name's letters say about its script; the first is the one for names
+# of no other.
+SCRIPTS = {"latin": r"\p{IsLatin}", "cyrillic": r"\p{IsCyrillic}", "greek": r"\p{IsGreek}",
+           "armenian": r"\p{IsArmenian}"}
 PATTERNS = [
     r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     SECRET_NAME + r"[A-Za-z0-9+/_-]{8,128}",
@@ -51,13 +56,24 @@ GIVEN = {
                      "Maria", "Nina", "Olivia", "Paula", "Sara", "Vera"],
     ("cyrillic", "m"): ["Антон", "Борис", "Глеб", "Денис", "Егор", "Игорь", "Олег", "Павел"],
     ("cyrillic", "f"): ["Анна", "Вера", "Дарья", "Елена", "Ирина", "Мария", "Ольга", "Софья"],
+    ("greek", "m"): ["Αντώνης", "Γιώργος", "Δημήτρης", "Ηλίας", "Κώστας", "Λουκάς", "Νίκος", "Πέτρος"],
+    ("greek", "f"): ["Άννα", "Ειρήνη", "Ελένη", "Ζωή", "Θάλεια", "Μαρία", "Σοφία", "Φωτεινή"],
+    ("armenian", "m"): ["Արամ", "Արմեն", "Գագիկ", "Դավիթ", "Հայկ", "Նարեկ", "Պետրոս", "Տիգրան"],
+    ("armenian", "f"): ["Անահիտ", "Գայանե", "Լիլիթ", "Լուսինե", "Մարիամ", "Նարինե", "Սոնա", "Քրիստինե"],
 }
 SYLLABLES = {
     "latin": ["ba", "den", "fel", "gor", "han", "kel", "lin", "mar", "nor", "pal", "ros", "sten", "tor", "val",
               "win", "zan"],
     "cyrillic": ["бар", "вол", "гор", "дан", "жар", "кал", "лен", "мир", "нов", "пол", "руд", "сав", "тар", "фил",
                  "чер", "яр"],
+    "greek": ["βαλ", "γορ", "δαν", "ζαν", "θεο", "καλ", "λεν", "μαρ", "νικ", "παλ", "ροδ", "σαν", "ταρ", "φιλ", "χαρ",
+              "ψαλ"],
+    "armenian": ["բար", "գար", "դան", "զոր", "թով", "կար", "լեն", "մար", "նար", "պալ", "ռուբ", "սար", "տիր", "փար",
+                 "քոչ", "օհան"],
 }
+# Endings of surnames by script and gender.
+ENDINGS = {("cyrillic", "m"): "ов", ("cyrillic", "f"): "ова", ("greek", "m"): "ίδης", ("greek", "f"): "ίδου",
+           ("armenian", "m"): "յան", ("armenian", "f"): "յան"}
 LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # So many draws keep an entity's own format; the next ones widen it.
 MAX_ROUNDS = 12
@@ -84,10 +100,14 @@ def kind_of(m: Column) -> Column:
 
 
 def _person_kind(m: Column) -> Column:
-    out = F.lit("person_latin_f")
-    for (script, gender), titles in TITLES.items():
-        out = F.when(m.rlike("^(?:" + "|".join(titles) + r")\b"), f"person_{script}_{gender}").otherwise(out)
-    return out
+    """Gender from the title, script from the letters of the name."""
+    name = F.regexp_replace(m, r"^\S+ ", "")
+    script, gender = F.lit("latin"), F.lit("f")
+    for s, letters in list(SCRIPTS.items())[1:]:
+        script = F.when(name.rlike(letters), s).otherwise(script)
+    for (_, g), titles in TITLES.items():
+        gender = F.when(m.rlike("^(?:" + "|".join(titles) + r")(?!\p{L})"), g).otherwise(gender)
+    return F.concat_ws("_", F.lit("person"), script, gender)
 
 
 def canonical(kind: Column, m: Column) -> Column:
@@ -156,7 +176,7 @@ def surrogate(kind: Column, canon: Column, hexes: Column) -> Column:
     for (script, gender), given in GIVEN.items():
         part = [F.element_at(F.array(*map(F.lit, SYLLABLES[script])), _draw(hexes, F.lit(i), 16) + 1)
                 for i in (2, 3, 4, 5)]
-        surname = F.concat(*part, F.lit({"m": "ов", "f": "ова"}[gender] if script == "cyrillic" else ""))
+        surname = F.concat(*part, F.lit(ENDINGS.get((script, gender), "")))
         first = F.lower(F.element_at(F.array(*map(F.lit, given)), _draw(hexes, F.lit(1), len(given)) + 1))
         out = out.when(kind == f"person_{script}_{gender}",
                        F.when(F.contains(canon, F.lit(" ")), F.concat_ws(" ", first, surname)).otherwise(surname))
@@ -260,10 +280,14 @@ def pseudonymize(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     existing ``n_entities`` column is replaced. Texts without entities take no
     part in any shuffle; of the others each distinct one is looked up once.
     """
-    df = df.drop("n_entities")
-    text = F.col(f"`{text_col}`")
+    names = [c for c in df.columns if c.lower() != "n_entities"]
+    # The columns go by neutral names in between, so that none can clash.
+    own = [f"c{i}" for i in range(len(names))]
+    df = df.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(names, own)])
+    text_col = own[names.index(text_col)]
+    text = F.col(text_col)
     has = F.coalesce(_may_match(text) & text.rlike(ANY), F.lit(False))
-    some, sha = df.filter(has), fresh(df, "_sha")
+    some = df.filter(has)
     digest = F.sha2(text.cast("binary"), 256)
     found = some.select(digest.alias("sha"), _matches(text).alias("m")).groupBy("sha").agg(F.first("m").alias("m"))
     each = stored(found.select("sha", F.posexplode("m").alias("at", "m")).withColumn("kind", kind_of(F.col("m")))
@@ -271,11 +295,12 @@ def pseudonymize(df: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     table = entity_table(each.select("kind", "canon"), key)
     new = each.join(table, ["kind", "canon"]).select(
         "sha", "at", written(F.col("kind"), F.col("m"), F.col("sur")).alias("new"))
-    new = stored(new.groupBy(F.col("sha").alias(sha)).agg(F.transform(F.array_sort(F.collect_list(
-        F.struct("at", "new"))), lambda x: x["new"]).alias("_new")), "pii-replacements")
+    new = stored(new.groupBy("sha").agg(F.transform(F.array_sort(F.collect_list(
+        F.struct("at", "new"))), lambda x: x["new"]).alias("new")), "pii-replacements")
     pieces = F.split(text, ANY, -1)
-    joined = F.array_join(F.zip_with(pieces, F.col("_new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    done = some.withColumn(sha, digest).join(new, sha).withColumn(text_col, joined).withColumn(
-        "n_entities", F.size("_new").cast("long"))
+    joined = F.array_join(F.zip_with(pieces, F.col("new"), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    done = some.withColumn("sha", digest).join(new, "sha").withColumn(text_col, joined).withColumn(
+        "n_entities", F.size("new").cast("long"))
     rest = df.filter(~has).withColumn("n_entities", F.lit(0).cast("long"))
-    return rest.unionByName(done.select(*[F.col(f"`{c}`") for c in rest.columns]))
+    out = rest.unionByName(done.select(*own, "n_entities"))
+    return out.select(*[F.col(o).alias(c) for c, o in zip(names, own)], "n_entities")

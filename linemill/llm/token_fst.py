@@ -282,7 +282,9 @@ def count_tokens(df: DataFrame, path: str, text_col: str = "text", out_col: str
                  keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default: all but the text) plus ``n_bytes`` and
     ``out_col``: tokens of the whole text as the tokenizer file's library
-    counts them, without added special tokens. Null and empty texts: 0. The
+    counts them, without added special tokens. Null and empty texts: 0.
+    Repeated rows each give a row; an empty table gives none; kept columns
+    whose names clash with new ones go. The
     file (bounded by its vocabulary) is broadcast; no shuffle."""
     with open(path, "rb") as f:
         shared = df.sparkSession.sparkContext.broadcast(f.read())

@@ -139,3 +139,26 @@ def test_untouched_and_odd_rows(odd, odd_rows, none):
 def test_no_python_on_the_main_path(docs):
     plan = pii.pseudonymize(docs, "k")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_any_column_names(llm):
+    names = ["_new", "new", "sha", "_SHA", "m", "at", "kind", "canon", "c0", "C1", "N_ENTITIES"]
+    df = llm.createDataFrame([(1, "mail a.b@example.com now", *names), (2, "nothing", *names)],
+                             "doc_id long, text string, " + ", ".join(f"{c} string" for c in names))
+    out = pii.pseudonymize(df, "k")
+    assert out.columns == [*df.columns[:-1], "n_entities"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert "a.b@example.com" not in got[1].text and got[2].text == "nothing"
+    assert all(tuple(r)[2:-1] == tuple(names[:-1]) for r in got.values())
+
+
+def test_script_of_the_name_not_of_the_title(llm):
+    texts = ["Mr Иванов spoke", "господин Smith пришёл", "Frau Παπαδοπούλου kam", "Mrs Հակոբյան left", "Mr Smith left",
+             "госпожа Иванова пришла", "Herr Анна Петрова kam"]
+    got, n = rewrite(llm, texts)
+    assert set(n.values()) == {1}
+    letters = {"Cyrillic": "а-яё", "Latin": "a-z", "Greek": "α-ωάέήίόύώϊΐς", "Armenian": "ա-ֆ"}
+    for text, new, script in zip(texts, got, ["Cyrillic", "Latin", "Greek", "Armenian", "Latin", "Cyrillic", "Cyrillic"]):
+        title, name = text.split(" ")[:2]
+        assert new.startswith(title + " ") and name not in new
+        assert re.match(f"[{letters[script]}]+$", new.split(" ")[1].lower()), new
