@@ -10,11 +10,13 @@ space is spanned by the leading singular vectors of the sample.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import RollingHash, edges, joined, mix64, text_pass
+from .common import SLICE_BYTES, RollingHash, edges, joined, mix64, pieces, text_pass
 from .labelled import sample
 
 WORD_ROWS = 1 << 13
@@ -35,6 +37,7 @@ _KIND[0x41:0x5B] = 2
 _KIND[0x30:0x3A] = 4
 _KIND[0x80:] = 8
 _KIND[[ord(c) for c in ".,;:'\"()-"]] = 32
+_BLANK = re.compile(rb"[\x09-\x0D ]")
 
 
 class Features:
@@ -42,12 +45,35 @@ class Features:
         self.roll = RollingHash(3)
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (text, term) and their log counts."""
+        """Distinct (text, term) and their log counts. Long texts go in pieces."""
+        if max(map(len, texts), default=0) <= 2 * SLICE_BYTES:
+            key, n = self._counts(texts)
+        else:
+            parts = [self._long(t) for t in texts]
+            key = np.concatenate([k + d * TERMS for d, (k, _) in enumerate(parts)])
+            n = np.concatenate([c for _, c in parts])
+        return key // TERMS, key % TERMS, np.log1p(n).astype(np.float32)
+
+    def _long(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """One text's terms and counts, piece by piece: each is led by the two
+        tokens before it, which its first terms look back at."""
+        total, before = np.zeros(TERMS, np.int64), []
+        for p in pieces(text, SLICE_BYTES, _BLANK):
+            lead = b"".join(t + b" " for t in before)
+            key, n = self._counts([lead + p], len(before))
+            total[key] += n
+            before = (before + p.rsplit(None, 2)[-2:])[-2:]
+        key = np.flatnonzero(total)
+        return key, total[key]
+
+    def _counts(self, texts: list[bytes], skip: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Keys (text times TERMS plus term) and their counts; the first
+        ``skip`` tokens of all are looked back at only."""
         buf, at = joined(texts, b"\n")
         a, b = edges(_KIND[buf] > 0)
         if not len(a):
             z = np.zeros(0, np.int64)
-            return z, z, np.zeros(0, np.float32)
+            return z, z
         doc = np.searchsorted(at, a, side="right") - 1
         h = self.roll.ranges(self.roll.prefix(buf), a, b)
         kinds = np.bitwise_or.reduceat(_KIND[buf], a).astype(np.int64)    # gaps between tokens are 0
@@ -59,10 +85,9 @@ class Features:
         pair = np.zeros(len(a), np.int64)
         pair[1:] = np.where(doc[1:] == doc[:-1], shape[:-1], 0)
         two = (mix64((shape * 1024 + pair).astype(np.uint64)) % np.uint64(SHAPE_ROWS)).astype(np.int64)
-        term = np.concatenate([(h % np.uint64(WORD_ROWS)).astype(np.int64),
-                               WORD_ROWS + shape % SHAPE_ROWS, WORD_ROWS + SHAPE_ROWS + two])
-        key, n = np.unique(np.tile(doc, 3) * TERMS + term, return_counts=True)
-        return key // TERMS, key % TERMS, np.log1p(n).astype(np.float32)
+        term = np.concatenate([(h % np.uint64(WORD_ROWS)).astype(np.int64)[skip:],
+                               (WORD_ROWS + shape % SHAPE_ROWS)[skip:], (WORD_ROWS + SHAPE_ROWS + two)[skip:]])
+        return np.unique(np.tile(doc[skip:], 3) * TERMS + term, return_counts=True)
 
 
 class Model:

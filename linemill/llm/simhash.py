@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import checkpoint_dir
-from .common import fresh, stored, text_pass
+from .common import SLICE_BYTES, fresh, pieces, stored, text_pass
 from .golay import Golay
 
 SHINGLE_WORDS = 4
@@ -42,29 +42,44 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))
 PAIRS = ((0, 1), (0, 2), (1, 2))
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_BLANK = re.compile(rb"[\x09-\x0D ]")
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE_WORDS, seed: int = SEED) -> int:
-    """The unsigned fingerprint of one text (no words: zero). Shingles are
-    hashed in blocks, so a long text needs little memory."""
-    words = _WORD.findall(text.translate(_LOWER))
-    if not words:
-        return 0
-    flat = b" ".join(words)
+    """The unsigned fingerprint of one text (no words: zero). Texts are read
+    and shingles hashed in blocks, so a long text needs little memory."""
+    digest, total, n = xxhash.xxh64_intdigest, np.zeros(64, np.int64), 0
+    words: list[bytes] = []                # those that begin the next piece's shingles
+    for p in pieces(text.translate(_LOWER), SLICE_BYTES, _BLANK):
+        words += _WORD.findall(p)
+        m = len(words) - shingle + 1
+        if m <= 0:
+            continue
+        total += _bit_sums(words, shingle, digest, seed)
+        n += m
+        words = words[m:]
+    if not n:
+        if not words:
+            return 0
+        total, n = _bit_sums(words, len(words), digest, seed), 1
+    bits = (2 * total > n).astype(np.uint8)
+    return int(np.packbits(bits, bitorder="little").view("<u8")[0])
+
+
+def _bit_sums(words: list[bytes], k: int, digest, seed: int) -> np.ndarray:
+    """How many of the ``k``-word shingles have each bit of their hash set."""
+    flat, total = b" ".join(words), np.zeros(64, np.int64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    k = min(shingle, len(words))
     starts, ends = starts[:len(words) - k + 1], ends[k - 1:]
-    digest, total = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
     for i in range(0, len(starts), 1 << 16):
         h = np.array([digest(flat[a:b], seed) for a, b in
                       zip(starts[i:i + (1 << 16)].tolist(), ends[i:i + (1 << 16)].tolist())],
                      dtype="<u8")
         total += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(
             axis=0, dtype=np.int64)
-    bits = (2 * total > len(starts)).astype(np.uint8)
-    return int(np.packbits(bits, bitorder="little").view("<u8")[0])
+    return total
 
 
 def fingerprints(df: DataFrame, text_col: str = "text", shingle: int = SHINGLE_WORDS,

@@ -15,10 +15,11 @@ grown to ``MAX_STATES``; that costs time but changes no count.
 A word end leads back to the start state from any state. So the state map of a
 chunk of symbols that holds a word end is constant after it, and only its head
 depends on the entry state. Chunks of a slice run in lockstep, one table lookup
-per step for all chunks; their maps are composed by a scan that gives every
-chunk its entry state, and the heads are run again from there. A chunk without
-a word end (an enormous word) has a map that is evaluated at the entry state
-the scan brings.
+per step for all chunks, from the start state: that gives the constant of every
+chunk with a word end, which is its right neighbour's entry state, and the
+heads are run again from there. A chunk without a word end (inside an enormous
+word) is run from its entry state once its left neighbour's is known, one such
+chunk after the other.
 """
 
 from __future__ import annotations
@@ -31,12 +32,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import text_pass
+from .common import SLICE_BYTES, text_pass
+from .common import pieces as cut
 from .pretokens import SPACE, STOP, classes, code_points, utf8_lengths, word_starts
 
 CHUNK = 512
 MAX_STATES = 250_000
 END = 256
+BORDER = re.compile(rb"[\x21-\x7E](?=[\x09\x0A\x0D ])")
 # Capital letters of Unicode 16 that older interpreters do not lower
 # (fixed values; U+10D50 to U+10D65 follow a rule).
 LOWER_16 = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B} | {
@@ -210,8 +213,7 @@ class Transducer:
             got = self.look(state[:live], steps[t, :live])
             state[:live] = got >> 8
             emit[t, :live] = got & 255
-        # Compose the maps: entry state of each chunk from its left neighbour's
-        # exit. Constant maps give it at once, open ones when theirs is known.
+        # Entry state of each chunk: its left neighbour's exit. Constant maps give it at once, open ones when theirs is known.
         entry = np.zeros(k, np.int64)
         entry[1:] = state[:-1]
         for c in np.flatnonzero(head < 0).tolist():
@@ -234,7 +236,14 @@ class Transducer:
         return emit.T.reshape(-1)[:n]
 
     def count(self, texts: list[bytes]) -> np.ndarray:
-        """Tokens of each text, special strings counting one."""
+        """Tokens of each text, special strings counting one. Long texts are
+        cut where white space follows, which no pre-token and no special string
+        crosses."""
+        if max(map(len, texts), default=0) <= 2 * SLICE_BYTES:
+            return self._count(texts)
+        return np.array([sum(int(self._count([p])[0]) for p in cut(t, SLICE_BYTES, BORDER)) for t in texts], np.int64)
+
+    def _count(self, texts: list[bytes]) -> np.ndarray:
         parts, owner, extra = [], [], np.zeros(len(texts), np.int64)
         for d, t in enumerate(texts):
             s = t.decode("utf-8", "replace")
