@@ -507,6 +507,25 @@ def q_zip_parallel_strict(spark, sf):
     return zip_parallel(b.select(*BITEXT_KEYS, "src"), b.select(*BITEXT_KEYS, "tgt"), BITEXT_KEYS, strict=True)
 
 
+@register("zip_corpus_tree", O.with_(O.BITEXT) + """
+select pair, doc_no, line_no, src, tgt from bitext where doc_no % 3 = 0""")
+def q_zip_corpus_tree(spark, sf):
+    """J1 on two sides stored as bucketed tables: the dev split is paired, with
+    its length check, without an exchange."""
+    import uuid
+
+    from ..operators.joins import zip_parallel
+    from ..session import scratch_path, stored
+    from ..sources.tree import drop_sides, read_side, write_side
+    b = _bitext(spark, sf).withColumn("split", F.when(F.col("doc_no") % 3 == 0, "dev").otherwise("train"))
+    tables = {side: f"tree_{side}_{uuid.uuid4().hex[:12]}" for side in ("src", "tgt")}
+    for side, table in tables.items():
+        write_side(b.select("split", *BITEXT_KEYS, side), table, scratch_path(spark, "tree"), BITEXT_KEYS, buckets=8)
+    out = stored(zip_parallel(*[read_side(spark, t, "dev") for t in tables.values()], BITEXT_KEYS), "zipped")
+    drop_sides(spark, *tables.values())
+    return out.select(*BITEXT_KEYS, "src", "tgt")
+
+
 # ---------------------------------------------------------------- F4–F10 (toy ids)
 @register("join_pieces", O.with_(O.LINES) + f"""
 select doc_id, line_no, array_to_string({O.pretokens_expr('line')}, ' ') joined from lines""")
