@@ -11,7 +11,12 @@ none and the others two each. Hence two kinds of keys:
   the first, own codeword of the second), the probe side (own codeword of the
   first, near codewords of the second); two fingerprints within one bit on
   both segments meet under exactly one key;
-* a whole segment (three choices): equal segments meet.
+* a whole segment and the near codewords of the next (three choices), written
+  by both sides: two words at two differing bits are both one bit from a word
+  between them, so they share its codeword.
+
+Keys have 33 and 34 bits, so candidates other than links grow with the square
+of the distinct fingerprints over some 10^10.
 
 Every link is verified by its bit distance and is emitted under one key only
 (the first kind that its own error pattern promises). Copies of a fingerprint
@@ -36,6 +41,9 @@ from .golay import Golay
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
+# Fingerprints of more rows get their label by broadcast (there are fewer than
+# rows / HOT_ROWS of them), so that no task gets the rows of a hot one.
+HOT_ROWS = 20_000
 SEED = 42
 # Segments as (lowest bit, bits).
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -93,7 +101,9 @@ def fingerprints(df: DataFrame, text_col: str = "text", shingle: int = SHINGLE_W
 
 def _keys(fps: DataFrame) -> DataFrame:
     """(kind, key, side, fp): index rows have side 0, probe rows side 1, rows
-    of whole-segment keys both (side 2)."""
+    of the last kinds both (side 2). Their keys are a whole segment and the
+    nearby codewords of the next: two segments at two differing bits have a
+    word between them, and so a codeword that is nearby to both."""
     schema = "kind int, key long, side int, fp long"
 
     def run(batches):
@@ -119,7 +129,8 @@ def _keys(fps: DataFrame) -> DataFrame:
                     i, c = near[b]
                     parts.append((kind, own[a][i] << 12 | c, 1, fp[i]))
                 for s in range(3):
-                    parts.append((3 + s, seg[s], 2, fp))
+                    i, c = near[(s + 1) % 3]
+                    parts.append((3 + s, seg[s][i] << 12 | c, 2, fp[i]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([np.full(len(p[1]), p[j], np.int32) for p in parts]))
                      if j in (0, 2) else pa.array(np.concatenate([p[j] for p in parts]))
@@ -139,12 +150,14 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     x = F.col("a").bitwiseXOR(F.col("b"))
     d = [F.bit_count(x.bitwiseAND(F.lit(_signed(((1 << n) - 1) << lo)))) for lo, n in SEGMENTS]
     # The first kind of key that the pair's own error pattern promises.
-    promised = [(d[i] <= 1) & (d[j] <= 1) for i, j in PAIRS] + [d[s] == 0 for s in range(3)]
+    promised = [(d[i] <= 1) & (d[j] <= 1) for i, j in PAIRS] + [(d[s] == 0) & (d[(s + 1) % 3] <= 2) for s in range(3)]
     kind = F.coalesce(*[F.when(p, k) for k, p in enumerate(promised)])
     cond = ((left["kind"] == right["kind"]) & (left["key"] == right["key"])
             & (F.col("a") < F.col("b")) & (F.bit_count(x) <= max_bits)
             & (left["kind"] == kind))
-    return left.join(right, cond).select("a", "b")
+    # Kinds 0 to 2 give a pair one key; it can share several of the last ones.
+    found = left.join(right, cond).select(left["kind"], "a", "b")
+    return found.filter("kind < 3").select("a", "b").unionByName(found.filter("kind > 2").select("a", "b").distinct())
 
 
 def _signed(x: int) -> int:
@@ -218,13 +231,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     fps = stored(fingerprints(df, text_col, shingle, "fp", [id_col]).select(
         F.col(f"`{id_col}`").alias("id"), "fp"), "fingerprints")
-    nodes = stored(fps.groupBy("fp").agg(F.min("id").alias("low")), "fingerprint-nodes")
+    nodes = stored(fps.groupBy("fp").agg(F.min("id").alias("low"), F.count("*").alias("n")), "fingerprint-nodes")
     comp = stored(components(forest(links(nodes.select("fp"), max_bits))), "components")
     linked = nodes.join(comp, nodes["fp"] == comp["node"]).select("fp", "low", "root")
     least = linked.groupBy("root").agg(F.min("low").alias("least"))
     label = linked.join(least, "root").select("fp", "least")
-    label = nodes.join(label, "fp", "left").select("fp", F.coalesce("least", "low").alias("component_id"))
-    out = fps.join(label, "fp")
+    label = stored(nodes.join(label, "fp", "left").select("fp", "n", F.coalesce("least", "low").alias("component_id")),
+                   "fingerprint-labels")
+    hot, rest = F.broadcast(label.filter(F.col("n") > HOT_ROWS)), label.filter(F.col("n") <= HOT_ROWS)
+    out = fps.join(hot, "fp").unionByName(fps.join(hot, "fp", "left_anti").join(rest, "fp"))
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                       "component_id")
 

@@ -48,6 +48,11 @@ def test_links_are_all_found_once(llm):
         # patterns across the segments: 2+2+0, 1+1+2, 4+0+0, 0+0+4
         for bits in ((0, 1, 22, 23), (0, 22, 43, 44), (3, 4, 5, 6), (60, 61, 62, 63), (21, 22, 42, 43)):
             fps.add(c ^ sum(1 << b for b in bits))
+        # two bits in each of two segments
+        for (a, n), (b, m) in ((simhash.SEGMENTS[i], simhash.SEGMENTS[j]) for i, j in simhash.PAIRS):
+            for _ in range(3):
+                bits = [a + x for x in rng.sample(range(n), 2)] + [b + x for x in rng.sample(range(m), 2)]
+                fps.add(c ^ sum(1 << x for x in bits))
     fps = [x - (1 << 64) if x >> 63 else x for x in fps]
     df = llm.createDataFrame([(x,) for x in fps], "fp long")
     for bits in (4, 2, 0):
@@ -79,11 +84,13 @@ def brute(rows, bits=4):
     return sorted(((i, f"{fps[k]:016x}", least.get(find(k))) for k, (i, _) in enumerate(rows)), key=repr)
 
 
-def test_documents_and_odd_rows(docs, odd, odd_rows):
+def test_documents_and_odd_rows(docs, odd, odd_rows, monkeypatch):
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     assert as_tuples(simhash.near_duplicates(docs), "doc_id", "fingerprint", "component_id") == brute(rows)
-    assert as_tuples(simhash.near_duplicates(odd), "doc_id", "fingerprint", "component_id") == brute(
-        [r[:2] for r in odd_rows])
+    for hot in (simhash.HOT_ROWS, 1):
+        monkeypatch.setattr(simhash, "HOT_ROWS", hot)
+        assert as_tuples(simhash.near_duplicates(odd), "doc_id", "fingerprint", "component_id") == brute(
+            [r[:2] for r in odd_rows])
 
 
 def test_fingerprint_by_definition():
