@@ -22,7 +22,9 @@ def clear_language(texts, model):
     kept = []
     for i, t in texts:
         if t and re.search(r"[^\W\d_]", t):
-            best, second = sorted(len(c.compress(t.lower().encode())) for c in comp)[:2]
+            low = t.lower().encode()
+            blocks = [low[k:k + 8192] for k in range(0, len(low), 8192)]
+            best, second = sorted(sum(len(c.compress(b)) for b in blocks) for c in comp)[:2]
             if (second - best) / second >= 0.002:
                 kept.append((i, t))
     return kept
