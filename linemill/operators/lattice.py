@@ -18,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Edges of a block, after which the next one begins, and one count's unit.
-BLOCK_EDGES = 1 << 18
+# Edges of a block (of 16 bytes), after which the next one begins, and one
+# count's unit. A task holds one block at a time.
+BLOCK_EDGES = 1 << 17
 UNIT = 1 << 32
 LOG_UNIT = 1 << 20
 _CHUNK = 12

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir, spread, stored
+from ..session import checkpoint_dir, spread, stored, stored_large_rows
 from . import lattice
 from .tokenwise import distinct_udf
 
@@ -274,7 +274,8 @@ def _substrings(words: DataFrame, low: int, high: int, known: np.ndarray | None)
     return words.select("g", "word", "n").mapInArrow(run, "g string, piece string, n long, at int")
 
 
-def seed_pieces(words: DataFrame, max_len: int, by: str | None = None, levels: tuple = LEVELS) -> DataFrame:
+def seed_pieces(words: DataFrame, max_len: int, by: str | None = None, levels: tuple = LEVELS,
+                is_stored: bool = False) -> DataFrame:
     """Every substring (up to ``max_len`` characters) of every word, with its
     count weighted by word frequency (in each corpus of the text column
     ``by``). Longer pieces that occur once are no candidates.
@@ -283,9 +284,12 @@ def seed_pieces(words: DataFrame, max_len: int, by: str | None = None, levels: t
     all its parts are, so a round looks at places where parts that the round
     before found frequent follow each other. They are known by a bitmap of
     fixed size; a bit set by chance lets a substring be counted that then
-    proves too rare."""
+    proves too rare. Every round reads the words, so they are stored first
+    unless they come from a table (``is_stored``)."""
     src = words.filter(F.length("word") > 0).select(
         (F.col(by) if by else F.lit("")).alias("g"), "word", F.col("n").cast("long").alias("n"))
+    if not is_stored:
+        src = stored(spread(src), "unigram-words")
     rounds = sorted({min(x, max_len) for x in (*levels, max_len)})
     out, low, known = None, 1, None
     for high in rounds:
@@ -397,7 +401,7 @@ def unigram_train_each(lines: DataFrame, group_col: str, vocab_size: int = 32000
     for g, c in chars.items():
         if len(c) > target:
             raise ValueError(f"vocabulary size {vocab_size} cannot hold all {len(c)} characters")
-    seeds = seed_pieces(words, max_piece_len, "g").filter(F.length("piece") > 1)
+    seeds = seed_pieces(words, max_piece_len, "g", is_stored=True).filter(F.length("piece") > 1)
     if character_coverage < 1.0:
         seeds = seeds.filter(~F.col("piece").contains(UNCOVERED))
     seeds = stored(seeds, "unigram-seeds")
@@ -414,8 +418,8 @@ def unigram_train_each(lines: DataFrame, group_col: str, vocab_size: int = 32000
         first = todo[g].unknown + 1
     if not todo:
         return {}
-    blocks = stored(lattice.build(words, {g: piece_trie(t.ids, t.ids) for g, t in todo.items()},
-                                  {g: t.unknown for g, t in todo.items()}), "unigram-lattices")
+    blocks = stored_large_rows(lattice.build(words, {g: piece_trie(t.ids, t.ids) for g, t in todo.items()},
+                                             {g: t.unknown for g, t in todo.items()}), "unigram-lattices")
     score = np.full(first, lattice.NONE)
     models: dict[str, UnigramModel] = {}
     while todo:

@@ -234,3 +234,36 @@ def test_null_and_blank_lines_stay_aligned(spark):
     df = spark.createDataFrame([(0, "a  a"), (1, None), (2, ""), (3, " \t "), (4, "aa b")], "k int, line string").repartition(1)
     got = {r.k: r.pieces for r in U.unigram_encode(df, "line", vocab).collect()}
     assert got == {0: ["▁a", "▁a"], 1: None, 2: [], 3: [], 4: ["▁a", "a", "▁", "b"]}
+
+
+def test_training_reads_one_lattice_block_at_a_time(spark, monkeypatch):
+    """Blocks are megabytes: a task must not hold a batch of thousands."""
+    import pyarrow as pa
+    seen, count = [], U.lattice.count
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+
+    def watched(blocks, *a, **k):
+        seen.append(max(r.n for r in blocks.mapInArrow(sizes, "n long").collect()))
+        return count(blocks, *a, **k)
+
+    monkeypatch.setattr(U.lattice, "count", watched)
+    lines = spark.createDataFrame([(f"g{g}", "abab abc bca") for g in range(20)], "g string, line string").coalesce(1)
+    models = U.unigram_train_each(lines, "g", 8, partitions=1, hard_vocab_limit=False)
+    assert len(models) == 20 and set(seen) == {1}
+
+
+def test_seeds_evaluate_the_words_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    words = spark.createDataFrame([("▁abcdefghijkl", 2), ("▁abc", 3)], "word string, n long").mapInPandas(
+        rows, "word string, n long")
+    got = {r.piece: r.freq for r in U.seed_pieces(words, 16).collect()}
+    assert read.value == 2 and got["▁abc"] == 5 and got["▁abcdefghijkl"] == 2
