@@ -210,3 +210,68 @@ def test_training_from_files_keeps_line_breaks(spark, tmp_dir):
     lib = [tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in m["merges"]]
     model = bpe.bpe_train(stats.pretoken_histogram(lines, line_end="\n"), vocab_size=330)
     assert model.merge_strings() == lib
+
+
+def test_histogram_counts_parts_first(spark):
+    """Parts at spaces give the pattern's pre-tokens for any white space, and
+    the pattern meets each distinct part once."""
+    from linemill.functions.text import pretokenize
+    rnd = random.Random(5)
+    signs = [*map(chr, range(0x250)), *[" "] * 150, "'s", "'ll", " ", "　", "中", "", " \t", "  "]
+    texts = ["".join(rnd.choices(signs, k=rnd.randrange(40))) for _ in range(2000)] + ["", " ", "  a", "a ", None]
+    df = _lines_df(spark, texts)
+    for end in (None, "\n"):
+        text = F.col("line") if end is None else F.concat("line", F.lit(end))
+        want = Counter(r.p for r in df.select(F.explode(pretokenize(text)).alias("p")).collect())
+        assert {r.pretoken: r.n for r in stats.pretoken_histogram(df, line_end=end).collect()} == dict(want)
+    plan = stats.pretoken_histogram(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("regexp_extract_all") < plan.rindex("Aggregate")      # an aggregate below the pattern
+
+
+def _plain_encode(token, merges):
+    rank = {(a, b): (r, n) for r, (a, b, n) in enumerate(merges)}
+    s = [bpe.BYTE_IDS[x] for x in token.encode()]
+    while True:
+        found = [(rank[p][0], i) for i, p in enumerate(zip(s, s[1:])) if p in rank]
+        if not found:
+            return s
+        i = min(found)[1]
+        s[i:i + 2] = [rank[s[i], s[i + 1]][1]]
+
+
+def test_many_words_at_once_give_what_one_gives():
+    """Also where a merge makes a symbol that earlier merges take."""
+    rnd, in_order = random.Random(3), set()
+    for _ in range(150):
+        vocab = bpe.base_vocab()
+        known, merges, seen = {p: i for i, p in enumerate(vocab)}, [], set()
+        pool = [bpe.BYTE_IDS[b] for b in "aab é".encode()]
+        for _ in range(rnd.randrange(25)):
+            a, b = rnd.choices(pool, k=2)
+            if (a, b) not in seen:
+                seen.add((a, b))
+                s = vocab[a] + vocab[b]
+                if s not in known:
+                    known[s] = len(vocab)
+                    vocab.append(s)
+                merges.append((a, b, known[s]))
+                pool.append(known[s])
+        w = bpe.WordEncoder(merges)
+        in_order.add(w.in_order)
+        tokens = ["".join(rnd.choices("ab é\n", k=rnd.randrange(60))) for _ in range(60)]
+        want = [_plain_encode(t, merges) for t in tokens]
+        assert w.encode_all(tokens) == want and [w.encode(t) for t in tokens] == want
+    assert in_order == {True, False}
+
+
+def test_training_evaluates_the_histogram_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    hist = spark.createDataFrame([("abab", 5), ("bab", 2)], "pretoken string, n long").mapInPandas(
+        rows, "pretoken string, n long")
+    assert bpe.bpe_train(hist, vocab_size=263).merge_strings() and read.value == 2
