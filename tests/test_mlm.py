@@ -47,3 +47,15 @@ def test_fast_draw_share_and_specials(spark):
               F.count_if(F.col("labels").isin(0, 1, 2) & (F.col("input_ids") != F.col("labels")))
               .alias("bad")).first()
     assert 0.14 < s.c / s.m < 0.16 and s.bad == 0
+
+
+def test_mask_key_is_made_once_a_row(spark):
+    """The row's part of the md5 key is bound outside the draw of a position,
+    and the draws are those of the whole key."""
+    import hashlib
+    df = spark.createDataFrame([(7, 3, [0, 9, 9, 9, 2])], "doc_id long, line_no long, ids array<int>")
+    out = df.select(mlm_mask(F.col("ids"), ["doc_id", "line_no"], 1, 42).alias("m"))
+    draw = [hashlib.md5(f"42:1:7:3:{i}".encode()).hexdigest()[:8] < "26666666" for i in range(5)]
+    assert out.first().m == [0, *[4 if d else 9 for d in draw[1:4]], 2]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" in plan and "doc_id" not in plan[plan.index("md5"):plan.index("26666666")]
