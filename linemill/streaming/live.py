@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import scratch_path
+from ..session import many_files_session, scratch_path
 from ..sources.lines import numbered
 
 
@@ -62,7 +62,9 @@ def numbered_lines_stream(spark: SparkSession, path: str, out: str, checkpoint:
     numbered there like those of a finished file. A batch has a folder of its
     own, which a second attempt of it replaces: after a restart from the
     checkpoint no line is missing or double."""
-    r = spark.readStream.format("text")
+    ck = checkpoint or scratch_path(spark, "stream-checkpoint")
+    # A batch lists its files again, each one a path of its own.
+    r = many_files_session(spark).readStream.format("text")
     if newline == "lf":
         r = r.option("lineSep", "\n")
     if max_files_per_trigger:
@@ -75,7 +77,7 @@ def numbered_lines_stream(spark: SparkSession, path: str, out: str, checkpoint:
         numbered(rows)[1].select("path", "line_no", "line").write.mode("overwrite").parquet(f"{out}/batch={n}")
         rows.unpersist()
 
-    return run_batches(raw, number, checkpoint, available_now)
+    return run_batches(raw, number, ck, available_now)
 
 
 def run_batches(df: DataFrame, fn: Callable[[DataFrame, int], None],

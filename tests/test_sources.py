@@ -157,3 +157,33 @@ def test_read_corpus(spark, tmp_dir):
     rows = sorted((r.pair, r.split, r.lang, r.line_no, r.line) for r in got.collect())
     assert rows == [("en-de", "train", "de", 0, "x"), ("en-de", "train", "de", 1, "y"),
                     ("en-de", "train", "en", 0, "a"), ("en-de", "train", "en", 1, "b")]
+
+
+def _most_tasks(spark, group):
+    """Tasks of the largest stage of a job group."""
+    t = spark.sparkContext.statusTracker()
+    stages = [t.getStageInfo(s) for j in t.getJobIdsForGroup(group) for s in t.getJobInfo(j).stageIds]
+    return max(s.numTasks for s in stages if s)
+
+
+def test_many_files_are_listed_in_few_tasks(spark, tmp_dir):
+    from linemill.streaming.live import numbered_lines_stream
+    most, n = 4 * spark.sparkContext.defaultParallelism, 5 * spark.sparkContext.defaultParallelism + 40
+    for i in range(n):
+        os.makedirs(f"{tmp_dir}/tree/d{i}")
+        os.makedirs(f"{tmp_dir}/flat", exist_ok=True)
+        for path in (f"{tmp_dir}/tree/d{i}/en-de.x.de", f"{tmp_dir}/flat/f{i}.txt"):
+            with open(path, "w") as f:
+                f.write("a\nb\n")
+    before = spark.conf.getAll
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        assert discover_corpus(spark, f"{tmp_dir}/tree").count() == n
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert _most_tasks(spark, "listing") <= most
+    q = numbered_lines_stream(spark, f"{tmp_dir}/flat", f"{tmp_dir}/out")
+    q.awaitTermination()
+    assert _most_tasks(spark, str(q.runId)) <= most
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 2 * n
+    assert spark.conf.getAll == before
