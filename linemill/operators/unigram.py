@@ -164,7 +164,16 @@ def unigram_encode(df: DataFrame, col: str, vocab: DataFrame, out_col: str = "pi
     scores = {r.piece: float(r.score) for r in rows if r.piece not in META_PIECES}
     bc = spark.sparkContext.broadcast(scores)
     enc = distinct_udf(lambda: Segmenter(bc.value).line, pa.string(), "array<string>")
-    return df.withColumn(out_col, enc(F.split(F.col(col), "[ \\t\\n\\r\\f]+")))
+    return df.withColumn(out_col, enc(_tokens(col)))
+
+
+def _tokens(col: str):
+    """A text cut at plain white space; runs of it leave empty tokens (a split
+    at one sign needs no pattern)."""
+    c = F.col(col)
+    for s in "\t\n\r\f":
+        c = F.replace(c, F.lit(s), F.lit(" "))
+    return F.split(c, " ")
 
 
 # ---------------------------------------------------------------- training
@@ -183,7 +192,7 @@ def word_histogram(lines: DataFrame, col: str = "line", by: list[str] = ()) -> D
     """Normalised words with their counts (for each corpus named by the
     columns ``by``). Lines are cut at plain white space and counted natively
     first; only the distinct tokens are normalised."""
-    raw = (lines.select(*by, F.explode(F.split(F.col(col), "[ \t\n\r\f]+")).alias("t")).filter("t <> ''")
+    raw = (lines.select(*by, F.explode(_tokens(col)).alias("t")).filter("t <> ''")
            .groupBy(*by, "t").agg(F.count(F.lit(1)).alias("n")))
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -198,7 +207,7 @@ def word_histogram(lines: DataFrame, col: str = "line", by: list[str] = ()) -> D
 
 # Lengths up to which candidate substrings are counted in one round; the next
 # round's are made of this round's frequent ones. Bits of its filter.
-LEVELS = (4, 8)
+LEVELS = (5, 7, 10)
 FILTER_BITS = 1 << 24
 _FILTER_ROW = 1 << 15
 

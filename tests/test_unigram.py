@@ -267,3 +267,13 @@ def test_seeds_evaluate_the_words_once(spark):
         rows, "word string, n long")
     got = {r.piece: r.freq for r in U.seed_pieces(words, 16).collect()}
     assert read.value == 2 and got["▁abc"] == 5 and got["▁abcdefghijkl"] == 2
+
+
+def test_word_cuts_need_no_pattern(spark):
+    """Cut at plain white space by signs; the words are those of the pattern."""
+    texts = ["a  b\tc", " x\r\ny ", "", "\t\f", "a b c", None]
+    lines = spark.createDataFrame([(t,) for t in texts], "line string")
+    want = Counter(w for t in texts if t for w in U.split_words(U.normalize(t)))
+    assert {r.word: r.n for r in U.word_histogram(lines).collect()} == dict(want)
+    assert "regexp" not in (plan := U.word_histogram(lines)._jdf.queryExecution().optimizedPlan().toString())
+    assert "[ \t" not in plan
