@@ -176,3 +176,84 @@ def test_language_sample_with_a_repeated_id(llm):
     model = language_id.learn(df, texts=5)
     assert [lang for lang, _ in model] == ["en", "fr"]
     assert model[0][1] == b"some text number 0 with words\n"
+
+
+def toxic_rows(n, seed=6, long=0):
+    """(doc_id, text, lang, toxic): planted stems; ``long`` rows lie far beyond
+    any sample's size, the planted word last."""
+    rng = np.random.default_rng(seed)
+    return [(k, "where then " * (2000 if k < long else 1) + planted(rng, k % 3 == 0), "en" if k % 5 else "de", int(k % 3 == 0))
+            for k in range(n)]
+
+
+def learnt(llm, rows, parts, **kw):
+    docs = llm.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string").repartition(parts)
+    labels = llm.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int").repartition(3)
+    return toxicity.learn(docs, labels, **kw)
+
+
+def test_toxicity_learns_from_whole_long_texts(llm):
+    """Every text is longer than 16 KB: none may be left out of the learning."""
+    model = learnt(llm, toxic_rows(150, long=150), 4)
+    test = toxic_rows(300, seed=8)
+    s = model.score(toxicity.Features(), [r[1].encode() for r in test])[0]
+    assert auc(s, np.array([r[3] for r in test])) > 0.95
+
+
+def test_toxicity_shards_hold_every_eligible_row_once(llm):
+    from linemill.llm.labelled import labelled_lengths, labelled_rows
+    rows = [(i, "x" * (i % 40) if i % 11 else None, "en") for i in range(300)] + [(900, f"copy {k}", "de")
+                                                                                  for k in range(50)]
+    docs = llm.createDataFrame(rows + [(None, "y", "en"), (902, "unlabelled", "en")], "doc_id long, text string, lang string")
+    labels = llm.createDataFrame([(i, i % 2) for i in range(300)] + [(900, 0), (900, 1), (None, 1), (5000, 1), (901, None)],
+                                 "doc_id long, toxic int")
+    got = labelled_rows(docs.repartition(5), labels, "toxic", "lang", "s", 7)
+    want = {str(i): (i % 2, ("x" * (i % 40) if i % 11 else "").encode(), "en") for i in range(300)}
+    want["900"] = (1, b"copy 0", "de")
+    want = {i: r for i, r in want.items() if zlib.crc32(i.encode()) % 3 != 1}
+    rows = got.collect()
+    assert len(rows) == len(want) and {r.i: (r.y, bytes(r.t), r.lang) for r in rows} == want
+    assert 0 < sum(r.cal for r in rows) < len(rows) / 2 and len({r.shard for r in rows}) == 7
+    n, size = labelled_lengths(docs, labels, "toxic")
+    assert n == len(want) and 0 <= size - sum(len(t) for _, t, _ in want.values()) <= 1
+    apart = got.groupBy("shard", F.spark_partition_id()).count().collect()
+    assert len(apart) == 7
+
+
+def test_toxicity_in_shards(llm):
+    """Many shards learn what one does, whatever the files and tasks are."""
+    rows = toxic_rows(1200)
+    test = toxic_rows(300, seed=8)
+    texts, y = [r[1].encode() for r in test], np.array([r[3] for r in test])
+    first, again = (learnt(llm, rows, parts, rounds=5, shard_rows=300) for parts in (2, 7))
+    s = first.score(toxicity.Features(), texts)[0]
+    assert auc(s, y) > 0.95 and np.mean((s >= 0.7) == y) > 0.9
+    assert np.array_equal(s, again.score(toxicity.Features(), texts)[0])
+    assert np.array_equal(first.cuts, again.cuts) and np.array_equal(first.guess, again.guess)
+    # the words of each language are counted over all rows
+    one = learnt(llm, rows, 2, epochs=1)
+    assert one.languages == first.languages == ["de", "en"] and np.allclose(one.guess, first.guess)
+
+
+def test_toxicity_shards_with_one_label(llm):
+    rows = [(i, t, lang, 0) for i, t, lang, _ in toxic_rows(60)]
+    model = learnt(llm, rows, 2, shard_rows=10)
+    assert np.all(model.cuts == 0.5) and np.all(model.score(toxicity.Features(), [b"one", b""])[0] >= 0)
+
+
+def test_toxicity_blocks_change_nothing(monkeypatch):
+    rng = np.random.default_rng(5)
+    ids, begin = toxicity.Features()([b"", b"one", b"two three", *[planted(rng, k % 2).encode() for k in range(30)]])
+    net = toxicity.Network()
+    ends = np.append(begin[1:], len(ids))
+    top, arg = net.pooled(ids, begin, ends)
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    some = net.pooled(ids, begin, ends)
+    assert np.allclose(top, some[0], atol=1e-5)
+    x = net.E[ids].sum(axis=1)
+    for d in range(len(begin)):
+        for q, w in enumerate(toxicity.WIDTHS):
+            z = np.array([sum(x[i + o] @ net.W[q][o] for o in range(w)) for i in range(begin[d], ends[d] - w + 1)])
+            cols = slice(q * toxicity.FILTERS, (q + 1) * toxicity.FILTERS)
+            assert np.allclose(z.max(axis=0), top[d, cols], atol=1e-5)
+            assert np.allclose(z[arg[d, cols] - begin[d], range(z.shape[1])], top[d, cols], atol=1e-5)
