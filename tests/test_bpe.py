@@ -275,3 +275,18 @@ def test_training_evaluates_the_histogram_once(spark):
     hist = spark.createDataFrame([("abab", 5), ("bab", 2)], "pretoken string, n long").mapInPandas(
         rows, "pretoken string, n long")
     assert bpe.bpe_train(hist, vocab_size=263).merge_strings() and read.value == 2
+
+
+def test_first_ids_of_whole_lines(spark):
+    """``first`` gives the beginning of what a whole line gives, also for nulls,
+    empty lines and words that reach over the cut."""
+    from linemill.operators.bpe import BpeModel, base_vocab, bpe_encode
+    v = base_vocab()
+    a, b = v.index("a"), v.index("b")
+    model = BpeModel([*v, "ab"], [(a, b, len(v))])
+    rows = [(0, "ab abab  x"), (1, None), (2, ""), (3, "abcdefghij" * 9), (4, "a"), (5, "a b c d e f g h")]
+    df = spark.createDataFrame(rows, "k long, line string").repartition(2)
+    whole = {r.k: r.ids for r in bpe_encode(df, "line", model).collect()}
+    for n in (1, 3, 7, 62):
+        got = {r.k: r.ids for r in bpe_encode(df, "line", model, first=n).collect()}
+        assert got == {k: ids if ids is None else ids[:n] for k, ids in whole.items()}

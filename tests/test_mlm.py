@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from linemill.functions.arrays import frame_truncate, mlm_mask
+from linemill.functions.arrays import frame_truncate, mlm_mask, mlm_mask_many
 from linemill.operators.mlm import mlm_examples
 from linemill.plans import tables as T
 
@@ -59,3 +59,30 @@ def test_mask_key_is_made_once_a_row(spark):
     assert out.first().m == [0, *[4 if d else 9 for d in draw[1:4]], 2]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "md5" in plan and "doc_id" not in plan[plan.index("md5"):plan.index("26666666")]
+
+
+def test_many_draws_are_those_of_md5():
+    """Short and long keys, one block and several, with numbers of any length."""
+    import hashlib
+
+    import numpy as np
+    from linemill.functions.hashing import md5_draws
+    heads = [b"", b"42:0:7:1:", "42:é:".encode(), *[b"k" * n for n in range(45, 68)], b"long" * 50]
+    numbers = np.array([0, 3, 10, 99, 100, 511, 12345])
+    row, number = np.repeat(np.arange(len(heads)), len(numbers)), np.tile(numbers, len(heads))
+    want = [int(hashlib.md5(heads[r] + str(n).encode()).hexdigest()[:8], 16) for r, n in zip(row, number)]
+    assert md5_draws(heads, row, number).tolist() == want
+    assert md5_draws(heads, row[:0], number[:0]).tolist() == []
+
+
+def test_masks_follow_the_draws(spark):
+    import hashlib
+    rows = [(1, "a", [0, 5, 6, None, 7, 2, 1, 1]), (2, None, []), (3, "b" * 80, list(range(40))), (4, "c", None)]
+    df = spark.createDataFrame(rows, "k long, s string, ids array<int>").repartition(2)
+    each, many = ({r.k: r.m for r in df.select("k", f(F.col("ids"), ["k", "s"], F.lit(3), 42, 0.5).alias("m")).collect()}
+                  for f in (mlm_mask, mlm_mask_many))
+
+    def one(k, s, i, x):
+        d = hashlib.md5(f"42:3:{k}:{s or ''}:{i}".encode()).hexdigest()[:8]
+        return 4 if x is not None and x not in (0, 1, 2) and d < "80000000" else x
+    assert each == many == {k: None if ids is None else [one(k, s, i, x) for i, x in enumerate(ids)] for k, s, ids in rows}
