@@ -9,14 +9,14 @@ folder."""
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import many_files_session, scratch_path
-from ..sources.lines import numbered
+from ..session import scratch_path
+from ..sources.lines import GLOB, LISTING, list_files, read_listed
 
 
 def read_text_stream(spark: SparkSession, path: str, newline: str = "universal",
@@ -58,26 +58,52 @@ def numbered_lines_stream(spark: SparkSession, path: str, out: str, checkpoint:
     """S1 on a stream: every new text file under ``path`` as rows ``(path,
     line_no, line)`` of the Parquet table ``out``.
 
-    The source brings a file whole, in one micro-batch, so its lines are
-    numbered there like those of a finished file. A batch has a folder of its
-    own, which a second attempt of it replaces: after a restart from the
-    checkpoint no line is missing or double."""
+    The tasks list the files; those that no earlier listing has named are
+    appended, at most ``max_files_per_trigger`` to a Parquet file, to a table
+    beside the checkpoint, and the stream runs over that table. So the driver
+    knows of a few listings instead of every file. A file comes whole, in one
+    micro-batch, so its lines are numbered there like those of a finished file. A
+    batch has a folder of its own, which a second attempt of it replaces: after
+    a restart from the checkpoint no line is missing or double. Without
+    ``available_now`` the files are listed again every 10 seconds."""
+    if newline not in ("universal", "lf"):
+        raise ValueError(f"newline must be 'universal' or 'lf', not {newline!r}")
     ck = checkpoint or scratch_path(spark, "stream-checkpoint")
-    # A batch lists its files again, each one a path of its own.
-    r = many_files_session(spark).readStream.format("text")
-    if newline == "lf":
-        r = r.option("lineSep", "\n")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = r.load(path).selectExpr("_metadata.file_path as path", "_metadata.file_block_start as _blk",
-                                  "_metadata.file_size as _size", "value as line")
+    listing = f"{ck.rstrip('/')}/arrived"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(listing)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(place)
+
+    def look() -> None:
+        try:
+            files = list_files(spark, path, recursive=False)
+        except FileNotFoundError:
+            if GLOB.search(path):
+                return
+            raise
+        # Never by broadcast: paths pack so well that their files' size says little.
+        known = spark.read.schema(LISTING).parquet(listing).select("path")
+        new = files.hint("merge").join(known.hint("merge"), "path", "left_anti")
+        if not new.isEmpty():
+            new.write.mode("append").option("maxRecordsPerFile", max_files_per_trigger or 0).parquet(listing)
 
     def number(batch: DataFrame, n: int) -> None:
-        rows = batch.withColumns({"unit": F.col("path"), "_mid": F.monotonically_increasing_id()}).persist()
-        numbered(rows)[1].select("path", "line_no", "line").write.mode("overwrite").parquet(f"{out}/batch={n}")
-        rows.unpersist()
-
-    return run_batches(raw, number, ck, available_now)
+        read_listed(batch, newline).write.mode("overwrite").parquet(f"{out}/batch={n}")
+
+    look()
+    arrived = read_table_stream(spark, listing, LISTING, 1 if max_files_per_trigger else None)
+    query = run_batches(arrived, number, ck, available_now)
+
+    def keep_looking() -> None:
+        try:
+            while not query.awaitTermination(10):
+                look()
+        except Exception:
+            query.stop()
+            raise
+
+    if not available_now:
+        threading.Thread(target=keep_looking, daemon=True).start()
+    return query
 
 
 def run_batches(df: DataFrame, fn: Callable[[DataFrame, int], None],
